@@ -7,6 +7,7 @@ import zlib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 
 def _inflate_one(body):
@@ -18,12 +19,12 @@ def _inflate_one(body):
         return None
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def deflate(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else zlib.compress(t.encode("utf-8")))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def inflate(body: pd.Series) -> pd.Series:
     """Text of a compressed body, null where the bytes are damaged."""
     return body.map(_inflate_one)

@@ -415,13 +415,13 @@ def destination_graphs(
     return tr.emit(rows, (F.col("unit") == 0, head), (F.col("unit") > 0, body))
 
 
-def vessel_state_graphs(mapped: DataFrame, data_uri: str = DATA) -> DataFrame:
+def vessel_state_graphs(mapped: DataFrame, data_uri: str = DATA, keep: tuple[str, ...] = ()) -> DataFrame:
     """One graph per mapped ping: (graph_id, row_uri, classes, ping columns). Unit 0 is the message, the
     others are the classes of the vessel state."""
     imo_scheme = data_uri + "imo-NamingScheme"
     vin = "VehicleIdentificationNumber"
     rows = mapped.select("*", F.explode(F.sequence(F.lit(0), F.size("classes"))).alias("unit")).select(
-        "graph_id", "unit", "mmsi", "imo", "vessel_name", "call_sign", "row_uri",
+        "graph_id", "unit", "mmsi", "imo", "vessel_name", "call_sign", "row_uri", *keep,
         _unit("classes").alias("class"),
         _node(data_uri, F.lit("vesselState"), F.col("graph_id")).alias("node"),
         F.concat(F.lit(data_uri), F.col("imo"), F.lit("IMO")).alias("imo_node"),
@@ -454,4 +454,5 @@ def vessel_state_graphs(mapped: DataFrame, data_uri: str = DATA) -> DataFrame:
         *tr.identified(where, n("lon"), var("lon"), "Longitude"),
         tr.link(state, "inLocation", where),
     ]
-    return tr.emit(rows, (F.col("unit") == 0, message), (F.col("unit") > 0, [tr.typed_as(state, var("class"))]))
+    classes = [tr.typed_as(state, var("class"))]
+    return tr.emit(rows, (F.col("unit") == 0, message), (F.col("unit") > 0, classes), keep=keep)

@@ -177,8 +177,11 @@ def assessed(
     ]
 
 
-def emit(rows: DataFrame, *shapes: list[Pattern] | tuple[Column, list[Pattern]]) -> DataFrame:
+def emit(
+    rows: DataFrame, *shapes: list[Pattern] | tuple[Column, list[Pattern]], keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Fill in the patterns for each row of `rows`, which has `graph_id` and the columns they name.
+    `keep` names further columns of the row to put next to each triple.
 
     Several shapes come with conditions: a row uses the first whose condition holds.
     """
@@ -216,8 +219,9 @@ def emit(rows: DataFrame, *shapes: list[Pattern] | tuple[Column, list[Pattern]])
         kept = F.when(t.g == -1, True)
         for g in guards:
             kept = kept.when(t.g == guard_no[g], F.col(g))
+    needed = dict.fromkeys(["graph_id", *columns, *guards, *keep])
     return (
-        rows.select("graph_id", *columns, *[g for g in guards if g not in columns], F.explode(picked).alias("_t"))
+        rows.select(*needed, F.explode(picked).alias("_t"))
         .where(kept)
         .select(
             "graph_id",
@@ -226,6 +230,7 @@ def emit(rows: DataFrame, *shapes: list[Pattern] | tuple[Column, list[Pattern]])
             filled("oc", "ot").alias("o"),
             F.when(t.k == _IRI, "iri").otherwise("literal").alias("o_kind"),
             F.when(t.k == _STRING, XSD + "string").when(t.k == _FLOAT, XSD + "float").alias("o_dtype"),
+            *keep,
         )
     )
 

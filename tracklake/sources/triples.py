@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.codec import decode_body
 from ..functions.text import unescape_literal
-from ..schema import TRIPLE_COLUMNS
 
 _SUBJECT = r"(<[^>]*>|_:\S+)"
 _LINE = rf"^\s*{_SUBJECT}\s+(<[^>]*>)\s+(<[^>]*>|_:\S+|\"(?:[^\"\\]|\\.)*\"(?:\^\^<[^>]*>|@[A-Za-z0-9-]+)?)\s*\.\s*(?:#.*)?$"
@@ -18,12 +17,14 @@ def _bare(node: Column) -> Column:
     return F.regexp_replace(node, r"^<|>$", "")
 
 
-def parse_lines(lines: DataFrame, line: str = "line", graph_id: str = "graph_id") -> tuple[DataFrame, DataFrame]:
-    """(triples, lines that are not N-Triples). Blank and comment lines are neither."""
-    content = F.trim(F.col(line))
-    kept = lines.where((content != "") & ~content.startswith("#"))
-    groups = kept.select(
-        graph_id, line, *[F.regexp_extract(line, _LINE, i).alias(f"_{i}") for i in (1, 2, 3)]
+def parse_lines(
+    lines: DataFrame, line: str = "line", keep: tuple[str, ...] = ("graph_id",)
+) -> tuple[DataFrame, DataFrame]:
+    """(triples, lines that are not N-Triples), each after the `keep` columns. Blank and comment lines are
+    neither."""
+    content = F.coalesce(F.trim(F.col(line)), F.lit("(damaged body)"))
+    groups = lines.where((content != "") & ~content.startswith("#")).select(
+        *keep, line, *[F.coalesce(F.regexp_extract(line, _LINE, i), F.lit("")).alias(f"_{i}") for i in (1, 2, 3)]
     )
     obj = F.col("_3")
     kind = F.when(obj.startswith("<"), "iri").when(obj.startswith("_:"), "bnode").otherwise("literal")
@@ -32,7 +33,7 @@ def parse_lines(lines: DataFrame, line: str = "line", graph_id: str = "graph_id"
     )
     text = unescape_literal(F.regexp_extract(obj, _LITERAL, 1))
     good = groups.where(F.col("_1") != "").select(
-        F.col(graph_id).alias("graph_id"),
+        *keep,
         _bare(F.col("_1")).alias("s"),
         _bare(F.col("_2")).alias("p"),
         F.when(kind == "literal", text).otherwise(_bare(obj)).alias("o"),
@@ -40,9 +41,9 @@ def parse_lines(lines: DataFrame, line: str = "line", graph_id: str = "graph_id"
         F.when(kind == "literal", dtype).alias("o_dtype"),
     )
     bad = groups.where(F.col("_1") == "").select(
-        F.col(graph_id).alias("graph_id"), F.lit("not an N-Triples line").alias("error"), F.col(line).alias("raw")
+        *keep, F.lit("not an N-Triples line").alias("error"), F.col(line).alias("raw")
     )
-    return good.select(*TRIPLE_COLUMNS), bad
+    return good, bad
 
 
 def read_ntriples(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -52,8 +53,8 @@ def read_ntriples(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
 
 
 def message_lines(messages: DataFrame, codec: str = "zlib") -> DataFrame:
-    """Lines of N-Triples messages. A damaged body gives one null line."""
+    """Distinct lines of N-Triples messages. A damaged body gives one null line."""
     text = decode_body(F.col("value"), codec)
     return messages.select("graph_id", "timestamp", text.alias("_text")).select(
-        "graph_id", "timestamp", F.explode_outer(F.split("_text", "\n")).alias("line")
+        "graph_id", "timestamp", F.explode_outer(F.array_distinct(F.split("_text", "\n"))).alias("line")
     )
