@@ -699,6 +699,12 @@ _AXIS = "m DOUBLE, v DOUBLE, pm DOUBLE, pc DOUBLE, pv DOUBLE"
 _LIVE = f"STRUCT(id VARCHAR, seen BIGINT, a STRUCT({_AXIS}), b STRUCT({_AXIS}))"
 
 
+def _decay(rate: str, dt: str) -> str:
+    """1 - exp(-rate * dt) without cancellation: 2 exp(-a/2) sinh(a/2)."""
+    half = f"({rate}::DOUBLE * {dt} / 2)"
+    return f"(2 * exp(-{half}) * sinh({half}))"
+
+
 def _ahead(axis: str) -> str:
     g, d = "f.g", "f.d"
     p = f"f.t.{axis}"
@@ -748,8 +754,8 @@ fold AS (
         FROM (
           SELECT *, list_transform(list_transform(list_transform(alive, lambda t: {{
               't': t, 'dt': CAST(micros - t.seen AS DOUBLE) / 1000000,
-              'e1': 1 - exp(-0.0001::DOUBLE * (CAST(micros - t.seen AS DOUBLE) / 1000000)),
-              'e2': 1 - exp(-0.0002::DOUBLE * (CAST(micros - t.seen AS DOUBLE) / 1000000))}}),
+              'e1': {_decay('0.0001', '(CAST(micros - t.seen AS DOUBLE) / 1000000)')},
+              'e2': {_decay('0.0002', '(CAST(micros - t.seen AS DOUBLE) / 1000000)')}}}),
             lambda e: {{'t': e.t, 'g': e.e1 / 0.0001::DOUBLE, 'd': 1 - e.e1,
               'qm': CASE WHEN e.dt >= 1 THEN 0.5 * (e.dt - 2 * e.e1 / 0.0001::DOUBLE + e.e2 / 0.0002::DOUBLE) / 0.00000001::DOUBLE
                     ELSE 0.5 * (e.dt**3 / 3 - 0.0001::DOUBLE * e.dt**4 / 4) END,
@@ -782,10 +788,10 @@ _sql("predicted_states", _TRACKER + """,
 gaps AS (
   SELECT *, coalesce(lead(micros) OVER (PARTITION BY track_id ORDER BY micros) - micros, 600000000) AS gap FROM states
 ),
-grid AS (SELECT gaps.*, g.dt AS dt FROM gaps, range(60, 601, 60) AS g(dt) WHERE g.dt * 1000000 < gap)""", """
+grid AS (SELECT gaps.*, g.dt AS dt FROM gaps, range(60, 601, 60) AS g(dt) WHERE g.dt * 1000000 < gap)""", f"""
 SELECT track_id, mmsi, micros + dt * 1000000 AS micros,
-       round(x + (1 - exp(-0.0001::DOUBLE * dt)) / 0.0001::DOUBLE * vx, 2) AS x,
-       round(y + (1 - exp(-0.0001::DOUBLE * dt)) / 0.0001::DOUBLE * vy, 2) AS y
+       round(x + {_decay('0.0001', 'dt')} / 0.0001::DOUBLE * vx, 2) AS x,
+       round(y + {_decay('0.0001', 'dt')} / 0.0001::DOUBLE * vy, 2) AS y
 FROM grid""")
 _sql("track_polylines", _TRACKER + "," + _INVERSE.replace("__SOURCE__", "states"), """
 SELECT track_id, mmsi, CAST(count(*) AS INTEGER) AS n_points, round(arg_max(lat, micros), 6) AS last_lat,
