@@ -40,7 +40,7 @@ def blank(c: Column) -> Column:
 
 
 def number_text(x: Column) -> Column:
-    """Shortest decimal text of a double: plain from 1e-4 up to 1e16, exponent form outside."""
+    """Decimal text of a double, with the JVM's digits: plain from 1e-4 up to 1e16, exponent form outside."""
     short = x.cast("string")
     digits = F.regexp_replace(x.cast("decimal(38,20)").cast("string"), "0+$", "")
     plain = F.regexp_replace(digits, r"\.$", ".0")
