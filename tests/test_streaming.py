@@ -23,7 +23,9 @@ def drain(df, tmp_path, mode="append"):
         df.writeStream.format("memory").queryName(name).outputMode(mode)
         .option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
     )
-    query.awaitTermination()
+    finished = query.awaitTermination(90)
+    query.stop()
+    assert finished, "the stream did not come to an end"
     return df.sparkSession.table(name)
 
 
@@ -59,9 +61,15 @@ def test_tracks(spark, sf_dir, tmp_path, files):
 
 
 def test_tracks_with_idle_limit(spark, sf_dir, tmp_path):
+    """With a state lifetime Spark goes on with empty triggers, so they are switched off to come to an end."""
     p = driver.pings(spark, sf_dir)
     source = read_files(spark, in_files(p, str(tmp_path / "in"), 1, ["ts", "seq"]), p.schema)
-    assert drain(stream_tracks(source, idle_ms=3_600_000), tmp_path).count() == tracks.build_tracks(p).count()
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    try:
+        got = drain(stream_tracks(source, idle_ms=3_600_000), tmp_path).count()
+    finally:
+        spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
+    assert got == tracks.build_tracks(p).count()
 
 
 @pytest.mark.parametrize("files", [1, 4])
@@ -133,7 +141,7 @@ def test_mapper(spark, sf_dir, tmp_path):
         source, str(tmp_path / "state"),
         lambda df: df.write.mode("append").parquet(out), lambda df: df.write.mode("append").parquet(dead),
     )
-    query.awaitTermination()
+    assert query.awaitTermination(90)
     assert spark.read.parquet(dead).count() == 1
     seen, bad = smonitor.message_triples(spark.read.parquet(out).withColumn("graph_id", F.decode("key", "UTF-8")))
     direct = emitters.vessel_state_graphs(mapping.map_pings(p, mapping.vessel_class_map(spark)))
