@@ -61,8 +61,12 @@ def oz_projection(pings: DataFrame) -> DataFrame:
 
 
 def pack_json(numbered: DataFrame) -> DataFrame:
-    """One JSON array of row arrays per message. A message gathers `size` rows, never more."""
-    rows = numbered.select("batch_id", "place", F.to_json(ais_row()).alias("_row"))
+    """One JSON array of row arrays per message. A message gathers `size` rows, never more.
+
+    Rows are spread by message first: a short table is numbered in one task, and the grouping would stay
+    there. On a long one this is the exchange the grouping needs anyway.
+    """
+    rows = numbered.repartition("batch_id").select("batch_id", "place", F.to_json(ais_row()).alias("_row"))
     joined = F.array_join(F.transform(F.array_sort("_rows"), lambda r: r["_row"]), ",")
     return (
         rows.groupBy("batch_id")
@@ -74,7 +78,7 @@ def pack_json(numbered: DataFrame) -> DataFrame:
 def pack_oz_csv(numbered: DataFrame) -> DataFrame:
     """One CSV text per message, craft layout, CRLF line ends."""
     line = F.to_csv(oz_row(), {"emptyValue": "", "escape": '"'})
-    rows = numbered.select("batch_id", "place", line.alias("_row"))
+    rows = numbered.repartition("batch_id").select("batch_id", "place", line.alias("_row"))
     joined = F.array_join(F.transform(F.array_sort("_rows"), lambda r: F.concat(r["_row"], F.lit("\r\n"))), "")
     return (
         rows.groupBy("batch_id")

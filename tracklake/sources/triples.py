@@ -8,13 +8,12 @@ from pyspark.sql import functions as F
 from ..functions.codec import decode_body
 from ..functions.text import unescape_literal
 
-_SUBJECT = r"(<[^>]*>|_:\S+)"
-_LINE = rf"^\s*{_SUBJECT}\s+(<[^>]*>)\s+(<[^>]*>|_:\S+|\"(?:[^\"\\]|\\.)*\"(?:\^\^<[^>]*>|@[A-Za-z0-9-]+)?)\s*\.\s*(?:#.*)?$"
-_LITERAL = r"(?s)^\"((?:[^\"\\]|\\.)*)\"(?:\^\^<([^>]*)>|(@[A-Za-z0-9-]+))?$"
+# The object with the closing dot: an IRI, a blank node, or a literal with datatype or language.
+_OBJECT = r"^(<[^>]*>|_:\S+|\"(?:[^\"\\]|\\.)*\"(?:\^\^<[^>]*>|@[A-Za-z0-9-]+)?)\s*\.\s*(?:#.*)?$"
 
 
 def _bare(node: Column) -> Column:
-    return F.regexp_replace(node, r"^<|>$", "")
+    return F.when(node.startswith("<"), node.substr(F.lit(2), F.length(node) - 2)).otherwise(node)
 
 
 def parse_lines(
@@ -23,26 +22,35 @@ def parse_lines(
     """(triples, lines that are not N-Triples), each after the `keep` columns. Blank and comment lines are
     neither."""
     content = F.coalesce(F.trim(F.col(line)), F.lit("(damaged body)"))
-    groups = lines.where((content != "") & ~content.startswith("#")).select(
-        *keep, line, *[F.coalesce(F.regexp_extract(line, _LINE, i), F.lit("")).alias(f"_{i}") for i in (1, 2, 3)]
+    parts = F.split(content, r"\s+", 3)
+    cut = (
+        lines.where((content != "") & ~content.startswith("#"))
+        .select(*keep, line, parts.alias("_parts"))
+        .select(
+            *keep, line,
+            F.get("_parts", F.lit(0)).alias("_s"),
+            F.get("_parts", F.lit(1)).alias("_p"),
+            F.coalesce(F.regexp_extract(F.get("_parts", F.lit(2)), _OBJECT, 1), F.lit("")).alias("_o"),
+        )
     )
-    obj = F.col("_3")
+    is_iri = lambda c: F.col(c).startswith("<") & F.col(c).endswith(">")
+    valid = (F.col("_o") != "") & (is_iri("_s") | F.col("_s").startswith("_:")) & is_iri("_p")
+    valid = F.coalesce(valid, F.lit(False))
+    obj = F.col("_o")
     kind = F.when(obj.startswith("<"), "iri").when(obj.startswith("_:"), "bnode").otherwise("literal")
-    dtype = F.coalesce(
-        F.nullif(F.regexp_extract(obj, _LITERAL, 2), F.lit("")), F.nullif(F.regexp_extract(obj, _LITERAL, 3), F.lit(""))
-    )
-    text = unescape_literal(F.regexp_extract(obj, _LITERAL, 1))
-    good = groups.where(F.col("_1") != "").select(
+    # Neither a datatype nor a language holds a quote, so the literal's text ends at the last one.
+    suffix = F.substring_index(obj, '"', -1)
+    body = obj.substr(F.lit(2), F.length(obj) - F.length(suffix) - 2)
+    dtype = F.when(suffix.startswith("^^<"), suffix.substr(F.lit(4), F.length(suffix) - 4)).when(suffix != "", suffix)
+    good = cut.where(valid).select(
         *keep,
-        _bare(F.col("_1")).alias("s"),
-        _bare(F.col("_2")).alias("p"),
-        F.when(kind == "literal", text).otherwise(_bare(obj)).alias("o"),
+        _bare(F.col("_s")).alias("s"),
+        _bare(F.col("_p")).alias("p"),
+        F.when(kind == "literal", unescape_literal(body)).otherwise(_bare(obj)).alias("o"),
         kind.alias("o_kind"),
         F.when(kind == "literal", dtype).alias("o_dtype"),
     )
-    bad = groups.where(F.col("_1") == "").select(
-        *keep, F.lit("not an N-Triples line").alias("error"), F.col(line).alias("raw")
-    )
+    bad = cut.where(~valid).select(*keep, F.lit("not an N-Triples line").alias("error"), F.col(line).alias("raw"))
     return good, bad
 
 
