@@ -14,7 +14,7 @@ from ..functions import text as tx
 from ..functions.geo import geohash
 from ..operators import emitters, kalman, mapping, monitor, packing, tracks
 from ..operators import triples as tr
-from ..session import fresh_path, stage
+from ..session import fresh_path, spread, stage
 from ..sources import driver, messages, triples
 from ..sources.pings import detections, split_bad_pings
 from ..streaming.mapper import map_messages
@@ -143,7 +143,7 @@ def basic_track_triples(spark, sf_dir):
 
 @query
 def ping_triples(spark, sf_dir):
-    return emitters.ping_graphs(driver.pings(spark, sf_dir))
+    return emitters.ping_graphs(spread(driver.pings(spark, sf_dir)))
 
 
 @query
@@ -194,7 +194,7 @@ def geohash_points(spark, sf_dir):
 
 
 def _mapped(spark, sf_dir) -> DataFrame:
-    return mapping.map_pings(driver.pings(spark, sf_dir), mapping.vessel_class_map(spark))
+    return mapping.map_pings(spread(driver.pings(spark, sf_dir)), mapping.vessel_class_map(spark))
 
 
 @query

@@ -62,3 +62,13 @@ def stage(df: DataFrame) -> DataFrame:
     path = fresh_path(df.sparkSession, "stage")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a table that comes in fewer pieces than there are cores out evenly.
+
+    For jobs that turn each row into dozens without a shuffle of their own. A large table has more pieces
+    than cores and is left as it is. Looking at the pieces only plans the scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
