@@ -28,10 +28,7 @@ def test_exact_and_default_classes(spark, coded):
 
 
 def test_patterns_come_between_exact_and_default(spark, coded):
-    rules = spark.createDataFrame(
-        [(2, "^7", ["Vessel"], []), (1, "^7[a-z]", ["Ship"], ["Odd"]), (3, "^1", ["Port"], [])],
-        "rank int, pattern string, base_classes array<string>, extension_classes array<string>",
-    )
+    rules = [("^7[a-z]", ["Ship"], ["Odd"]), ("^7", ["Vessel"], []), ("^1", ["Port"], [])]
     got = classes_of(mapping.type_rows(coded, mapping.vessel_class_map(spark), patterns=rules))
     assert got[5] == [ies("Ship"), EXTENSION + "Odd"]
     assert got[3] == [ies("Vessel")]

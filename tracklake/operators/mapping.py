@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -68,13 +68,13 @@ def _prefixed(names: Column, base: str) -> Column:
 
 def type_rows(
     rows: DataFrame, class_map: DataFrame, policy: ClassPolicy | None = None, on: str = "vessel_type",
-    patterns: DataFrame | None = None,
+    patterns: list[tuple[str, list[str], list[str]]] | None = None,
 ) -> DataFrame:
     """Add `classes`: exact match on the code, else the first matching pattern, else the defaults.
 
     The class map is a plain left join: Spark broadcasts it while it is under
-    spark.sql.autoBroadcastJoinThreshold and shuffles it otherwise. `patterns` has columns
-    (rank, pattern, base_classes, extension_classes).
+    spark.sql.autoBroadcastJoinThreshold and shuffles it otherwise. `patterns` is the list of
+    (regular expression, base classes, extension classes) of the mapping spec, in order.
     """
     policy = policy or ClassPolicy()
     lookup = class_map.select(
@@ -82,10 +82,14 @@ def type_rows(
     )
     found = rows.join(lookup, F.col(on) == F.col("_code"), "left")
     base, ext = F.col("_base"), F.col("_ext")
-    if patterns is not None:
-        found = _first_pattern(found, patterns, on)
-        base, ext = F.coalesce(base, F.col("_pbase")), F.coalesce(ext, F.col("_pext"))
     names = lambda values: F.lit(values).cast("array<string>") if values else F.array().cast("array<string>")
+    if patterns:
+        first_base, first_ext = F.lit(None).cast("array<string>"), F.lit(None).cast("array<string>")
+        for pattern, pattern_base, pattern_ext in reversed(patterns):
+            hit = F.col(on).rlike(pattern)
+            first_base = F.when(hit, names(pattern_base)).otherwise(first_base)
+            first_ext = F.when(hit, names(pattern_ext)).otherwise(first_ext)
+        base, ext = F.coalesce(base, first_base), F.coalesce(ext, first_ext)
     matched = F.concat(_prefixed(base, policy.base_uri), _prefixed(ext, policy.extension_uri))
     default = F.concat(
         _prefixed(names(policy.default_base), policy.base_uri),
@@ -95,21 +99,6 @@ def type_rows(
     return found.select(*rows.columns, classes.alias("classes"))
 
 
-def _first_pattern(found: DataFrame, patterns: DataFrame, on: str) -> DataFrame:
-    """Patterns are tried on the distinct codes without an exact match, not on every row."""
-    codes = found.where(F.col("_code").isNull()).select(F.col(on).alias("_value")).distinct()
-    w = Window.partitionBy("_value").orderBy("rank")
-    hits = (
-        codes.join(patterns, F.expr("_value rlike pattern"))
-        .withColumn("_rank", F.row_number().over(w))
-        .where("_rank = 1")
-        .select(
-            F.col("_value"), F.col("base_classes").alias("_pbase"), F.col("extension_classes").alias("_pext")
-        )
-    )
-    return found.join(hits, F.col(on) == F.col("_value"), "left")
-
-
 def map_pings(
     pings: DataFrame, class_map: DataFrame, uri: UriPolicy | None = None, classes: ClassPolicy | None = None,
     graph_id: Column | None = None,

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_LIMIT = 2_000_000  # rows of one key that a single task may sort
-MAX_SLICES = 20_000  # split points kept on the driver; beyond that slices grow instead
+MAX_SLICES = 20_000  # bound on hot keys and on split points kept on the driver; beyond it slices grow
 
 
 @dataclass
@@ -48,19 +48,21 @@ class HotKeys:
 
 
 def find_hot(df: DataFrame, keys: list[str], limit: int = DEFAULT_LIMIT) -> HotKeys:
-    """Count rows per key and keep the keys over `limit`: at most rows / limit of them."""
+    """Count rows per key and keep the keys over `limit`.
+
+    The limit grows with the table, so that at most MAX_SLICES keys reach the driver. A table within the
+    limit has no such key; its total alone tells (a Parquet scan takes it from the file footers).
+    """
+    total = df.count()
+    if total <= limit:
+        return HotKeys(list(keys), limit)
     if not keys:
-        n = df.count()
-        return HotKeys([], limit, [(n,)] if n > limit else [])
+        return HotKeys([], limit, [(total,)])
+    limit = max(limit, -(-total // MAX_SLICES))
     found = df.groupBy(*keys).count().where(F.col("count") > limit)
     return HotKeys(list(keys), limit, [tuple(row) for row in found.collect()])
 
 
-def none_hot(keys: list[str], limit: int = DEFAULT_LIMIT) -> HotKeys:
-    """For inputs whose keys are bounded by construction, or already known to be small."""
-    return HotKeys(list(keys), limit)
-
-
 def as_long(df: DataFrame, name: str) -> Column:
     kind = df.schema[name].dataType.typeName()
     if kind == "timestamp":

@@ -252,9 +252,13 @@ def union_sets(*tables: DataFrame) -> DataFrame:
 
 
 def contained(candidates: DataFrame, graph: DataFrame, scope: tuple[str, ...] = ("graph_id",)) -> DataFrame:
-    """Candidates that are in the graph. `scope=()` looks in all graphs."""
+    """Candidates that are in the graph. `scope=()` looks in all graphs.
+
+    Every graph repeats some triples, so the graph side is made distinct, map-side first; the join then
+    uses the same partitioning.
+    """
     on = [*scope, "s", "p", "o"]
-    return candidates.join(graph.select(*on), on, "left_semi")
+    return candidates.join(graph.select(*on).distinct(), on, "left_semi")
 
 
 def is_typing() -> Column:

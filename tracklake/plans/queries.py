@@ -208,10 +208,7 @@ def class_map(spark, sf_dir):
 def class_patterns(spark, sf_dir):
     """Codes without an exact match fall to the first matching pattern, then to the defaults."""
     p = driver.pings(spark, sf_dir).select("seq", F.concat("vessel_type", F.col("status").substr(1, 1)).alias("code"))
-    rules = spark.createDataFrame(
-        [(1, "^1[0-9]+c$", ["Ship"], ["Clicked"]), (2, "^1", ["Vessel"], []), (3, "^9[0-9]+s$", [], ["Unknown"])],
-        "rank int, pattern string, base_classes array<string>, extension_classes array<string>",
-    )
+    rules = [("^1[0-9]+c$", ["Ship"], ["Clicked"]), ("^1", ["Vessel"], []), ("^9[0-9]+s$", [], ["Unknown"])]
     exact = mapping.vessel_class_map(spark)
     typed = mapping.type_rows(p, exact, on="code", patterns=rules)
     return typed.select("seq", F.explode("classes").alias("class"))
