@@ -6,8 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from tracklake.plans.oracle import ORACLE
+from tracklake.plans.queries import QUERIES
 
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,7 @@ def db(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLE) <= set(entry_point.oracle_sql())
 
 
 def test_entry(spark):
