@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tracklake.llm.grace_dedup import exact_dedup
+from tracklake.llm.lsa_quality import score_quality
 from tracklake.llm.mixing import mix_sources
 from tracklake.llm.secrets import scan_secrets
+from tracklake.llm.set_join import jaccard_components
 from tracklake.llm.tile_join import vector_links
 from tracklake.llm.url_templates import filter_urls
 from tracklake.session import prepare
@@ -25,6 +27,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -45,8 +51,14 @@ def op9_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_links(table(spark, sf_dir, "embeddings"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op4_secret_scan, op5_source_mix, op7_url_filter, op8_exact_dedup, op9_vector_links)
+    f.__name__: f
+    for f in (op1_quality_vote, op4_secret_scan, op5_source_mix, op7_url_filter, op8_exact_dedup, op9_vector_links,
+              op10_jaccard_join)
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
