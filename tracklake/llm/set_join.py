@@ -123,7 +123,7 @@ def _index_rows(ids: pa.Array, held: list[tuple]) -> pa.RecordBatch:
 
 
 def _list_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of short lists."""
+    """Pairs of sets in a list whose sizes allow a link, with the overlap that their places in the list leave possible."""
     for batch in batches:
         column = batch.column("entries")
         flat = column.flatten()
@@ -132,22 +132,24 @@ def _list_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
         size, place = meta >> 32, meta & 0xFFFFFFFF
         offsets = column.offsets.to_numpy()
         offsets = offsets - offsets[0]
-        a_out, b_out = [], []
+        a_out, b_out, gaps = [], [], []
         for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
             order = lo + np.argsort(size[lo:hi], kind="stable")
             n, left, ids = size[order], size[order] - place[order] - 1, rep[order]
             starts = np.searchsorted(n, -(-percent * n // 100))  # smaller sets before are one skipped block
             for k in range(1, hi - lo):
                 j = np.arange(starts[k], k)
+                # What is missing: by place after this shingle, and in shared prefix shingles over all lists.
                 least = -(-percent * (n[k] + n[j]) // (100 + percent))
-                j = j[1 + np.minimum(left[k], left[j]) >= least]
                 a_out.append(np.full(len(j), ids[k]))
                 b_out.append(ids[j])
-        a = np.concatenate(a_out) if a_out else np.zeros(0, np.int64)
-        b = np.concatenate(b_out) if b_out else np.zeros(0, np.int64)
-        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-        both = both[both[:, 0] != both[:, 1]]
-        yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["x", "y"])
+                # The set whose prefix ends first in the order adds at most what follows its prefix.
+                rest = np.maximum(-(-percent * n[k] // 100), -(-percent * n[j] // 100)) - 1
+                gaps.append(np.stack([1 + np.minimum(left[k], left[j]) - least, least - rest], 1))
+        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a_out, b_out))
+        gap = np.concatenate(gaps) if gaps else np.zeros((0, 2), np.int64)
+        columns = (np.minimum(a, b), np.maximum(a, b), gap[:, 0], gap[:, 1])
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["x", "y", "slack", "shared"])
 
 
 def set_links(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -226,9 +228,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     meta = F.shiftleft("n_shingles", 32) + F.col("place").cast("long")
     postings = single.select("rep", "n_shingles", F.posexplode("prefix").alias("place", "token")).select("token", "rep", meta.alias("meta"))
     lengths = postings.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
-    lists = postings.join(lengths, "token")
+    lists = stage(postings.join(lengths, "token"))
     short = lists.where(F.col("n") <= short_list).groupBy("token").agg(F.collect_list(F.struct("rep", "meta")).alias("entries"))
-    pairs = stage(short.select("entries").mapInArrow(partial(_list_pairs, percent=percent), "x long, y long").distinct())
+    seen = short.select("entries").mapInArrow(partial(_list_pairs, percent=percent), "x long, y long, slack long, shared long")
+    # A pair must pass the place test at its first shared shingle, and share enough prefix shingles. Pairs that also
+    # meet in long lists share more than is counted here, but their tiles find them.
+    met = seen.where("x <> y").groupBy("x", "y").agg(F.count("*").alias("c"), F.max("slack").alias("slack"), F.max("shared").alias("shared"))
+    pairs = stage(met.where("slack >= 0 AND c >= shared").select("x", "y"))
     blocks = F.ceil(F.col("n") / F.lit(tile_block)).cast("int")
     dealt = lists.where(F.col("n") > short_list).select(
         "token", "rep", blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"))
