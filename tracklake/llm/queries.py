@@ -11,6 +11,7 @@ from tracklake.llm.lsa_quality import score_quality
 from tracklake.llm.mixing import mix_sources
 from tracklake.llm.secrets import scan_secrets
 from tracklake.llm.set_join import jaccard_components
+from tracklake.llm.suffix_dedup import remove_repeats
 from tracklake.llm.tile_join import vector_links
 from tracklake.llm.url_templates import filter_urls
 from tracklake.session import prepare
@@ -31,6 +32,10 @@ def op1_quality_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -57,7 +62,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_quality_vote, op4_secret_scan, op5_source_mix, op7_url_filter, op8_exact_dedup, op9_vector_links,
+    for f in (op1_quality_vote, op2_substring_dedup, op4_secret_scan, op5_source_mix, op7_url_filter, op8_exact_dedup, op9_vector_links,
               op10_jaccard_join)
 }
 
@@ -132,4 +137,26 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(low, vec_
 FROM embeddings LEFT JOIN degree d ON d.a = vec_id LEFT JOIN part p ON p.a = vec_id
 """
 
-ORACLE: dict[str, str] = {"op5_source_mix": _OP5, "op8_exact_dedup": _OP8, "op9_vector_links": _OP9}
+_OP2 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), wins AS (
+  SELECT doc_id, unnest(range(1, len(w) - 48)) AS p, w FROM d WHERE len(w) >= 50
+), keyed AS (
+  SELECT doc_id, p, sha256(array_to_string(w[p:p + 49], ' ')) AS k FROM wins
+), lows AS (
+  SELECT k, min(doc_id) AS low FROM keyed GROUP BY k HAVING min(doc_id) < max(doc_id)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS p FROM keyed JOIN lows USING (k) WHERE low < doc_id
+), lost AS (
+  SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id
+), kept AS (
+  SELECT d.doc_id, w, coalesce(len(ps), 0) AS n_removed,
+         CASE WHEN ps IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(ps, i)) END AS kw
+  FROM d LEFT JOIN lost USING (doc_id)
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256(coalesce(array_to_string(kw, ' '), '')) AS kept_sha256
+FROM kept
+"""
+
+ORACLE: dict[str, str] = {"op2_substring_dedup": _OP2, "op5_source_mix": _OP5, "op8_exact_dedup": _OP8, "op9_vector_links": _OP9}
