@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tracklake.llm.grace_dedup import exact_dedup
 from tracklake.llm.lsa_quality import score_quality
 from tracklake.llm.mixing import mix_sources
+from tracklake.llm.pieces import decode_pieces, encode_pieces, load_vocabulary
 from tracklake.llm.secrets import scan_secrets
 from tracklake.llm.set_join import jaccard_components
 from tracklake.llm.suffix_dedup import remove_repeats
@@ -18,6 +20,7 @@ from tracklake.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 # The rules of the URL query.
 URL_RULES = [
     ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"),
@@ -36,6 +39,13 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op3_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    vocabulary = load_vocabulary(PIECE_MODEL)
+    decoded = decode_pieces(encode_pieces(docs, vocabulary), vocabulary)
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -62,7 +72,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_quality_vote, op2_substring_dedup, op4_secret_scan, op5_source_mix, op7_url_filter, op8_exact_dedup, op9_vector_links,
+    for f in (op1_quality_vote, op2_substring_dedup, op3_piece_codec, op4_secret_scan, op5_source_mix, op7_url_filter, op8_exact_dedup, op9_vector_links,
               op10_jaccard_join)
 }
 
