@@ -14,6 +14,7 @@ from tracklake.llm.pieces import decode_pieces, encode_pieces, load_vocabulary
 from tracklake.llm.secrets import scan_secrets
 from tracklake.llm.set_join import jaccard_components
 from tracklake.llm.suffix_dedup import remove_repeats
+from tracklake.llm.surrogates import replace_personal_data
 from tracklake.llm.tile_join import vector_links
 from tracklake.llm.url_templates import filter_urls
 from tracklake.session import prepare
@@ -54,6 +55,10 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -70,10 +75,16 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(prepare(spark), sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_quality_vote, op2_substring_dedup, op3_piece_codec, op4_secret_scan, op5_source_mix, op7_url_filter, op8_exact_dedup, op9_vector_links,
-              op10_jaccard_join)
+    for f in (op1_quality_vote, op2_substring_dedup, op3_piece_codec, op4_secret_scan, op5_source_mix, op6_surrogates, op7_url_filter, op8_exact_dedup, op9_vector_links,
+              op10_jaccard_join, pipeline)
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
