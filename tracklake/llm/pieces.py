@@ -25,7 +25,7 @@ from tracklake.llm.common import groups_of
 from tracklake.session import stage
 
 CHUNK_CHARS = 48_000_000
-BUCKETS_PER_CHUNK = 4
+BUCKETS_PER_CHUNK = 16
 HELD_WORDS = 1_000_000  # distinct words that a task collects before it hands them on
 LATTICE_CHARS = 48  # longer words are folded in Python, with the same rule
 SPACE = "▁"
@@ -74,66 +74,88 @@ def words_of(text: str) -> list[str]:
 
 
 def lattice(words: DataFrame, pieces: DataFrame, longest: int, *keys: str) -> DataFrame:
-    """Edges of each word's lattice, best first: array of struct(rank, i, l, id, score); i from 0."""
+    """Edges of each word's lattice, best first, each a number: piece order * 2**36 + i * 2**30 + l * 2**24 + piece id.
+
+    An edge covers characters i to i + l, so words have 62 characters at most.
+    """
     size = F.length("word")
     starts = words.select(*keys, "word", F.explode(F.sequence(F.lit(0), size - 1)).alias("i"))
     spans = starts.select(
         *keys, "word", "i", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), size - F.col("i")))).alias("l"))
     texts = spans.select(*keys, "word", "i", "l", F.substring("word", F.col("i") + 1, F.col("l")).alias("piece"))
     edges = texts.join(F.broadcast(pieces), "piece")  # the vocabulary, a fixed table
-    edge = F.struct((-F.col("score")).alias("rank"), "i", "l", "id", "score")
+    edge = F.col("order") * (1 << 36) + F.col("i").cast("long") * (1 << 30) + F.col("l").cast("long") * (1 << 24) + F.col("id")
     return edges.groupBy(*keys, "word").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
 
 
+def _field(edge: Column, shift: int, bits: int) -> Column:
+    return F.shiftright(edge, shift).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
+
+
+def _places(edge: Column) -> tuple[Column, Column]:
+    """As bits of a number: the two ends of an edge, and the places between them."""
+    bit = lambda place: F.call_function("shiftleft", F.lit(1).cast("long"), place)
+    low = bit(_field(edge, 30, 6))
+    high = bit(_field(edge, 30, 6) + _field(edge, 24, 6))
+    return low.bitwiseOR(high), high - low * 2
+
+
 def merge_fold(word: Column, edges: Column) -> Column:
-    """BPE: cut places of the word after merging the best-scored mergeable pair, leftmost first, until none is left."""
+    """BPE: cut places (as bits) after merging the best-scored mergeable pair, leftmost first, until none is left.
+
+    An edge is mergeable when both its ends are cuts and just one cut lies between them.
+    """
     size = F.length(word)
+    every = F.call_function("shiftleft", F.lit(1).cast("long"), size + 1) - 1
+
+    def inside(edge: Column) -> Column:
+        low = F.call_function("shiftleft", F.lit(2).cast("long"), _field(edge, 30, 6))
+        return F.call_function("shiftleft", F.lit(1).cast("long"), _field(edge, 30, 6) + _field(edge, 24, 6)) - low
 
     def step(cuts: Column, _: Column) -> Column:
         def mergeable(e: Column) -> Column:
-            at = F.array_position(cuts, e["i"]).cast("int")
-            return (at > 0) & (F.get(cuts, at + 1) == e["i"] + e["l"])
+            ends, inner = _places(e)
+            return (F.bit_count(cuts.bitwiseAND(inner)) == 1) & (cuts.bitwiseAND(ends) == ends)
 
         best = F.get(F.filter(edges, mergeable), F.lit(0))
-        middle = F.get(cuts, F.array_position(cuts, best["i"]).cast("int"))
-        return F.when(best.isNull(), cuts).otherwise(F.array_remove(cuts, middle))
+        return F.coalesce(cuts.bitwiseAND(F.bitwise_not(inside(best))), cuts)
 
     steps = F.when(size > 1, F.sequence(F.lit(2), size)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(steps, F.sequence(F.lit(0), size), step)
+    return F.aggregate(steps, every, step)
+
 
+def viterbi_fold(word: Column, edges: Column, scores: Column, missing: float = -1e6) -> Column:
+    """Unigram: cut places (as bits) of the path with the largest sum of scores; a character without a piece costs `missing`.
 
-def viterbi_fold(word: Column, edges: Column, missing: float = -1e6) -> Column:
-    """Unigram: cut places of the path with the largest sum of scores. A character without a piece costs `missing`."""
-    start = F.array(F.struct(F.lit(0.0).alias("total"), F.array(F.lit(0)).alias("cuts")))
+    scores: map from piece id to score for the word's pieces.
+    """
+    start = F.array(F.struct(F.lit(0.0).alias("total"), F.lit(1).cast("long").alias("cuts")))
+    bit = lambda place: F.call_function("shiftleft", F.lit(1).cast("long"), place)
 
     def step(best: Column, end: Column) -> Column:
-        into = F.filter(edges, lambda e: e["i"] + e["l"] == end)
-        paths = F.transform(into, lambda e: F.struct(
-            (F.get(best, e["i"])["total"] + e["score"]).alias("total"),
-            F.concat(F.get(best, e["i"])["cuts"], F.array(end)).alias("cuts")))
-        single = F.exists(into, lambda e: e["l"] == 1)
-        fallback = F.struct((F.get(best, end - 1)["total"] + F.lit(missing)).alias("total"),
-                            F.concat(F.get(best, end - 1)["cuts"], F.array(end)).alias("cuts"))
-        every = F.when(single, paths).otherwise(F.concat(paths, F.array(fallback)))
+        def path(length: Column, score: Column) -> Column:
+            before = F.get(best, end - length)
+            return F.struct((before["total"] + score).alias("total"), (before["cuts"] + bit(end)).alias("cuts"))
+
+        into = F.filter(edges, lambda e: _field(e, 30, 6) + _field(e, 24, 6) == end)
+        paths = F.transform(into, lambda e: path(_field(e, 24, 6), F.element_at(scores, _field(e, 0, 24))))
+        single = F.exists(into, lambda e: _field(e, 24, 6) == 1)
+        every = F.when(single, paths).otherwise(F.concat(paths, F.array(path(F.lit(1), F.lit(missing)))))
         return F.concat(best, F.array(F.array_max(every)))
 
-    ends = F.sequence(F.lit(1), F.length(word))
-    return F.element_at(F.aggregate(ends, start, step), -1)["cuts"]
+    return F.element_at(F.aggregate(F.sequence(F.lit(1), F.length(word)), start, step), -1)["cuts"]
 
 
-def cut_ids(word: Column, edges: Column, cuts: Column, byte_ids: list[int]) -> Column:
-    """Ids of the pieces between cut places; a character without a piece becomes its UTF-8 bytes."""
-    table = F.array(*(F.lit(i) for i in byte_ids))
+def path_ids(edges: Column, cuts: Column) -> Column:
+    """Ids of the edges between neighbouring cuts, from left to right; null if a character has no piece."""
 
-    def ids(k: Column) -> Column:
-        a, b = F.get(cuts, k - 1), F.get(cuts, k)
-        hit = F.get(F.filter(edges, lambda e: (e["i"] == a) & (e["l"] == b - a)), F.lit(0))
-        code = F.hex(F.encode(F.substring(word, a + 1, b - a), "UTF-8"))
-        spelled = F.transform(F.sequence(F.lit(1), F.length(code), F.lit(2)),
-                              lambda p: F.get(table, F.conv(F.substring(code, p, F.lit(2)), 16, 10).cast("int")))
-        return F.when(hit.isNotNull(), F.array(hit["id"])).otherwise(spelled)
+    def used(e: Column) -> Column:
+        ends, inner = _places(e)
+        return (cuts.bitwiseAND(ends) == ends) & (cuts.bitwiseAND(inner) == 0)
 
-    return F.flatten(F.transform(F.sequence(F.lit(1), F.size(cuts) - 1), ids))
+    placed = F.transform(F.filter(edges, used), lambda e: e.bitwiseAND(F.lit((1 << 36) - 1)))
+    ids = F.transform(F.sort_array(placed), lambda e: _field(e, 0, 24))
+    return F.when(F.size(ids) == F.bit_count(cuts) - 1, ids)
 
 
 def fold_word(word: str, vocabulary: Vocabulary) -> list[int]:
@@ -244,7 +266,7 @@ def _answer(key, asked: pa.Table, words: pa.Table, shared) -> pa.Table:
     known = dict(zip(words.column("word").to_pylist(), words.column("ids").to_pylist()))
     rows = []
     for chunk, some in zip(asked.column("chunk").to_pylist(), asked.column("words").to_pylist()):
-        text = "\n".join(" ".join(map(str, known[w] if w in known else fold_word(w, shared.value))) for w in some)
+        text = "\n".join(" ".join(map(str, known.get(w) or fold_word(w, shared.value))) for w in some)
         rows.append((chunk, key[0].as_py(), zlib.compress(text.encode(), 1)))
     columns = zip(*rows) if rows else [[]] * 3
     return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.binary()))], names=["chunk", "bucket", "answers"])
@@ -275,7 +297,8 @@ def _encode_chunk(texts: pa.Table, answers: pa.Table, buckets: int) -> pa.Table:
 
 def _piece_table(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
     rows = pd.DataFrame([(p, i, float(s)) for p, (i, s) in vocabulary.pieces.items()], columns=["piece", "id", "score"])
-    return spark.createDataFrame(rows, "piece string, id int, score double")
+    rows["order"] = (-rows["score"]).rank(method="dense").astype("int64")
+    return spark.createDataFrame(rows, "piece string, id int, score double, order long")
 
 
 def encode_pieces(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text",
@@ -297,11 +320,18 @@ def encode_pieces(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id
     placed = found.withColumn("place", F.concat_ws("/", "bucket", "chunk")).repartition("place").sortWithinPartitions("place")
     asked = stage(placed.mapInArrow(_merged, "bucket int, chunk int, words array<string>")).repartition(buckets, "bucket")
     words = asked.select("bucket", F.explode("words").alias("word")).where(F.length("word") <= lattice_chars).distinct()
-    paths = lattice(words, _piece_table(spark, vocabulary), vocabulary.longest, "bucket")
-    fold = merge_fold if vocabulary.bpe else viterbi_fold
-    paths = paths.withColumn("cuts", fold(F.col("word"), F.col("edges")))
-    encoded = paths.select(F.col("bucket").alias("of_bucket"), "word",
-                           cut_ids(F.col("word"), F.col("edges"), F.col("cuts"), vocabulary.bytes_).alias("ids"))
+    table = _piece_table(spark, vocabulary)
+    paths = lattice(words, table, vocabulary.longest, "bucket")
+    if vocabulary.bpe:
+        paths = paths.withColumn("cuts", merge_fold(F.col("word"), F.col("edges")))
+    else:
+        every = table.agg(F.map_from_entries(F.collect_list(F.struct("id", "score"))).alias("scores"))
+        wanted = F.transform("edges", lambda e: _field(e, 0, 24))
+        own = F.map_filter("scores", lambda k, _: F.array_contains(wanted, k))
+        paths = paths.join(F.broadcast(every)).withColumn("scores", own)  # one row, the fixed vocabulary
+        paths = paths.withColumn("cuts", viterbi_fold(F.col("word"), F.col("edges"), F.col("scores")))
+    encoded = paths.select(F.col("bucket").alias("of_bucket"), "word", path_ids(F.col("edges"), F.col("cuts")).alias("ids"))
+    # Words without ids need bytes. They are folded with the answers: a filter here would be pushed into the fold.
     shared = spark.sparkContext.broadcast(vocabulary)
     answers = asked.groupBy("bucket").cogroup(encoded.groupBy("of_bucket")).applyInArrow(
         partial(_answer, shared=shared), "chunk int, bucket int, answers binary")
