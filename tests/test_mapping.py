@@ -64,3 +64,11 @@ def test_class_map_join_is_broadcast_only_by_size(spark, coded):
         assert len(classes_of(typed.withColumn("x", F.lit(1)))) == 5
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_fixed_map_does_not_shuffle_the_rows(spark):
+    from tracklake.operators.mapping import type_rows, vessel_class_map
+
+    rows = spark.range(1000).selectExpr("id", "cast(id % 90 as string) AS vessel_type")
+    plan = type_rows(rows, vessel_class_map(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan

@@ -43,7 +43,8 @@ class ClassPolicy:
 
 
 def vessel_class_map(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(VESSEL_CLASS_MAP, CLASS_MAP)
+    """The ten fixed lines. Spark knows no size for a local list, so the hint keeps it from shuffling the facts on the code."""
+    return F.broadcast(spark.createDataFrame(VESSEL_CLASS_MAP, CLASS_MAP))
 
 
 def name_rows(rows: DataFrame, policy: UriPolicy, key: list[str], uri: str = "row_uri") -> DataFrame:
@@ -72,8 +73,8 @@ def type_rows(
 ) -> DataFrame:
     """Add `classes`: exact match on the code, else the first matching pattern, else the defaults.
 
-    The class map is a plain left join: Spark broadcasts it while it is under
-    spark.sql.autoBroadcastJoinThreshold and shuffles it otherwise. `patterns` is the list of
+    The class map is a plain left join: the fixed map comes with a broadcast hint; for a map of one's own Spark broadcasts
+    it if its known size is under spark.sql.autoBroadcastJoinThreshold and shuffles it otherwise. `patterns` is the list of
     (regular expression, base classes, extension classes) of the mapping spec, in order.
     """
     policy = policy or ClassPolicy()

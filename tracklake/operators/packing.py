@@ -77,7 +77,7 @@ def pack_json(numbered: DataFrame) -> DataFrame:
 
 def pack_oz_csv(numbered: DataFrame) -> DataFrame:
     """One CSV text per message, craft layout, CRLF line ends."""
-    line = F.to_csv(oz_row(), {"emptyValue": "", "escape": '"'})
+    line = F.to_csv(oz_row(), {"emptyValue": "", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
     rows = numbered.repartition("batch_id").select("batch_id", "place", line.alias("_row"))
     joined = F.array_join(F.transform(F.array_sort("_rows"), lambda r: F.concat(r["_row"], F.lit("\r\n"))), "")
     return (
