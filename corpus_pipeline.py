@@ -56,7 +56,7 @@ STAGES = [
     ("encode", encode),
 ]
 
-ORACLE_SQL = None  # classifier, near copies and pieces are checked against brute force in tests/llm
+ORACLE_SQL = None  # SQL cannot express the classifier and the pieces; tests/llm check the operators one by one
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
