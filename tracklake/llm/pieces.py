@@ -1,16 +1,16 @@
 """SentencePiece encoding as a relational lattice, and decoding.
 
-Pieces never reach over the start of a word, so each distinct word is encoded once. A word's substrings of bounded length
-are joined to the piece table; the matches are the edges of its lattice. A fold over them gives the best path:
-for unigram models the Viterbi recursion, for BPE models the merges in order of their scores, each of which is
-an edge. The encoded words return to the texts chunk by chunk: a chunk is a set of texts with bounded size.
+Pieces never reach over the start of a word, so each distinct word is encoded once. Nor do they join two characters that are
+neighbours in no piece, so a word falls into parts there. A part's substrings of bounded length are joined to the piece
+table; the matches are the edges of its lattice. A fold over them gives the best path: for unigram models the Viterbi
+recursion, for BPE models the merges in order of their scores, each of which is an edge. The encoded words return to the
+texts chunk by chunk: a chunk is a set of texts with bounded size.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 from tracklake.llm.common import groups_of
 from tracklake.session import stage
 
-CHUNK_CHARS = 48_000_000
-BUCKETS_PER_CHUNK = 16
+CHUNK_CHARS = 16_000_000
+BUCKETS_PER_CHUNK = 4
 HELD_WORDS = 1_000_000  # distinct words that a task collects before it hands them on
-LATTICE_CHARS = 48  # longer words are folded in Python, with the same rule
+LATTICE_CHARS = 48  # longer parts are folded in Python, with the same rule
 SPACE = "▁"
 _WORD = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 
@@ -70,22 +70,61 @@ def load_vocabulary(path: str) -> Vocabulary:
 
 def words_of(text: str) -> list[str]:
     """Words with the spaces before them; the first one gets the dummy prefix."""
-    return _WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
-
-
-def lattice(words: DataFrame, pieces: DataFrame, longest: int, *keys: str) -> DataFrame:
+    if not text:
+        return []
+    text = SPACE + text.replace(" ", SPACE)
+    if SPACE * 2 in text or "\0" in text:
+        return _WORD.findall(text)
+    if "\n" not in text:
+        return text.replace(SPACE, "\n" + SPACE)[1:].split("\n")
+    marked = text.replace("\n", "\n\0\n").replace(SPACE, "\n" + SPACE).split("\n")
+    return ["\n" if w == "\0" else w for w in marked if w]
+
+
+class Seams:
+    """Where words fall apart: between characters that are neighbours in no piece."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        pairs = {p[k : k + 2] for p in vocabulary.pieces for k in range(len(p) - 1)}
+        chars = sorted({ord(c) for pair in pairs for c in pair})
+        self.chars = np.array(chars, np.uint32)
+        self.joined = np.zeros((len(chars) + 1,) * 2, bool)  # the last line is for all other characters
+        for pair in pairs:
+            self.joined[tuple(np.searchsorted(self.chars, [ord(c) for c in pair]))] = True
+
+    def split(self, words: list[str]) -> list[list[str]]:
+        """The parts of each word. A word is free of line feeds, unless it is one."""
+        codes = np.frombuffer("\n".join("\t" if w == "\n" else w for w in words).encode("utf-32-le"), np.uint32)
+        if not len(codes) or not len(self.chars):
+            return [list(w) for w in words]
+        at = np.minimum(np.searchsorted(self.chars, codes), len(self.chars) - 1)
+        at = np.where(self.chars[at] == codes, at, len(self.chars))
+        # A line feed joins nothing: it gets one on either side, so that three part two words and one parts two parts.
+        seams = np.flatnonzero(~self.joined[at[:-1], at[1:]]) + 1
+        text = np.insert(codes, seams, np.uint32(10)).tobytes().decode("utf-32-le")
+        parts = [w.split("\n") for w in text.split("\n\n\n")]
+        return [["\n"] if w == "\n" else p for w, p in zip(words, parts, strict=True)]
+
+
+def lattice(words: DataFrame, pieces: DataFrame, bucket: str, least: int = 2) -> DataFrame:
     """Edges of each word's lattice, best first, each a number: piece order * 2**36 + i * 2**30 + l * 2**24 + piece id.
 
-    An edge covers characters i to i + l, so words have 62 characters at most.
+    An edge covers characters i to i + l, so words have 62 characters at most. Edges shorter than `least` are left out. Only
+    substrings of lengths that pieces with the same three first characters have are looked up. Words are grouped by a
+    hash first, on which sorts compare quickly.
     """
-    size = F.length("word")
-    starts = words.select(*keys, "word", F.explode(F.sequence(F.lit(0), size - 1)).alias("i"))
-    spans = starts.select(
-        *keys, "word", "i", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), size - F.col("i")))).alias("l"))
-    texts = spans.select(*keys, "word", "i", "l", F.substring("word", F.col("i") + 1, F.col("l")).alias("piece"))
+    size, key = F.length("word"), F.xxhash64("word").alias("key")
+    first = pieces.where("length(piece) >= 3").groupBy(F.substring("piece", 1, 3).alias("first")).agg(
+        F.collect_set(F.length("piece")).alias("lengths"))
+    short = F.array(*[F.lit(n) for n in (1, 2) if n >= least])
+    starts = words.where(size >= least).select(bucket, key, "word", F.explode(F.sequence(F.lit(0), size - least)).alias("i"))
+    near = starts.join(F.broadcast(first), F.substring("word", F.col("i") + 1, F.lit(3)) == F.col("first"), "left")  # a fixed table
+    spans = near.select(bucket, "key", "word", "i", F.explode(F.concat(short, F.coalesce("lengths", F.array().cast("array<int>")))).alias("l"))
+    spans = spans.where(F.col("i") + F.col("l") <= size)
+    texts = spans.select(bucket, "key", "word", "i", "l", F.substring("word", F.col("i") + 1, F.col("l")).alias("piece"))
     edges = texts.join(F.broadcast(pieces), "piece")  # the vocabulary, a fixed table
     edge = F.col("order") * (1 << 36) + F.col("i").cast("long") * (1 << 30) + F.col("l").cast("long") * (1 << 24) + F.col("id")
-    return edges.groupBy(*keys, "word").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+    return edges.groupBy("key", bucket, "word").agg(F.sort_array(F.collect_list(edge)).alias("edges")).drop("key")
 
 
 def _field(edge: Column, shift: int, bits: int) -> Column:
@@ -103,25 +142,30 @@ def _places(edge: Column) -> tuple[Column, Column]:
 def merge_fold(word: Column, edges: Column) -> Column:
     """BPE: cut places (as bits) after merging the best-scored mergeable pair, leftmost first, until none is left.
 
-    An edge is mergeable when both its ends are cuts and just one cut lies between them.
+    An edge is mergeable when both its ends are cuts and just one cut lies between them. The ends and inner places of
+    the edges are worked out once and go along in the fold's state; a set sign bit says that nothing is left to merge.
     """
     size = F.length(word)
     every = F.call_function("shiftleft", F.lit(1).cast("long"), size + 1) - 1
+    sign = F.lit(-(1 << 63)).cast("long")
 
-    def inside(edge: Column) -> Column:
-        low = F.call_function("shiftleft", F.lit(2).cast("long"), _field(edge, 30, 6))
-        return F.call_function("shiftleft", F.lit(1).cast("long"), _field(edge, 30, 6) + _field(edge, 24, 6)) - low
+    def masks(edge: Column) -> Column:
+        ends, inner = _places(edge)
+        return F.struct(ends.alias("ends"), inner.alias("inner"))
 
-    def step(cuts: Column, _: Column) -> Column:
-        def mergeable(e: Column) -> Column:
-            ends, inner = _places(e)
-            return (F.bit_count(cuts.bitwiseAND(inner)) == 1) & (cuts.bitwiseAND(ends) == ends)
+    def state(cuts: Column, pairs: Column) -> Column:
+        return F.struct(cuts.alias("cuts"), pairs.alias("pairs"))
 
-        best = F.get(F.filter(edges, mergeable), F.lit(0))
-        return F.coalesce(cuts.bitwiseAND(F.bitwise_not(inside(best))), cuts)
+    def step(now: Column, _: Column) -> Column:
+        cuts = now["cuts"]
+        mergeable = lambda e: (F.bit_count(cuts.bitwiseAND(e["inner"])) == 1) & (cuts.bitwiseAND(e["ends"]) == e["ends"])
+        best = F.get(F.filter(now["pairs"], mergeable), F.lit(0))
+        merged = F.coalesce(cuts.bitwiseAND(F.bitwise_not(best["inner"])), cuts.bitwiseOR(sign))
+        return F.when(cuts < 0, now).otherwise(state(merged, now["pairs"]))
 
+    pairs = F.transform(F.filter(edges, lambda e: _field(e, 24, 6) > 1), masks)
     steps = F.when(size > 1, F.sequence(F.lit(2), size)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(steps, every, step)
+    return F.aggregate(steps, state(every, pairs), step, lambda end: end["cuts"].bitwiseAND(F.lit((1 << 63) - 1)))
 
 
 def viterbi_fold(word: Column, edges: Column, scores: Column, missing: float = -1e6) -> Column:
@@ -146,16 +190,17 @@ def viterbi_fold(word: Column, edges: Column, scores: Column, missing: float = -
     return F.element_at(F.aggregate(F.sequence(F.lit(1), F.length(word)), start, step), -1)["cuts"]
 
 
-def path_ids(edges: Column, cuts: Column) -> Column:
-    """Ids of the edges between neighbouring cuts, from left to right; null if a character has no piece."""
+def _ids(word: str, places: list[int], vocabulary: Vocabulary) -> list[int]:
+    """Ids of the pieces between neighbouring cut places; characters without a piece become bytes."""
+    out: list[int] = []
+    for a, b in zip(places, places[1:]):
+        hit = vocabulary.pieces.get(word[a:b])
+        out += [hit[0]] if hit else [vocabulary.bytes_[x] for x in word[a:b].encode()]
+    return out
 
-    def used(e: Column) -> Column:
-        ends, inner = _places(e)
-        return (cuts.bitwiseAND(ends) == ends) & (cuts.bitwiseAND(inner) == 0)
 
-    placed = F.transform(F.filter(edges, used), lambda e: e.bitwiseAND(F.lit((1 << 36) - 1)))
-    ids = F.transform(F.sort_array(placed), lambda e: _field(e, 0, 24))
-    return F.when(F.size(ids) == F.bit_count(cuts) - 1, ids)
+def path_ids(word: str, cuts: int, vocabulary: Vocabulary) -> list[int]:
+    return _ids(word, [k for k in range(len(word) + 1) if cuts >> k & 1], vocabulary)
 
 
 def fold_word(word: str, vocabulary: Vocabulary) -> list[int]:
@@ -184,10 +229,9 @@ def fold_word(word: str, vocabulary: Vocabulary) -> list[int]:
                     before[b] = a
                 offer(a)
                 offer(before[a])
-        spans, a = [], 0
-        while a < n:
-            spans.append((a, end[a]))
-            a = end[a]
+        places = [0]
+        while places[-1] < n:
+            places.append(end[places[-1]])
     else:
         best = [(0.0, 0)] + [(float("-inf"), 0)] * n
         for b in range(1, n + 1):
@@ -196,16 +240,11 @@ def fold_word(word: str, vocabulary: Vocabulary) -> list[int]:
                 score = best[a][0] + (hit[1] if hit else -1e6)
                 if (hit or b - a == 1) and score > best[b][0]:
                     best[b] = (score, a)
-        spans, b = [], n
-        while b:
-            spans.append((best[b][1], b))
-            b = best[b][1]
-        spans.reverse()
-    out: list[int] = []
-    for a, b in spans:
-        hit = pieces.get(word[a:b])
-        out += [hit[0]] if hit else [vocabulary.bytes_[x] for x in word[a:b].encode()]
-    return out
+        places = [n]
+        while places[-1]:
+            places.append(best[places[-1]][1])
+        places.reverse()
+    return _ids(word, places, vocabulary)
 
 
 def _bucket_of(word: str, buckets: int) -> int:
@@ -258,16 +297,33 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["bucket", "chunk", "words"])
 
 
-def _answer(key, asked: pa.Table, words: pa.Table, shared) -> pa.Table:
-    """For one bucket: the ids of every chunk's words, in the order of its word list, compressed.
+def _parts(batches: Iterator[pa.RecordBatch], seams) -> Iterator[pa.RecordBatch]:
+    """Distinct parts of each word list."""
+    for batch in batches:
+        parts = [sorted({p for w in seams.value.split(words) for p in w}) for words in batch.column("words").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("bucket"), pa.array(parts, pa.list_(pa.string()))], names=["bucket", "parts"])
+
+
+def _answer(key, asked: pa.Table, parts: pa.Table, vocabulary, seams) -> pa.Table:
+    """For one bucket: numbers of ids, then the ids, of every chunk's words in the order of its word list, compressed.
 
-    Words that are too long for a lattice, or have no edge in it, are folded here.
+    Parts that are too long for a lattice, or have no edge in it, are folded here.
     """
-    known = dict(zip(words.column("word").to_pylist(), words.column("ids").to_pylist()))
+    model = vocabulary.value
+    known = {
+        w: np.array(path_ids(w, cuts, model), "<i4").tobytes()
+        for w, cuts in zip(parts.column("word").to_pylist(), parts.column("cuts").to_pylist())
+    }
     rows = []
-    for chunk, some in zip(asked.column("chunk").to_pylist(), asked.column("words").to_pylist()):
-        text = "\n".join(" ".join(map(str, known.get(w) or fold_word(w, shared.value))) for w in some)
-        rows.append((chunk, key[0].as_py(), zlib.compress(text.encode(), 1)))
+    for chunk, words in zip(asked.column("chunk").to_pylist(), asked.column("words").to_pylist()):
+        found = []
+        for split in seams.value.split(words):
+            for p in split:
+                if p not in known:
+                    known[p] = np.array(fold_word(p, model), "<i4").tobytes()
+            found.append(b"".join([known[p] for p in split]))
+        sizes = np.array([len(f) // 4 for f in found], "<i4").tobytes()
+        rows.append((chunk, key[0].as_py(), zlib.compress(sizes + b"".join(found), 1)))
     columns = zip(*rows) if rows else [[]] * 3
     return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.binary()))], names=["chunk", "bucket", "answers"])
 
@@ -280,18 +336,14 @@ def _encode_chunk(texts: pa.Table, answers: pa.Table, buckets: int) -> pa.Table:
         every.update(words_of(text.as_py() or ""))
     dealt = _dealt(every, buckets)
     del every
-    known: dict[str, np.ndarray] = {}
+    known: dict[str, bytes] = {}
     for bucket, blob in zip(answers.column("bucket").to_pylist(), answers.column("answers").to_pylist()):
-        lines = zlib.decompress(blob.as_py() if hasattr(blob, "as_py") else blob).decode().split("\n")
-        known.update(zip(dealt[bucket], (array("i", map(int, line.split(" "))) for line in lines)))
-    ids = []
-    for text in bodies:
-        row = array("i")
-        for w in words_of(text.as_py() or ""):
-            row.extend(known[w])
-        ids.append(pa.array(np.frombuffer(row, np.int32) if row else np.zeros(0, np.int32)))
-    offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-    values = pa.concat_arrays(ids) if ids else pa.array([], pa.int32())
+        words, flat = dealt[bucket], zlib.decompress(blob)
+        ends = (4 * len(words) + 4 * np.cumsum(np.frombuffer(flat, "<i4", len(words)))).tolist()
+        known.update((w, flat[a:b]) for w, a, b in zip(words, [4 * len(words), *ends], ends))
+    ids = [b"".join(map(known.__getitem__, words_of(text.as_py() or ""))) for text in bodies]
+    offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
+    values = pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32())
     return pa.table([texts.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), values)], names=["doc_id", "ids"])
 
 
@@ -318,23 +370,25 @@ def encode_pieces(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id
     dealt = every.select("doc_id", "text", spread.alias("chunk"))
     found = dealt.select("text", "chunk").mapInArrow(partial(_distinct, buckets=buckets), "bucket int, chunk int, blob binary")
     placed = found.withColumn("place", F.concat_ws("/", "bucket", "chunk")).repartition("place").sortWithinPartitions("place")
-    asked = stage(placed.mapInArrow(_merged, "bucket int, chunk int, words array<string>")).repartition(buckets, "bucket")
-    words = asked.select("bucket", F.explode("words").alias("word")).where(F.length("word") <= lattice_chars).distinct()
+    asked = stage(placed.mapInArrow(_merged, "bucket int, chunk int, words array<string>"))
+    shared, seams = spark.sparkContext.broadcast(vocabulary), spark.sparkContext.broadcast(Seams(vocabulary))
+    parts = asked.repartition(buckets, "bucket").mapInArrow(partial(_parts, seams=seams), "bucket int, parts array<string>")
+    words = parts.select("bucket", F.explode("parts").alias("word")).where(F.length("word") <= lattice_chars)
+    words = words.repartition(buckets, "bucket").distinct()
     table = _piece_table(spark, vocabulary)
-    paths = lattice(words, table, vocabulary.longest, "bucket")
     if vocabulary.bpe:
+        paths = lattice(words, table, "bucket")
         paths = paths.withColumn("cuts", merge_fold(F.col("word"), F.col("edges")))
     else:
+        paths = lattice(words, table, "bucket", least=1)
         every = table.agg(F.map_from_entries(F.collect_list(F.struct("id", "score"))).alias("scores"))
         wanted = F.transform("edges", lambda e: _field(e, 0, 24))
         own = F.map_filter("scores", lambda k, _: F.array_contains(wanted, k))
         paths = paths.join(F.broadcast(every)).withColumn("scores", own)  # one row, the fixed vocabulary
         paths = paths.withColumn("cuts", viterbi_fold(F.col("word"), F.col("edges"), F.col("scores")))
-    encoded = paths.select(F.col("bucket").alias("of_bucket"), "word", path_ids(F.col("edges"), F.col("cuts")).alias("ids"))
-    # Words without ids need bytes. They are folded with the answers: a filter here would be pushed into the fold.
-    shared = spark.sparkContext.broadcast(vocabulary)
+    encoded = paths.select(F.col("bucket").alias("of_bucket"), "word", "cuts")
     answers = asked.groupBy("bucket").cogroup(encoded.groupBy("of_bucket")).applyInArrow(
-        partial(_answer, shared=shared), "chunk int, bucket int, answers binary")
+        partial(_answer, vocabulary=shared, seams=seams), "chunk int, bucket int, answers binary")
     out = dealt.repartition(chunks, "chunk").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         partial(_encode_chunk, buckets=buckets), "doc_id long, ids array<int>")
     return out.withColumnRenamed("doc_id", id_col)
