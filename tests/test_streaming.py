@@ -84,6 +84,23 @@ def test_tracker(spark, sf_dir, tmp_path, files):
     )
 
 
+def test_tracker_from_pings(spark, sf_dir, tmp_path):
+    p = driver.pings(spark, sf_dir, compressed=True)
+    source = read_files(spark, in_files(p, str(tmp_path / "in"), 4, ["ts", "seq"]), p.schema)
+    zone = tracks.first_zone(p)
+    got = drain(stream_filter(kalman.project(stream_sync(source), zone)), tmp_path)
+    want = kalman.filter_tracks(kalman.project(tracks.latest_per_vessel(tracks.sync_to_grid(p, 60, 0)), zone))
+    missing = want.select("track_id", "ts").exceptAll(got.select("track_id", "ts")).count()
+    assert got.count() > 0 and got.select("track_id", "ts").exceptAll(want.select("track_id", "ts")).count() == 0
+    assert missing < 80  # steps the final watermark has not passed
+
+
+def test_late_detection_starts_its_own_track():
+    live, _ = kalman.advance([], "v", 600_000_000, 0.0, 0.0)
+    live, row = kalman.advance(live, "v", 300_000_000, 0.0, 0.0)
+    assert row[3] == "init" and len(live) == 2
+
+
 def test_sync_drops_late_rows_only(spark, sf_dir, tmp_path):
     p = driver.pings(spark, sf_dir, compressed=True)
     source = read_files(spark, in_files(p, str(tmp_path / "in"), 3, ["ts", "seq"]), p.schema)

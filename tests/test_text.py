@@ -64,7 +64,9 @@ def test_literal_escapes_round_trip(spark):
     texts = ['a "b" \\ c', "line\nbreak\tand\rmore", "\\n is not a newline", "plain", "café", ""]
     df = column(spark, texts, "string")
     assert values(df.withColumn("out", tx.unescape_literal(tx.escape_literal(F.col("v"))))) == texts
-    assert values(column(spark, ["caf\\u00e9"], "string").withColumn("out", tx.unescape_literal(F.col("v")))) == ["café"]
+    escaped = ["caf\\u00e9", r"x\'\'y", r"x\\'y", r"\U0001F6A2 \U0000005C\U00000022", r"\\U0001F6A2", r"end\\", r"bad\U00110000"]
+    decoded = ["café", "x''y", r"x\'y", "\U0001F6A2 \\\"", r"\U0001F6A2", "end\\", None]
+    assert values(column(spark, escaped, "string").withColumn("out", tx.unescape_literal(F.col("v")))) == decoded
 
 
 def test_names_and_labels(spark):

@@ -61,8 +61,21 @@ def escape_literal(text: Column) -> Column:
 
 
 def unescape_literal(text: Column) -> Column:
-    """Undo string escapes. They are those of JSON, so only text with a backslash is parsed."""
-    quoted = F.concat(F.lit('["'), F.replace(text, F.lit("\\'"), F.lit("'")), F.lit('"]'))
+    """Undo string escapes; null if there is an unknown one. But for two they are those of JSON, so only text with a
+    backslash is parsed. Those two, quote and eight digits, are undone between the escaped backslashes.
+    """
+
+    def character(digits: Column) -> Column:
+        short = F.concat(F.lit("\\u"), F.substring(digits, 5, 4))
+        return F.when(digits.startswith("0000"), short).otherwise(F.decode(F.unhex(digits), "UTF-32"))
+
+    def as_json(part: Column) -> Column:
+        codes = F.array_distinct(F.regexp_extract_all(part, F.lit(r"\\U(000[0-9A-Fa-f]{5}|0010[0-9A-Fa-f]{4})"), F.lit(1)))
+        wide = F.aggregate(codes, part, lambda done, c: F.replace(done, F.concat(F.lit("\\U"), c), character(c)))
+        return F.replace(wide, F.lit("\\'"), F.lit("'"))
+
+    body = F.array_join(F.transform(F.split(text, r"\\\\"), as_json), "\\\\")
+    quoted = F.concat(F.lit('["'), body, F.lit('"]'))
     parsed = F.from_json(quoted, "array<string>", {"allowUnquotedControlChars": "true"})
     return F.when(text.contains("\\"), parsed.getItem(0)).otherwise(text)
 

@@ -105,8 +105,9 @@ def _location_observation(data_uri: str, measures: bool) -> list[Pattern]:
     ]
     if measures:
         for column, local, unit in (("sog", "SpeedOverGround", "Knots"), ("cog", "CourseOverGround", "DegreesTrueNorth")):
-            out += tr.measured(n(column), n(column + "Value"), data_uri + local, var(column), data_uri + unit)
-            out.append(tr.link(target, "observedCharacteristic", n(column)))
+            measure = tr.measured(n(column), n(column + "Value"), data_uri + local, var(column), data_uri + unit)
+            # Speed and course are often blank: then nothing was measured.
+            out += tr.when(f"{column} IS NOT NULL", [*measure, tr.link(target, "observedCharacteristic", n(column))])
     return out
 
 

@@ -75,6 +75,8 @@ def advance(live: list, mmsi: str, micros: int, x: float, y: float) -> tuple[lis
     live = [t for t in live if micros - t[1] <= STALE_SECONDS * 1_000_000]
     best, best_d = None, MISSED_DISTANCE
     for place, (track_id, last, ax, ay) in enumerate(live):
+        if last > micros:  # a late detection cannot continue a track that is already further
+            continue
         step = transition((micros - last) / 1e6)
         px, py = _predict(ax, step), _predict(ay, step)
         d = math.sqrt((x - px[0]) ** 2 / (px[2] + NOISE) + (y - py[0]) ** 2 / (py[2] + NOISE))

@@ -42,7 +42,7 @@ class Pattern:
     p: str
     o: Term
     code: int = _IRI
-    guard: str | None = None  # boolean column that must hold
+    guard: str | None = None  # condition on the row that must hold, mostly a boolean column
 
 
 def var(column: str, text: str = "") -> Term:
@@ -218,10 +218,11 @@ def emit(
     if guards:
         kept = F.when(t.g == -1, True)
         for g in guards:
-            kept = kept.when(t.g == guard_no[g], F.col(g))
-    needed = dict.fromkeys(["graph_id", *columns, *guards, *keep])
+            kept = kept.when(t.g == guard_no[g], F.col(f"_g{guard_no[g]}"))
+    needed = dict.fromkeys(["graph_id", *columns, *keep])
+    conditions = [F.expr(g).alias(f"_g{i}") for i, g in enumerate(guards)]
     return (
-        rows.select(*needed, F.explode(picked).alias("_t"))
+        rows.select(*needed, *conditions, F.explode(picked).alias("_t"))
         .where(kept)
         .select(
             "graph_id",

@@ -35,13 +35,13 @@ def parse_lines(
     )
     is_iri = lambda c: F.col(c).startswith("<") & F.col(c).endswith(">")
     valid = (F.col("_o") != "") & (is_iri("_s") | F.col("_s").startswith("_:")) & is_iri("_p")
-    valid = F.coalesce(valid, F.lit(False))
     obj = F.col("_o")
     kind = F.when(obj.startswith("<"), "iri").when(obj.startswith("_:"), "bnode").otherwise("literal")
     # Neither a datatype nor a language holds a quote, so the literal's text ends at the last one.
     suffix = F.substring_index(obj, '"', -1)
     body = obj.substr(F.lit(2), F.length(obj) - F.length(suffix) - 2)
     dtype = F.when(suffix.startswith("^^<"), suffix.substr(F.lit(4), F.length(suffix) - 4)).when(suffix != "", suffix)
+    valid = F.coalesce(valid & ((kind != "literal") | unescape_literal(body).isNotNull()), F.lit(False))
     good = cut.where(valid).select(
         *keep,
         _bare(F.col("_s")).alias("s"),

@@ -50,8 +50,13 @@ class Tracker(StatefulProcessor):
 
 
 def stream_filter(projected: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Filtered states of a detection stream (mmsi, ts, x, y), already one per vessel and minute."""
-    keyed = projected.withWatermark("ts", delay).select("mmsi", "ts", F.unix_micros("ts").alias("micros"), "x", "y")
+    """Filtered states of a detection stream (mmsi, ts, x, y), already one per vessel and minute.
+
+    The output of `stream_sync` has a column `step` with its watermark; a second watermark would hold back the first.
+    """
+    clock = "step" if "step" in projected.columns else "ts"
+    marked = projected if clock == "step" else projected.withWatermark("ts", delay)
+    keyed = marked.select("mmsi", clock, F.unix_micros("ts").alias("micros"), "x", "y")
     out = keyed.groupBy("mmsi").transformWithStateInPandas(
         statefulProcessor=Tracker(), outputStructType=STEP_SCHEMA, outputMode="Append", timeMode="EventTime"
     )
@@ -59,11 +64,11 @@ def stream_filter(projected: DataFrame, delay: str = "10 minutes") -> DataFrame:
 
 
 def stream_sync(pings: DataFrame, delay: str = "10 minutes", seconds: int = 60) -> DataFrame:
-    """Newest ping per vessel and time step, emitted when the watermark passes the step."""
+    """Newest ping per vessel and time step, emitted when the watermark passes the step. `step` is the event time of later steps."""
     newest = F.max(F.struct("ts", "seq", "lat", "lon")).alias("newest")
     return (
         sync_to_grid(pings.withWatermark("ts", delay), seconds)
         .groupBy("mmsi", F.window("ts", f"{seconds} seconds"))
         .agg(newest)
-        .select("mmsi", "newest.*")
+        .select("mmsi", "newest.*", F.window_time("window").alias("step"))
     )
