@@ -50,6 +50,14 @@ def test_full_track(four_pings):
     assert g.where(F.col("s") == DATA + "latlong40.64175,-74.07136").count() == 3
 
 
+def test_blank_speed_is_no_measurement(four_pings):
+    """No triple without an object, and no measure node for what is blank."""
+    blank = four_pings.withColumn("sog", F.lit(None).cast("double"))
+    g = emitters.track_graphs(tracks.build_tracks(blank))
+    assert g.where("s IS NULL OR o IS NULL").count() == 0 and is_set(g)
+    assert types_of(g)["Measure"] == types_of(g)["MeasureValue"] == 4
+
+
 def test_basic_track(minimal):
     seven = minimal.where("mmsi = '366952890'")
     g = emitters.track_graphs(tracks.build_tracks(seven, 7), form="basic")
