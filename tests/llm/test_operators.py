@@ -10,7 +10,7 @@ import pytest
 from tracklake.llm.grace_dedup import exact_dedup, grace
 from tracklake.llm.lsa_quality import score_quality
 from tracklake.llm.mixing import mix_sources
-from tracklake.llm.pieces import decode_pieces, encode_pieces, fold_word, load_vocabulary
+from tracklake.llm.pieces import _WORD, SPACE, Seams, decode_pieces, encode_pieces, fold_word, load_vocabulary, words_of
 from tracklake.llm.queries import PIECE_MODEL, URL_RULES
 from tracklake.llm.secrets import scan_secrets
 from tracklake.llm.set_join import jaccard_components, set_links
@@ -227,3 +227,15 @@ def test_pieces(spark):
         assert r.ids == library.encode(texts[r.doc_id] or "") and r.decoded == (texts[r.doc_id] or "")
     assert fold_word("▁thinghe", vocabulary) == library.encode("thinghe")
     assert encode_pieces(rows.limit(0), vocabulary).count() == 0
+
+
+def test_words_and_parts():
+    vocabulary = load_vocabulary(PIECE_MODEL)
+    texts = ["a\nb", "\na", "a\n\n b\n", "a  b", " a", "a ", "\0a\n", "\r\n x", "no. 12345 漢字x", "\n", " "]
+    for text in texts:
+        assert words_of(text) == _WORD.findall(SPACE + text.replace(" ", SPACE))
+    words = [w for t in texts for w in words_of(t)]
+    parts = Seams(vocabulary).split(words)
+    assert ["".join(p) for p in parts] == words and any(len(p) > 1 for p in parts)
+    assert all([i for p in ps for i in fold_word(p, vocabulary)] == fold_word(w, vocabulary) for w, ps in zip(words, parts))
+    assert Seams(vocabulary).split([]) == []
