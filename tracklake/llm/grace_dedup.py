@@ -6,7 +6,7 @@ import hashlib
 import shutil
 import struct
 import tempfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import partial
 from pathlib import Path
 
@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructType
 
 TABLE_BYTES = 48 << 20  # contents that one table may hold
 FAN_OUT = 16
@@ -174,14 +175,14 @@ def _join_partition(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[p
         yield _batch(held)
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _digests(batches: Iterator[pa.RecordBatch], carry: Sequence[str] = ()) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [hashlib.sha256(c).digest() for _, c in _contents([batch], "content")]
-        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(rows, pa.binary())], names=["id", "digest"])
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(rows, pa.binary()), *(batch.column(c) for c in carry)], names=["id", "digest", *carry])
 
 
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("content"))
+def _texts(docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str] = ()) -> DataFrame:
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("content"), *(F.col(f"`{c}`") for c in carry))
 
 
 def text_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = TABLE_BYTES) -> DataFrame:
@@ -199,18 +200,21 @@ def text_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return groups.select("digest", keep.alias("keep_id"), "group_size")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = TABLE_BYTES) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = TABLE_BYTES, carry: Sequence[str] = ()) -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal if they are so after lower-casing A-Z. Null texts count as empty, and empty texts are equal to each
     other. The row with the largest id of a group is kept; of rows that share this id all are kept. A row without an id
     is kept only if its text has no row with an id. An empty table gives an empty result; further columns
-    are not read. Texts of any length work if one fits in a task's memory.
+    are not read, but those named in `carry` are added to their rows. Texts of any length work if one fits in a task's memory.
     """
     groups = text_groups(docs, id_col, text_col, limit)
-    members = _texts(docs, id_col, text_col).mapInArrow(_digests, "id long, digest binary")
+    schema = StructType().add("id", LongType()).add("digest", BinaryType())
+    for c in carry:
+        schema.add(c, docs.schema[c].dataType)
+    members = _texts(docs, id_col, text_col, carry).mapInArrow(partial(_digests, carry=carry), schema)
     joined = members.join(groups, "digest")
     kept = F.col("id").eqNullSafe(F.col("keep_id"))
     return joined.select(
-        F.col("id").alias(id_col), "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")
+        F.col("id").alias(id_col), "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), *carry
     )

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructType
 
 from tracklake.llm.words import mix, split_words, text_column
 
@@ -137,7 +138,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-                  training_rows: int = TRAINING_ROWS, neighbours: int = NEIGHBOURS, accept: float = 0.3) -> DataFrame:
+                  training_rows: int = TRAINING_ROWS, neighbours: int = NEIGHBOURS, accept: float = 0.3, carry: Sequence[str] = ()) -> DataFrame:
     """One row per document: id, held_out, score (0 to 1, higher: label 1 likelier), predicted (1 if score >= accept).
 
     The model is an LSA of hashed features and the unit vectors of a bounded labelled sample; it is broadcast, and
@@ -145,7 +146,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     block by block, and its nearest neighbours vote with their similarity. Texts are the only input of a
     score. Null and empty texts have no features and get the share of label 1 in the sample, as do all documents when nothing
     is labelled (then 0.5). Labels that are null or have no id are not used; of repeated labels the larger counts. Rows
-    without an id are scored and not held out. An empty table gives an empty result.
+    without an id are scored and not held out. An empty table gives an empty result. Columns named in `carry` are added
+    to their rows.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit_quality(docs, labels, id_col, text_col, label_col, training_rows))
 
@@ -153,10 +155,14 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
         for batch in batches:
             parts = [model.value.score(m, neighbours) for m in counts(text_column(batch, "text"))]
             scores = np.concatenate(parts) if parts else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(scores)], names=["id", "score"])
-
-    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    out = texts.mapInArrow(scored, "id long, score double")
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(scores), *(batch.column(c) for c in carry)], names=["id", "score", *carry])
+
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"),
+                        *(F.col(f"`{c}`") for c in carry))
+    schema = StructType().add("id", LongType()).add("score", DoubleType())
+    for c in carry:
+        schema.add(c, docs.schema[c].dataType)
+    out = texts.mapInArrow(scored, schema)
     return out.select(
         F.col("id").alias(id_col), F.coalesce(held_out(F.col("id")), F.lit(False)).alias("held_out"), "score",
-        F.when(F.col("score") >= accept, 1).otherwise(0).alias("predicted"))
+        F.when(F.col("score") >= accept, 1).otherwise(0).alias("predicted"), *carry)

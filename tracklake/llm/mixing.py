@@ -99,6 +99,7 @@ def mix_sources(
     weights: Sequence[float] = (3.0, 1.0, 2.0),
     share: float = 1.5,
     most: float = 2.0,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """How many words of each document the mix takes: id, size, source, source_size, target, taken.
 
@@ -107,12 +108,13 @@ def mix_sources(
     taken more than ceil(target / source size) times. The threshold comes from nested histograms of sizes by
     hash bucket; nothing is sorted. Points depend on the id only, so reruns agree and rows with the same id in one
     source stand or fall together; rows without an id share one point. Null texts have size 0; a null source is a source
-    of its own. Sources without words get target 0. An empty table gives an empty result.
+    of its own. Sources without words get target 0. An empty table gives an empty result. Columns named in `carry`
+    are added to their rows.
 
     The number of sources must be small enough for one row each in a broadcast; documents per source are not bounded.
     """
     plain = docs.select(F.col(f"`{id_col}`").alias("id"), word_count(F.col(f"`{text_col}`")).alias("size"),
-                        F.col(f"`{source_col}`").alias("source"))
+                        F.col(f"`{source_col}`").alias("source"), *(F.col(f"`{c}`") for c in carry))
     # Words are counted once; the histograms then read a few bytes a document.
     counted = stage(plain.withColumn("point", hash_point(F.col("id"))))
     names = source_targets(counted, weights, share, most)
@@ -122,12 +124,12 @@ def mix_sources(
     targets = targets.withColumn("passes", passes).withColumn("goal", F.col("target") - F.col("passes") * F.col("source_size"))
     same = F.col("d.source").eqNullSafe(F.col("t.source"))
     sized = counted.alias("d").join(F.broadcast(targets.alias("t")), same).select(
-        "id", "size", "d.source", "source_size", "target", "passes", "sid", "point"
+        "id", "size", "d.source", "source_size", "target", "passes", "sid", "point", *carry
     )
     limits = _thresholds(sized, targets)
     more = F.when(F.col("point") < F.col("threshold"), F.lit(1)).otherwise(F.lit(0))
     copies = (F.col("passes") + more).cast("long")
     return sized.join(F.broadcast(limits), "sid").select(
         F.col("id").alias(id_col), "size", "source", "source_size", "target",
-        (F.col("size") * copies).alias("taken"), copies.alias("copies"),
+        (F.col("size") * copies).alias("taken"), copies.alias("copies"), *carry,
     )

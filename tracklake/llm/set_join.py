@@ -13,13 +13,14 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructType
 
 from tracklake.llm.common import components, groups_of
 from tracklake.llm.tile_join import Forest
@@ -96,10 +97,10 @@ def common_shingles(texts: DataFrame, size: int, share: float) -> tuple[np.ndarr
     return tokens[order], rows["n"].to_numpy(np.int64)[order]
 
 
-def _index(batches: Iterator[pa.RecordBatch], size: int, percent: int, shared) -> Iterator[pa.RecordBatch]:
+def _index(batches: Iterator[pa.RecordBatch], size: int, percent: int, shared, carry: Sequence[str] = ()) -> Iterator[pa.RecordBatch]:
     common, counts = shared.value
     for batch in batches:
-        ids = batch.column("doc_id")
+        ids = [batch.column(c) for c in ("doc_id", *carry)]
         held: list[tuple] = []
         for place, found in shingle_sets(text_column(batch, "text"), size):
             n = len(found)
@@ -107,19 +108,20 @@ def _index(batches: Iterator[pa.RecordBatch], size: int, percent: int, shared) -
             sign = hashlib.blake2b(found.tobytes(), digest_size=16).digest() if n else None
             held.append((place, n, sign, first.view(np.int64)))
             if len(held) >= 2000:
-                yield _index_rows(ids, held)
+                yield _index_rows(ids, held, carry)
                 held = []
         if held:
-            yield _index_rows(ids, held)
+            yield _index_rows(ids, held, carry)
 
 
-def _index_rows(ids: pa.Array, held: list[tuple]) -> pa.RecordBatch:
+def _index_rows(ids: list[pa.Array], held: list[tuple], carry: Sequence[str]) -> pa.RecordBatch:
     places, sizes, signs, prefixes = zip(*held)
     offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
     lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefixes)))
+    first, *more = (c.take(pa.array(places)) for c in ids)
     return pa.RecordBatch.from_arrays(
-        [ids.take(pa.array(places)), pa.array(sizes, pa.int64()), pa.array(signs, pa.binary()), lists],
-        names=["doc_id", "n_shingles", "sign", "prefix"])
+        [first, pa.array(sizes, pa.int64()), pa.array(signs, pa.binary()), lists, *more],
+        names=["doc_id", "n_shingles", "sign", "prefix", *carry])
 
 
 def _list_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -207,7 +209,7 @@ def _join_groups(batches: Iterator[pa.RecordBatch], size: int, percent: int) ->
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, percent: int = 85,
-                       short_list: int = SHORT_LIST, tile_block: int = TILE_BLOCK, share: float = COMMON_SHARE) -> DataFrame:
+                       short_list: int = SHORT_LIST, tile_block: int = TILE_BLOCK, share: float = COMMON_SHARE, carry: Sequence[str] = ()) -> DataFrame:
     """One row per input row: id, n_shingles, component_id (smallest id reachable by links, itself included).
 
     A document's set: distinct shingles of `size` words of the text with A-Z lower-cased; with fewer words, the whole
@@ -215,13 +217,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     link with nothing. Rows without an id have a null component. Rows with one id are one vertex. An empty table
     gives an empty result. Shingles are compared by 64-bit hashes. All links between different sets are found; a
     list of common shingles is cut into tiles of 2 * tile_block sets, whose number grows with the list's square.
+    Columns named in `carry` are added to their rows.
     """
     spark = docs.sparkSession
-    everything = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    texts = everything.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    everything = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"),
+                             *(F.col(f"`{c}`") for c in carry))
+    texts = everything.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
     shared = spark.sparkContext.broadcast(common_shingles(texts, size, share))
-    schema = "doc_id long, n_shingles long, sign binary, prefix array<long>"
-    index = stage(everything.mapInArrow(partial(_index, size=size, percent=percent, shared=shared), schema))
+    schema = StructType().add("doc_id", LongType()).add("n_shingles", LongType()).add("sign", BinaryType()).add("prefix", ArrayType(LongType()))
+    for c in carry:
+        schema.add(c, docs.schema[c].dataType)
+    index = stage(everything.mapInArrow(partial(_index, size=size, percent=percent, shared=shared, carry=carry), schema))
     usable = index.where("doc_id IS NOT NULL AND sign IS NOT NULL")
     reps = usable.groupBy("sign").agg(F.min("doc_id").alias("rep"))
     single = usable.select(F.col("doc_id").alias("rep"), "sign", "n_shingles", "prefix").join(reps, ["rep", "sign"])
@@ -251,5 +257,5 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     parts = components(links)
     named = reps.join(parts, F.col("rep") == F.col("vertex"), "left").select(
         "sign", F.coalesce("component", "rep").alias("least"))
-    out = index.select("doc_id", "n_shingles", "sign").join(named, "sign", "left")
-    return out.select(F.col("doc_id").alias(id_col), "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+    out = index.select("doc_id", "n_shingles", "sign", *carry).join(named, "sign", "left")
+    return out.select(F.col("doc_id").alias(id_col), "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), *carry)
