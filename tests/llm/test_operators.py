@@ -2,7 +2,7 @@
 
 import hashlib
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -239,3 +239,18 @@ def test_words_and_parts():
     assert ["".join(p) for p in parts] == words and any(len(p) > 1 for p in parts)
     assert all([i for p in ps for i in fold_word(p, vocabulary)] == fold_word(w, vocabulary) for w, ps in zip(words, parts))
     assert Seams(vocabulary).split([]) == []
+
+
+def test_surrogates_of_many_short_entities(spark):
+    """More single names, and more short addresses and numbers, than there are surrogates of their first lengths."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = [f"Mr {a.upper()}{b}{c}x" for a in letters for b in letters for c in letters[:8]]
+    mails = [f"{a}@{b}.de" for a in letters for b in letters]
+    phones = [f"+1 {k:04d}" for k in range(1000, 10000)]
+    rows = [(k, "; ".join(part)) for every in (names, mails, phones) for k, part in enumerate(every[i : i + 100] for i in range(0, len(every), 100))]
+    want = Counter(t.count(";") + 1 for _, t in rows)
+    got = replace_personal_data(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect()
+    assert Counter(r.n_entities for r in got) == want
+    new = [w for r in got for w in r.text.split("; ")]
+    assert len(new) == len(set(new)) == len(names) + len(mails) + len(phones) and len(names) > 5000
+    assert not set(new) & {*names, *mails, *phones}

@@ -57,8 +57,13 @@ def keyed_digest(kind: Column, norm: Column, attempt: Column, key: str) -> Colum
     return F.concat(*(F.sha2(F.concat(F.lit(key + "\x01"), inner(k)), 256) for k in range(STREAM)))
 
 
-def surrogate(kind: Column, norm: Column, digest: Column) -> Column:
-    """The replacement of a normal form, itself in normal form, from a column of keyed digits."""
+def surrogate(kind: Column, norm: Column, digest: Column, attempt: int = 0) -> Column:
+    """The replacement of a normal form, itself in normal form, from a column of keyed digits.
+
+    Names get a syllable more every second attempt, and after eight attempts mail addresses a letter and phone numbers a
+    digit, so that there are always more surrogates than entities.
+    """
+    more = max(0, attempt - 6) // 2
     at = lambda i: F.conv(F.substring(digest, F.pmod(i, F.lit(32 * STREAM)) * 2 + 1, F.lit(2)), 16, 10).cast("int")
     letter = lambda i: F.char(F.lit(97) + at(i) % 26)
     digit = lambda i: (at(i) % 10).cast("string")
@@ -71,9 +76,10 @@ def surrogate(kind: Column, norm: Column, digest: Column) -> Column:
 
     # The last label of an address stays, so that it is still a domain.
     tail = F.regexp_extract(norm, r"\.[a-z]+$", 0)
-    email = F.concat(spelled(F.substring(norm, F.lit(1), size - F.length(tail))), tail)
+    email = F.concat(spelled(F.substring(norm, F.lit(1), size - F.length(tail))), *(letter(F.lit(64 + p)) for p in range(more)), tail)
     # Country codes and card networks are read from the first digit, which stays. Cards keep a valid check digit.
     digits = F.concat(F.substring(norm, 1, 1), F.array_join(F.transform(F.sequence(F.lit(2), F.greatest(size, F.lit(2))), digit), ""))
+    phone = F.concat(digits, *(digit(F.lit(64 + p)) for p in range(more)))
     body = F.substring(digits, F.lit(1), size - 1)
 
     def weighed(i: Column) -> Column:
@@ -91,11 +97,11 @@ def surrogate(kind: Column, norm: Column, digest: Column) -> Column:
 
     female = F.startswith(norm, F.lit("f:"))
     ending = F.when(cyrillic, F.when(female, "на").otherwise("н")).otherwise(F.when(female, "na").otherwise("n"))
-    person = F.concat(F.substring(norm, 1, 2), name(0, 3), ending,
+    person = F.concat(F.substring(norm, 1, 2), name(0, 3 + attempt // 2), ending,
                       F.when(F.contains(norm, F.lit(" ")), F.concat(F.lit(" "), name(8, 4))).otherwise(""))
     return (
         F.when(kind == "email", email).when(kind == "card", card).when(kind == "address", address)
-        .when(kind == "person", person).otherwise(digits)
+        .when(kind == "person", person).when(kind == "phone", phone).otherwise(digits)
     )
 
 
@@ -119,13 +125,14 @@ def surrogate_table(entities: DataFrame, key: str, rounds: int = 40) -> DataFram
     """Columns kind, norm, other for distinct entities: no two share a surrogate, and none is a real entity's form.
 
     Of entities that ask for one surrogate the first gets it; the rest try again with the next attempt number, as do those
-    that hit a real entity or a surrogate given before. Rounds shrink fast: each handles only the collisions of the last.
+    that hit a real entity or a surrogate given before. Rounds shrink fast: each handles only the collisions of the last, and
+    later attempts choose among more surrogates.
     """
     open_, given = entities, None
     for attempt in range(rounds):
         # The digest is a column of its own, so that the many uses in the surrogate read it instead of making it.
         keyed = open_.withColumn("digest", keyed_digest(F.col("kind"), F.col("norm"), F.lit(attempt), key))
-        wanted = keyed.withColumn("other", surrogate(F.col("kind"), F.col("norm"), F.col("digest"))).drop("digest")
+        wanted = keyed.withColumn("other", surrogate(F.col("kind"), F.col("norm"), F.col("digest"), attempt)).drop("digest")
         real = entities.select("kind", F.col("norm").alias("other"))
         free = wanted.join(real, ["kind", "other"], "left_anti")
         if given is not None:
