@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from tracklake.llm.grace_dedup import exact_dedup, grace
-from tracklake.llm.lsa_quality import score_quality
+from tracklake.llm.lsa_quality import fit_quality, score_quality
 from tracklake.llm.mixing import mix_sources
 from tracklake.llm.pieces import _WORD, SPACE, Seams, decode_pieces, encode_pieces, fold_word, load_vocabulary, words_of
 from tracklake.llm.queries import PIECE_MODEL, URL_RULES
@@ -254,3 +254,15 @@ def test_surrogates_of_many_short_entities(spark):
     new = [w for r in got for w in r.text.split("; ")]
     assert len(new) == len(set(new)) == len(names) + len(mails) + len(phones) and len(names) > 5000
     assert not set(new) & {*names, *mails, *phones}
+
+
+def test_substrings_of_one_id_with_several_texts(spark):
+    """Places found in one row of an id do not reach into the next document."""
+    shared, clean = prose(90, 80), prose(91, 100)
+    rows = [(1, shared), (2, f"{prose(92, 30)} {shared}"), (2, prose(93, 20)), (3, clean), (2, None), (4, clean + " end"), (2, "")]
+    got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), with_text=True).collect()
+    kept = Counter((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got)
+    assert kept == Counter([(1, 80, 0, shared), (2, 110, 80, prose(92, 30)), (2, 20, 0, prose(93, 20)), (3, 100, 0, clean), (2, 0, 0, ""), (2, 0, 0, ""), (4, 101, 100, "end")])
+    # As last rows of their chunk.
+    last = spark.createDataFrame([(1, shared), (2, shared), (2, "short"), (2, None)], "doc_id long, text string").coalesce(1)
+    assert Counter((r.n_words, r.n_removed) for r in remove_repeats(last).collect()) == Counter([(80, 0), (80, 80), (1, 1), (0, 0)])

@@ -221,8 +221,9 @@ def _kept(batches: Iterator[pa.RecordBatch], window: int, with_text: bool) -> It
             for k, value in enumerate(lists):
                 if value.is_valid:
                     at = np.unique(value.values.to_numpy()) + part.bounds[k]
-                    np.add.at(gone, at, 1)
-                    np.add.at(gone, at + window, -1)
+                    # Places come from any row of the id; they end with this row's words.
+                    np.add.at(gone, np.minimum(at, part.bounds[k + 1]), 1)
+                    np.add.at(gone, np.minimum(at + window, part.bounds[k + 1]), -1)
             stay = np.cumsum(gone)[:-1] <= 0
             words, removed, digests, texts = np.diff(part.bounds), [], [], []
             data = part.data.tobytes()
@@ -247,8 +248,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Returns id, n_words, n_removed, kept_sha256 (kept words joined by one space) and, if asked for, kept_text. Windows are judged
     on the input. Null and empty texts have no words. Rows without an id keep everything and cause no loss. Rows with
-    one id are one document: they do not remove each other's words, and each loses the windows at the places found in
-    any of them, so ids should be unique. An empty table gives an empty result.
+    one id are one document: they do not remove each other's words, and each loses the words at the places of windows found
+    in any of them, as far as it has words there, so ids should be unique. An empty table gives an empty result.
     """
     everything = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     texts = everything.where("doc_id IS NOT NULL AND text IS NOT NULL")
