@@ -266,3 +266,30 @@ def test_substrings_of_one_id_with_several_texts(spark):
     # As last rows of their chunk.
     last = spark.createDataFrame([(1, shared), (2, shared), (2, "short"), (2, None)], "doc_id long, text string").coalesce(1)
     assert Counter((r.n_words, r.n_removed) for r in remove_repeats(last).collect()) == Counter([(80, 0), (80, 80), (1, 1), (0, 0)])
+
+
+def url_templates(shapes, share=0.02, least=5):
+    """Templates of one host's shapes with counts, level by level to the last segment."""
+    now = {s: "" for s in shapes}
+    for level in range(max(s.count("/") + 1 for s in shapes)):
+        value = {s: s.split("/")[level] for s in shapes if s.count("/") >= level}
+        below = Counter()
+        for s, v in value.items():
+            below[now[s], v] += shapes[s]
+            below[now[s], None] += shapes[s]
+        now |= {s: now[s] + ("/" + v if below[now[s], v] >= max(least, share * below[now[s], None]) else "/*") for s, v in value.items()}
+    return now
+
+
+def test_deep_urls(spark):
+    """Segments after the fourth keep branches apart."""
+    paths = [f"a/b/c/d/{kind}/page" for kind in ("good", "bad") for _ in range(20)] + ["a/b/c/d/good/other/x/y"] * 6 + ["a/b/c/d/bad/one/z"] * 2
+    paths += [f"q/{c}/r/s/t/u" for c in "abcdef"] * 2 + ["q/a/r/s/t/u/v/w/x"] * 7 + ["lone/1/2/3/4/5".replace("1", "x")] * 3 + ["p"] * 9
+    rows = [(k, f"http://h.org/{p}") for k, p in enumerate(paths)] + [(1000, "http://k.org/only/one/two/three/four/five")]
+    rules = [("allow", "h.org/a/b/c/d/good/page"), ("block", "h.org/a/b/c/d/bad/page")]
+    got = filter_urls(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()
+    digits = lambda p: re.sub("[0-9]+", "<n>", p)
+    want = url_templates(Counter(map(digits, paths)))
+    assert {r.page_id: r.template for r in got} == {k: want[digits(p)] for k, p in enumerate(paths)} | {1000: "/*" * 6}
+    purity = {p: {r.purity for r in got if r.path == f"/a/b/c/d/{p}/page"} for p in ("good", "bad")}
+    assert min(purity["good"]) > 0.7 and max(purity["bad"]) < 0.3

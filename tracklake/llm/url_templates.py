@@ -45,14 +45,16 @@ def lexical_template(path: Column) -> Column:
     )
 
 
-def template_tree(shapes: DataFrame, depth: int, min_share: float, min_count: int) -> DataFrame:
+def template_tree(shapes: DataFrame, min_share: float, min_count: int) -> DataFrame:
     """Adds `branch` (first segment) and `template` to rows of host, segs, n, allow, block.
 
     Level by level, the values below one node of a host's tree stay apart if each has a fair share of the node's
-    pages; all others become the wildcard *. What lies below `depth` segments becomes **.
+    pages; all others become the wildcard *. A node that no longer splits is finished at once: one shape with enough
+    pages keeps its segments, and below a node with too few pages all are wildcards. The tree grows until no node is left.
     """
-    tree = shapes.withColumn("template", F.lit(""))
-    for level in range(depth):
+    names = ("host", "shape", "segs", "n", "allow", "block", "branch", "template")
+    tree, done, level = shapes.withColumn("template", F.lit("")), None, 0
+    while True:
         value = F.get(F.col("segs"), F.lit(level))
         here = tree.withColumn("value", value)
         values = here.where(F.col("value").isNotNull()).groupBy("host", "template", "value").agg(F.sum("n").alias("vn"))
@@ -65,12 +67,24 @@ def template_tree(shapes: DataFrame, depth: int, min_share: float, min_count: in
         step = F.when(F.col("value").isNull(), "").when(F.col("literal"), F.concat(F.lit("/"), "value")).otherwise("/*")
         grown = F.concat("template", step)
         # One row per host and shape; written because the next level reads it three times.
-        tree = stage(here.join(literal, ["host", "template", "value"], "left").select(
+        tree = here.join(literal, ["host", "template", "value"], "left").select(
             "host", "shape", "segs", "n", "allow", "block", grown.alias("template"),
             F.col("branch") if level else grown.alias("branch"),
-        ))
-    deeper = F.when(F.size("segs") > depth, "/**").otherwise("")
-    return tree.withColumn("template", F.concat("template", deeper))
+        )
+        level += 1
+        deeper = F.size("segs") > level
+        sizes = tree.where(deeper).groupBy("host", "template").agg(F.sum("n").alias("nn"), F.count("*").alias("nshapes"))
+        few = F.col("nn") < min_count
+        rest = F.slice("segs", F.lit(level + 1), F.size("segs") - level)
+        tail = F.when(few, F.repeat(F.lit("/*"), F.size("segs") - level)).when(
+            F.col("nshapes") == 1, F.concat(F.lit("/"), F.array_join(rest, "/")))
+        tree = stage(tree.join(sizes, ["host", "template"], "left").withColumn("open", deeper & ~few & (F.col("nshapes") > 1)).withColumn(
+            "template", F.when(deeper & ~F.col("open"), F.concat("template", tail)).otherwise(F.col("template"))).select(*names, "open"))
+        ended = tree.where(~F.col("open")).select(*names)
+        done = ended if done is None else done.unionByName(ended)
+        tree = tree.where("open").select(*names)
+        if tree.isEmpty():
+            return done
 
 
 def template_purity(tree: DataFrame, smoothing: float, similar: float) -> DataFrame:
@@ -107,7 +121,6 @@ def filter_urls(
     rules: Sequence[Rule],
     id_col: str = "page_id",
     url_col: str = "url",
-    depth: int = 4,
     min_share: float = 0.02,
     min_count: int = 5,
     smoothing: float = 5.0,
@@ -118,7 +131,7 @@ def filter_urls(
 
     A rule's verdict holds. Pages without a rule are judged by their template: allowed if the template's smoothed
     purity, with the rules' verdicts as labels, is at least `least_purity`. Pages are grouped by host and shape of
-    path before the tree is built, so the tree grows with the number of shapes and not with the pages. Null URLs
+    path before the tree is built, so the tree grows with the number of shapes and not with the pages; it has as many levels as shapes of a host share. Null URLs
     and URLs without `://` have empty host and path and share one template. Repeated rows each count. Paths of any
     length work. Without any labels every page has purity 0.5. An empty table gives an empty result.
     """
@@ -131,7 +144,7 @@ def filter_urls(
         F.count("*").alias("n"), count_if("allow").alias("allow"), count_if("block").alias("block")
     ).withColumn("segs", F.split("shape", "/"))
     shapes = stage(shapes)
-    tree = template_tree(shapes, depth, min_share, min_count)
+    tree = template_tree(shapes, min_share, min_count)
     judged = tree.select("host", "shape", "template").join(template_purity(tree, smoothing, similar), ["host", "template"])
     verdict = F.when(F.col("purity") >= least_purity, "allow").otherwise("block")
     return ruled.join(judged, ["host", "shape"]).select(
