@@ -293,3 +293,11 @@ def test_deep_urls(spark):
     assert {r.page_id: r.template for r in got} == {k: want[digits(p)] for k, p in enumerate(paths)} | {1000: "/*" * 6}
     purity = {p: {r.purity for r in got if r.path == f"/a/b/c/d/{p}/page"} for p in ("good", "bad")}
     assert min(purity["good"]) > 0.7 and max(purity["bad"]) < 0.3
+
+
+def test_quality_takes_one_row_of_an_id(spark):
+    rows = [(i, prose(i, 40)) for i in range(30)] + [(7, prose(100 + k, 40)) for k in range(40)] + [(8, None)] * 5
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    model = fit_quality(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), labels, training_rows=20)
+    every = fit_quality(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    assert len(model.labels) == 20 and 20 < len(every.labels) < 30 and (abs(every.vectors).sum(axis=1) > 0).all()

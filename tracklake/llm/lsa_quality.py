@@ -123,14 +123,18 @@ def held_out(key) -> object:
 
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
                 training_rows: int = TRAINING_ROWS) -> Model:
-    """Fit on at most `training_rows` labelled rows, those with the smallest hashes of their ids, none of them held out."""
+    """Fit on at most `training_rows` labelled rows, those with the smallest hashes of their ids, none of them held out.
+
+    Of rows that share an id one counts: that whose text has the smallest hash, a null text only if there is no other.
+    """
     key = F.col(f"`{id_col}`")
     marked = labels.select(key.alias("id"), F.col(f"`{label_col}`").cast("int").alias("label")).where(
         F.col("id").isNotNull() & F.col("label").isNotNull() & ~held_out(F.col("id")))
     chosen = marked.groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(training_rows)
     texts = docs.select(key.alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     # The sample is bounded, so it may be broadcast; the texts are not shuffled.
-    sample = texts.join(F.broadcast(chosen), "id").select("id", "label", "text")
+    one = F.min(F.struct(F.isnull("text"), F.xxhash64("text"), "text"))
+    sample = texts.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(one.alias("one")).select("id", "label", "one.text")
     rows = sample.mapInArrow(_features, "label int, id long, counts binary").collect()
     rows.sort(key=lambda r: (r["id"], bytes(r["counts"])))
     matrix = np.stack([np.frombuffer(r["counts"], np.int32) for r in rows]) if rows else np.zeros((0, BUCKETS))
