@@ -301,3 +301,12 @@ def test_quality_takes_one_row_of_an_id(spark):
     model = fit_quality(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), labels, training_rows=20)
     every = fit_quality(spark.createDataFrame(rows, "doc_id long, text string"), labels)
     assert len(model.labels) == 20 and 20 < len(every.labels) < 30 and (abs(every.vectors).sum(axis=1) > 0).all()
+
+
+def test_secrets_of_letters_only(spark):
+    """Random keys of one case or of letters and separators are found, names made of words are not."""
+    keys = ["xqzvkjwpfhbtrmcg", "XKQZJVWPYHBFTRMC", "AbQdXyQzKwVrTpLmNs==", "qJxZvKpW/LmRtBzQhYdNc", "wqkz-xvbn-jpfh-zqtr"]
+    names = ["internationalization", "INTERNATIONALIZATION", "getResponseHeaderValue", "some_long_variable_name", "path/to/some/folder", "a/b/c/d/e/f/g/h/i/j"]
+    got = scan_secrets(spark.createDataFrame([(1, " ".join(keys)), (2, " ".join(names))], "doc_id long, text string")).collect()
+    spans = {r.doc_id: [s.split(":") for s in r.spans.split(",") if s] for r in got}
+    assert [" ".join(keys)[int(a) : int(b)] for _, a, b in spans[1]] == keys and not spans[2]

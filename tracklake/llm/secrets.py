@@ -26,6 +26,8 @@ DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
 UUID = re.compile(r"(?ai:[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})")
 NUMBER = re.compile(r"[0-9+/_=-]+")
 IDENTIFIER = re.compile(r"(?:[A-Za-z]+[0-9]{0,4}[/_=-]+)+[A-Za-z]*[0-9]{0,4}|[A-Z]?[a-z]+(?:[A-Z][a-z]+)*[0-9]{0,4}|[A-Z]+[0-9]{0,4}")
+SEPARATORS = re.compile(r"[/_=-]+")
+NAME_SHARE = 7 / 8  # of most_chars: what has the shape of a name must be spelled still worse
 Span = tuple[int, int, int]  # start, place of the kind in KINDS, end
 
 
@@ -42,10 +44,23 @@ def base_spans(text: str, lowered: bytes | None = None) -> list[Span]:
 
 
 def excluded(string: str) -> bool:
-    """Known digests, UUIDs, plain numbers and names made of words are no secrets."""
+    """Known digests, UUIDs and plain numbers are no secrets."""
     if len(string) in DIGEST_LENGTHS and not string.strip("0123456789abcdefABCDEF"):
         return True
-    return bool(UUID.fullmatch(string) or NUMBER.fullmatch(string) or IDENTIFIER.fullmatch(string))
+    return bool(UUID.fullmatch(string) or NUMBER.fullmatch(string))
+
+
+def made_of_words(string: str, encode, least_chars: float) -> bool:
+    """Whether a string has the shape of a name and its parts are spelled in few tokens, as words are.
+
+    Parts of up to three characters are one or two tokens in any case and do not count. Upper-case words may be spelled
+    like their lower-case forms.
+    """
+    if not IDENTIFIER.fullmatch(string):
+        return False
+    parts = [p for p in SEPARATORS.split(string) if len(p) > 3]
+    tokens = sum(min(len(encode(p)), len(encode(p.lower()))) if p.isupper() else len(encode(p)) for p in parts)
+    return sum(map(len, parts)) > least_chars * tokens or not parts
 
 
 def random_spans(text: str, taken: list[Span], encode, most_chars: float) -> list[Span]:
@@ -55,7 +70,7 @@ def random_spans(text: str, taken: list[Span], encode, most_chars: float) -> lis
         string = m[0]
         if excluded(string) or any(a < m.end() and m.start() < b for a, _, b in taken):
             continue
-        if len(string) <= most_chars * len(encode(string)):
+        if len(string) <= most_chars * len(encode(string)) and not made_of_words(string, encode, most_chars * NAME_SHARE):
             out.append((m.start(), 3, m.end()))
     return out
 
@@ -89,7 +104,8 @@ def scan_secrets(
 
     Base patterns give the spans `assign`, `access` and `hex`. The token test adds `token`: strings of 16 or more
     characters of which a token of the vocabulary covers `most_chars` or fewer on average, without known digests
-    and identifiers, and without those that a base span touches. Spans are kind:start:end in code points, end
+    and identifiers, and without those that a base span touches. Strings with the shape of a name (one case, camel case,
+    or letters with separators) are identifiers unless a token covers 7/8 of `most_chars` or fewer of their parts. Spans are kind:start:end in code points, end
     exclusive, by start and kind. The vocabulary is a file of the driver (some hundred KB, broadcast). Null
     texts are empty; repeated rows and null ids keep their row. No shuffle; a task holds one batch of whole texts.
     """
