@@ -310,3 +310,16 @@ def test_secrets_of_letters_only(spark):
     got = scan_secrets(spark.createDataFrame([(1, " ".join(keys)), (2, " ".join(names))], "doc_id long, text string")).collect()
     spans = {r.doc_id: [s.split(":") for s in r.spans.split(",") if s] for r in got}
     assert [" ".join(keys)[int(a) : int(b)] for _, a, b in spans[1]] == keys and not spans[2]
+
+
+def test_plain_phone_numbers(spark):
+    """Numbers without country code and brackets; dates, amounts, cards and other numbers keep their kind or their text."""
+    phones = ["366-555-9807", "366.555.9807", "366 555 9807", "0171 5559807", "0171/5559807", "030-12345678", "01 23 45 67 89", "089 12 34 56 78"]
+    others = ["01.02.2024", "2024-01-02", "3.366.555.98071", "12 345 678", "366-5559-807", "1,366 555 9807"]
+    rows = [(1, "; ".join(phones)), (2, "; ".join(others)), (3, "10.2.3.4; 123-45-6789; 4387 5130 3523 7269; 0387 5130 3523 7269"), (4, "Call 366-555-9807.")]
+    got = {r.doc_id: r for r in replace_personal_data(spark.createDataFrame(rows, "doc_id long, text string"), "key").collect()}
+    shape = lambda t: re.sub("[0-9]", "9", t)
+    assert got[1].n_entities == len(phones) and not set(got[1].text.split("; ")) & set(phones) and shape(got[1].text) == shape(rows[0][1])
+    assert (got[2].text, got[2].n_entities, got[3].n_entities) == (rows[1][1], 0, 4)
+    assert got[4].text == f"Call {got[1].text.split('; ')[0]}."
+    assert [len(re.sub(r"\D", "", x)) for x in got[3].text.split("; ")[1:]] == [9, 16, 16]

@@ -20,9 +20,12 @@ PHONE = r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{2,4}
 ADDRESS = r"(?<![0-9A-Za-z.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9A-Za-z]|\.[0-9])"
 NUMBER = r"(?<![0-9A-Za-z])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z])"
 CARD = r"(?<![0-9A-Za-z.=])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]|\.[0-9])"
+# Without country code or brackets: groups of 3, 3 and 4 digits; or a leading zero, an area code, and groups of 8 digits or more in all.
+PLAIN = (r"(?<![0-9A-Za-z+=])(?<![0-9][.,/-])(?:[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}|0[0-9](?:[ .-][0-9]{2}){4}"
+         r"|(?=(?:[ ./-]?[0-9]){8})0[0-9]{2,4}[ ./-][0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,3})(?![0-9A-Za-z]|[.,/-][0-9])")
 _TITLES = "|".join(sorted(MALE + FEMALE, key=len, reverse=True))
 PERSON = rf"(?<!\p{{L}})(?:{_TITLES})\.? \p{{Lu}}[\p{{L}}'-]++(?: \p{{Lu}}[\p{{L}}'-]++)?"
-ENTITY = "|".join((EMAIL, PHONE, ADDRESS, NUMBER, CARD, PERSON))
+ENTITY = "|".join((EMAIL, PHONE, ADDRESS, NUMBER, CARD, PLAIN, PERSON))
 LATIN = ("ba", "co", "da", "fe", "ga", "hi", "jo", "ka", "le", "mi", "no", "pe", "ri", "so", "tu", "va")
 CYRILLIC = ("ба", "ко", "да", "фе", "га", "хи", "жо", "ка", "ле", "ми", "но", "пе", "ри", "со", "ту", "ва")
 STREAM = 4  # digests of 32 bytes each; longer forms use them again
@@ -35,7 +38,8 @@ def kind_of(found: Column) -> Column:
         .when(F.rlike(found, F.lit(r"^[0-9]+(?:\.[0-9]+){3}$")), "address")
         .when(F.rlike(found, F.lit(rf"^(?:{NUMBER})$")), "number")
         .when(F.rlike(found, F.lit(r"^[+(]")), "phone")
-        .otherwise("card")
+        .when(F.rlike(found, F.lit(rf"^(?:{CARD})$")), "card")
+        .otherwise("phone")
     )
 
 
@@ -148,7 +152,8 @@ def surrogate_table(entities: DataFrame, key: str, rounds: int = 40) -> DataFram
 def replace_personal_data(docs: DataFrame, key: str = "surrogate key", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id, text with surrogates, n_entities.
 
-    Finds e-mail addresses, phone numbers, IPv4 addresses, card numbers, numbers like 123-45-6789, and names after a title.
+    Finds e-mail addresses, phone numbers (with a country code, a bracketed area code, a leading zero, or as 3-3-4 digits with
+    separators; digits without any separator are not taken for one), IPv4 addresses, card numbers, numbers like 123-45-6789, and names after a title.
     Equal entities get equal surrogates in all documents and spellings; different ones of a kind get different ones. Null texts
     stay null with 0 entities. Rows without an id and repeated rows are treated like any other. An empty table gives an
     empty result. Texts of any length work; a text's entities are gathered in one row, as its text is.
