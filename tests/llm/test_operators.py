@@ -323,3 +323,40 @@ def test_plain_phone_numbers(spark):
     assert (got[2].text, got[2].n_entities, got[3].n_entities) == (rows[1][1], 0, 4)
     assert got[4].text == f"Call {got[1].text.split('; ')[0]}."
     assert [len(re.sub(r"\D", "", x)) for x in got[3].text.split("; ")[1:]] == [9, 16, 16]
+
+
+def test_url_templates_and_purities(spark):
+    """Templates and purities of several hosts by plain Python."""
+    rng = np.random.default_rng(5)
+    names = ["news", "item", "tag", "x9", "abcdef0123"]
+    rows = [(k, f"http://h{rng.integers(4)}.org/" + "/".join(names[j] for j in rng.integers(0, 5, rng.integers(1, 6)))) for k in range(600)]
+    rules = [("allow", "h0.org/news"), ("block", "h0.org/tag"), ("block", "h1.org/item/news"), ("allow", "h1.org/x"), ("allow", "h2.org/news/tag")]
+    got = filter_urls(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()
+    paths, labels = defaultdict(Counter), defaultdict(Counter)
+    for _, url in rows:
+        host, path = url[7:].split("/", 1)
+        paths[host][path.replace("x9", "x<n>").replace("abcdef0123", "<h>")] += 1
+        fits = [(len(r), v) for v, r in rules if f"{host}/{path}".startswith(r)]
+        labels[host, path.replace("x9", "x<n>").replace("abcdef0123", "<h>")][max(fits)[1] if fits else None] += 1
+    template = {(h, p): t for h, c in paths.items() for p, t in url_templates(c).items()}
+    leaf, branch, pooled, by_name = (defaultdict(lambda: np.zeros(2)) for _ in range(4))
+    for (h, p), seen in labels.items():
+        t = template[h, p]
+        for into, key in ((leaf, (h, t)), (branch, (h, t.split("/")[1])), (by_name, t)):
+            into[key] += (seen["allow"], seen["block"])
+    base = (sum(v[0] for v in leaf.values()) + 1) / (sum(v.sum() for v in leaf.values()) + 2)
+    merged = {}
+    for (h, t), (a, b) in leaf.items():
+        top = branch[h, t.split("/")[1]]
+        share, n = (top[0] + 1) / (top.sum() + 2), a + b
+        own = n > 0 and abs(a / n - share) >= 2 * (share * (1 - share) / n) ** 0.5
+        merged[h, t] = (h, t.split("/")[1], t if own else "*")
+        pooled[merged[h, t]] += (a, b)
+    assert len({r.template for r in got}) > 50 and len(got) == len(rows)
+    for r in got:
+        shape = r.path[1:].replace("x9", "x<n>").replace("abcdef0123", "<h>")
+        t = template[r.host, shape]
+        prior = (by_name[t][0] + 5 * base) / (by_name[t].sum() + 5)
+        a, b = pooled[merged[r.host, t]]
+        assert r.template == t and r.purity == pytest.approx((a + 5 * prior) / (a + b + 5))
+        assert r.rule is not None or r.verdict == ("allow" if r.purity >= 0.5 else "block")

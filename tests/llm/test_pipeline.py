@@ -9,6 +9,7 @@ import corpus_pipeline
 from tests.llm.test_operators import lower, prose, shingles
 from tracklake.llm.lsa_quality import counts, fit_quality
 from tracklake.llm.mixing import mix_sources
+from tracklake.llm.queries import PIECE_MODEL
 
 SCHEMA = "doc_id long, text string, source string"
 
@@ -71,6 +72,14 @@ def mixed(spark, docs):
     return [r for r in docs for _ in range(taken[r[0], r[2]])]
 
 
+def encoded(docs):
+    from sentencepiece import SentencePieceProcessor
+
+    library = SentencePieceProcessor(model_file=PIECE_MODEL)
+    ids = [(r[0], library.encode(r[1] or "")) for r in docs]
+    return Counter((i, len(p), tuple(p)) for i, p in ids)
+
+
 def test_stages(spark, folder):
     stages = dict(corpus_pipeline.STAGES)
     docs, frame = rows(), spark.read.parquet(f"{folder}/documents.parquet")
@@ -82,3 +91,9 @@ def test_stages(spark, folder):
     kept = [r for r in docs if r[0] is None]
     assert kept and all(r in apart(docs) for r in kept)
     assert any(n > 1 for n in Counter(mixed(spark, docs)).values())
+
+
+def test_run(spark, folder):
+    want = encoded(mixed(spark, apart(unique(good(spark, folder, rows())))))
+    got = Counter((r.doc_id, r.n_pieces, tuple(r.ids)) for r in corpus_pipeline.run(spark, folder).collect())
+    assert got == want and any(i is None for i, _, _ in want) and max(want.values()) > 1
