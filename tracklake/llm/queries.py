@@ -11,6 +11,7 @@ from tracklake.llm.grace_dedup import exact_dedup
 from tracklake.llm.lsa_quality import score_quality
 from tracklake.llm.mixing import mix_sources
 from tracklake.llm.pieces import decode_pieces, encode_pieces, load_vocabulary
+from tracklake.llm.prefix_trie import prefix_trie
 from tracklake.llm.secrets import scan_secrets
 from tracklake.llm.set_join import jaccard_components
 from tracklake.llm.suffix_dedup import remove_repeats
@@ -75,6 +76,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -84,7 +89,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (op1_quality_vote, op2_substring_dedup, op3_piece_codec, op4_secret_scan, op5_source_mix, op6_surrogates, op7_url_filter, op8_exact_dedup, op9_vector_links,
-              op10_jaccard_join, pipeline)
+              op10_jaccard_join, op12_prefix_trie, pipeline)
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
@@ -180,4 +185,46 @@ SELECT doc_id, len(w)::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256
 FROM kept
 """
 
-ORACLE: dict[str, str] = {"op2_substring_dedup": _OP2, "op5_source_mix": _OP5, "op8_exact_dedup": _OP8, "op9_vector_links": _OP9}
+_OP12 = """
+WITH tab AS (
+  SELECT list(v ORDER BY n) AS t
+  FROM (SELECT n, list_reduce(list_prepend(n, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+        FROM range(256) r(n))
+), ids AS (
+  SELECT DISTINCT conv_id AS c, conv_id::VARCHAR AS s FROM conversations WHERE conv_id IS NOT NULL
+), skips AS (
+  SELECT c, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(s) + 1), lambda i: ord(s[i]))),
+                            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 9 AS h
+  FROM ids, tab
+), placed AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations
+), built AS (
+  SELECT c, 0 AS mine, p, role, text FROM skips JOIN placed ON conv_id = c - c % 5 AND p <= h
+  UNION ALL
+  SELECT c, 1 AS mine, p, role, text FROM skips JOIN placed ON conv_id = c AND p > h
+), listed AS (
+  SELECT c, list(sha256(strlen(role) || ':' || role || text) ORDER BY mine, p) AS w, list(strlen(text) ORDER BY mine, p) AS b FROM built GROUP BY c
+), whole AS (
+  SELECT c, coalesce(w, []) AS w, coalesce(b, []) AS b FROM ids LEFT JOIN listed USING (c)
+), prefix AS (
+  SELECT c, d, array_to_string(w[1:d], '') AS k, CASE WHEN d > 0 THEN array_to_string(w[1:d - 1], '') END AS up,
+         CASE WHEN d > 0 THEN b[d] ELSE 0 END AS size, len(w) = d AS ends
+  FROM (SELECT *, unnest(range(0, len(w) + 1)) AS d FROM whole)
+), node AS (
+  SELECT k, d, min(c) AS conv_id, any_value(up) AS up, count(*) AS n, any_value(size) AS size,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM prefix GROUP BY k, d
+), kids AS (
+  SELECT up AS k, count(*) AS n_children FROM node WHERE up IS NOT NULL GROUP BY up
+), totals AS (
+  SELECT p.k, sum((n - 1) * node.size)::BIGINT AS saved_tokens, count(*) FILTER (n_children IS NULL) AS n_leaves
+  FROM node LEFT JOIN kids USING (k) JOIN prefix p ON p.c = node.conv_id AND p.d <= node.d GROUP BY p.k
+)
+SELECT v.conv_id, v.d::BIGINT AS depth, u.conv_id AS parent_conv_id, v.n::BIGINT AS n_convs, coalesce(n_children, 0)::BIGINT AS n_children,
+       n_leaves::BIGINT AS n_leaves, saved_tokens, v.ends_sha256
+FROM node v JOIN totals USING (k) LEFT JOIN kids USING (k) LEFT JOIN node u ON u.k = v.up
+"""
+
+ORACLE: dict[str, str] = {"op2_substring_dedup": _OP2, "op5_source_mix": _OP5, "op8_exact_dedup": _OP8, "op9_vector_links": _OP9,
+                          "op12_prefix_trie": _OP12}
