@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklake.llm.grace_dedup import exact_dedup
+from tracklake.llm.lexical_search import ranked_search
 from tracklake.llm.lsa_quality import score_quality
 from tracklake.llm.mixing import mix_sources
 from tracklake.llm.pieces import decode_pieces, encode_pieces, load_vocabulary
@@ -76,6 +77,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -89,7 +94,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (op1_quality_vote, op2_substring_dedup, op3_piece_codec, op4_secret_scan, op5_source_mix, op6_surrogates, op7_url_filter, op8_exact_dedup, op9_vector_links,
-              op10_jaccard_join, op12_prefix_trie, pipeline)
+              op10_jaccard_join, op11_ranked_search, op12_prefix_trie, pipeline)
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
@@ -185,6 +190,33 @@ SELECT doc_id, len(w)::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256
 FROM kept
 """
 
+_OP11 = r"""
+WITH held AS (
+  SELECT row_number() OVER () AS row_at, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), asked AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), sums AS (
+  SELECT count(*) FILTER (len(w) > 0) AS big_n, sum(len(w))::BIGINT AS big_l FROM held
+), wanted AS (
+  SELECT DISTINCT item_id, unnest(w) AS term FROM asked
+), tf AS (
+  SELECT row_at, doc_id, n, term, count(*) AS tf
+  FROM (SELECT row_at, doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM held) WHERE term IN (SELECT term FROM wanted) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(big_n) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, sums GROUP BY term
+), impacts AS (
+  SELECT row_at, doc_id, term, (1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * big_n) // big_l))) AS i FROM tf, sums
+), scored AS (
+  SELECT item_id, row_at, doc_id, sum(w * i)::BIGINT AS score FROM wanted JOIN weights USING (term) JOIN impacts USING (term) GROUP BY item_id, row_at, doc_id
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST)::INTEGER AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 50
+"""
+
 _OP12 = """
 WITH tab AS (
   SELECT list(v ORDER BY n) AS t
@@ -227,4 +259,4 @@ FROM node v JOIN totals USING (k) LEFT JOIN kids USING (k) LEFT JOIN node u ON u
 """
 
 ORACLE: dict[str, str] = {"op2_substring_dedup": _OP2, "op5_source_mix": _OP5, "op8_exact_dedup": _OP8, "op9_vector_links": _OP9,
-                          "op12_prefix_trie": _OP12}
+                          "op11_ranked_search": _OP11, "op12_prefix_trie": _OP12}

@@ -85,8 +85,9 @@ def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return pc.fill_null(column, b"" if pa.types.is_binary(column.type) else "")
 
 
-def split_words(column: pa.Array, lower: bool = False, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Words]:
-    """Words of all texts of a column without nulls, in chunks of whole texts. `lower` maps A-Z to a-z."""
+def split_words(column: pa.Array, lower: bool = False, chunk_bytes: int = CHUNK_BYTES, space: np.ndarray = _SPACE) -> Iterator[Words]:
+    """Words of all texts of a column without nulls, in chunks of whole texts. `lower` maps A-Z to a-z; `space` marks the
+    bytes between words."""
     if not len(column):
         return
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
@@ -101,7 +102,7 @@ def split_words(column: pa.Array, lower: bool = False, chunk_bytes: int = CHUNK_
         if lower:
             part = _LOWER[part]
         texts = at[first : last + 1] - at[first]
-        is_word = ~_SPACE[part]
+        is_word = ~space[part]
         filled = texts[:-1][texts[1:] > texts[:-1]]
         before = np.zeros(len(part), bool)
         before[1:] = is_word[:-1]
