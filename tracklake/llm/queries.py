@@ -18,6 +18,7 @@ from tracklake.llm.set_join import jaccard_components
 from tracklake.llm.suffix_dedup import remove_repeats
 from tracklake.llm.surrogates import replace_personal_data
 from tracklake.llm.tile_join import vector_links
+from tracklake.llm.toxicity import score_toxicity
 from tracklake.llm.url_templates import filter_urls
 from tracklake.session import prepare
 
@@ -85,6 +86,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -94,7 +99,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (op1_quality_vote, op2_substring_dedup, op3_piece_codec, op4_secret_scan, op5_source_mix, op6_surrogates, op7_url_filter, op8_exact_dedup, op9_vector_links,
-              op10_jaccard_join, op11_ranked_search, op12_prefix_trie, pipeline)
+              op10_jaccard_join, op11_ranked_search, op12_prefix_trie, op13_toxicity, pipeline)
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
