@@ -24,11 +24,10 @@ from tracklake.session import stage
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _GAP = np.ones(256, bool)
 _GAP[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
-QUERY_TERMS = 100_000  # terms of the queries that are answered in one pass over the documents
-SHARD = 8192  # documents whose lists are clustered together
+QUERY_TERMS = 16_384  # terms of the queries that are answered in one pass over the documents
+SHARD = 2048  # documents whose lists are clustered together
 BLOCK = 64  # documents of a block at most
 SKETCH = 32  # dimensions in which documents are compared for clustering
-CELLS = 1 << 22  # summary cells worked on at once
 WARM = 16_384  # documents, about, that give the first thresholds
 
 
@@ -40,6 +39,8 @@ class Queries:
     terms: list[np.ndarray]
     hashes: np.ndarray  # of the vocabulary, ascending
     sizes: np.ndarray  # byte length of each term
+    asked: list[np.ndarray]  # per term, the terms of all queries that have it
+    places: list[list[np.ndarray]]  # per query and term of it, where the query's terms are in `asked`
 
 
 def term_queries(rows: list) -> Queries:
@@ -50,7 +51,14 @@ def term_queries(rows: list) -> Queries:
     order = np.argsort(hashes, kind="stable")
     place = {vocabulary[k]: i for i, k in enumerate(order)}
     sizes = np.array([len(vocabulary[k].encode()) for k in order], np.int64)
-    return Queries([r[0] for r in rows], [np.array(sorted(place[t] for t in r[1]), np.int64) for r in rows], hashes[order], sizes)
+    terms = [np.array(sorted(place[t] for t in r[1]), np.int64) for r in rows]
+    having: list[list[np.ndarray]] = [[] for _ in vocabulary]
+    for query in terms:
+        for t in query:
+            having[t].append(query)
+    asked = [np.unique(np.concatenate(h)) for h in having]
+    places = [[np.searchsorted(asked[t], query) for t in query] for query in terms]
+    return Queries([r[0] for r in rows], terms, hashes[order], sizes, asked, places)
 
 
 def term_counts(column: pa.Array, queries: Queries) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -67,30 +75,33 @@ def term_counts(column: pa.Array, queries: Queries) -> Iterator[tuple[np.ndarray
 
 
 class Shard:
-    """Vectors of some documents and their blocked posting lists."""
+    """Vectors of some documents and their blocked posting lists.
 
-    def __init__(self, offsets: np.ndarray, terms: np.ndarray, impacts: np.ndarray, width: int, block: int = BLOCK):
-        self.offsets, self.terms, self.impacts, self.width = offsets, terms, impacts, width
-        self._cluster(block)
+    A block's summary holds the coordinates that some query with the list's term asks for: no other query looks at the block.
+    """
+
+    def __init__(self, offsets: np.ndarray, terms: np.ndarray, impacts: np.ndarray, queries: Queries, block: int = BLOCK):
+        self.queries = queries
+        owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        self.vectors = np.zeros((len(offsets) - 1, len(queries.hashes)), np.int32)
+        self.vectors[owner, terms] = impacts
+        self._cluster(owner, terms, block)
         self._summarize()
 
-    def _sketches(self, owner: np.ndarray) -> np.ndarray:
+    def _sketches(self) -> np.ndarray:
         """Unit vectors of a random projection, near for documents with similar vectors."""
-        signs = np.random.default_rng(7).choice(np.array([-1, 1], np.float32), (self.width, SKETCH))
-        out = np.zeros((len(self.offsets) - 1, SKETCH), np.float32)
-        for d in range(SKETCH):
-            out[:, d] = np.bincount(owner, self.impacts * signs[self.terms, d], len(out))
+        signs = np.random.default_rng(7).choice(np.array([-1, 1], np.float32), (self.vectors.shape[1], SKETCH))
+        out = self.vectors.astype(np.float32) @ signs
         length = np.sqrt((out * out).sum(axis=1, keepdims=True))
         return out / np.where(length > 0, length, 1)
 
-    def _cluster(self, block: int) -> None:
+    def _cluster(self, owner: np.ndarray, terms: np.ndarray, block: int) -> None:
         """Postings in order of term, then cluster; a block is a run of at most `block` of one cluster."""
-        owner = np.repeat(np.arange(len(self.offsets) - 1), np.diff(self.offsets))
-        order = np.argsort(self.terms, kind="stable")
+        order = np.argsort(terms, kind="stable")
         docs = owner[order]
-        bounds = np.searchsorted(self.terms[order], np.arange(self.width + 1))
+        bounds = np.searchsorted(terms[order], np.arange(self.vectors.shape[1] + 1))
         cluster = np.zeros(len(docs), np.int64)
-        sketches = self._sketches(owner)
+        sketches = self._sketches()
         for term in np.flatnonzero(np.diff(bounds) > block):
             a, b = bounds[term], bounds[term + 1]
             mine = sketches[docs[a:b]]
@@ -98,7 +109,7 @@ class Shard:
             nearest = np.argmax(mine @ centres.T, axis=1)
             inside = np.argsort(nearest, kind="stable")
             docs[a:b], cluster[a:b] = docs[a:b][inside], nearest[inside]
-        term_of = np.repeat(np.arange(self.width), np.diff(bounds))
+        term_of = np.repeat(np.arange(self.vectors.shape[1]), np.diff(bounds))
         new = np.ones(len(docs), bool)
         new[1:] = (term_of[1:] != term_of[:-1]) | (cluster[1:] != cluster[:-1])
         heads = np.flatnonzero(new)
@@ -109,79 +120,55 @@ class Shard:
         self.lists = np.searchsorted(starts, bounds)  # bounds of the terms' lists in the blocks
 
     def _summarize(self) -> None:
-        """Largest impact per block and coordinate, kept by coordinate."""
-        count = len(self.blocks) - 1
-        sizes = np.diff(self.blocks)
-        kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        step = max(1, CELLS // self.width)
-        for low in range(0, count, step):
-            here = np.arange(low, min(count, low + step))
-            cells = np.zeros(len(here) * self.width, np.int64)
-            for k in range(int(sizes[here].max())):
-                # The k-th document of every block: each touches cells of its own.
-                alive = here[sizes[here] > k]
-                docs = self.members[self.blocks[alive] + k]
-                at, entries = self._entries(docs)
-                place = (alive[at] - low) * self.width + self.terms[entries]
-                cells[place] = np.maximum(cells[place], self.impacts[entries])
-            filled = np.flatnonzero(cells)
-            kept.append((filled % self.width, filled // self.width + low, cells[filled]))
-        coordinate, block, value = (np.concatenate(c) for c in zip(*kept)) if kept else (np.zeros(0, np.int64),) * 3
-        order = np.argsort(coordinate, kind="stable")
-        self.summary = np.searchsorted(coordinate[order], np.arange(self.width + 1)), block[order], value[order]
-
-    def _entries(self, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Vector entries of the documents: index into `docs` and place in `terms`."""
-        sizes = self.offsets[docs + 1] - self.offsets[docs]
-        at = np.repeat(np.arange(len(docs)), sizes)
-        before = np.cumsum(sizes) - sizes
-        return at, np.arange(len(at)) - before[at] + self.offsets[docs][at]
-
-    def scores(self, docs: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        at, entries = self._entries(docs)
-        out = np.zeros(len(docs), np.int64)
-        np.add.at(out, at, weights[self.terms[entries]] * self.impacts[entries])
-        return out
-
-    def bounds(self, query: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """Per block, at least the score of each of its documents."""
-        starts, block, value = self.summary
-        out = np.zeros(len(self.blocks) - 1, np.int64)
-        for term in query:
-            a, b = starts[term], starts[term + 1]
-            out[block[a:b]] += weights[term] * value[a:b]
-        return out
+        """Per term, the largest impact per block and coordinate."""
+        self.summaries: dict[int, np.ndarray] = {}
+        for term in np.flatnonzero(np.diff(self.lists)):
+            starts = self.blocks[self.lists[term] : self.lists[term + 1] + 1]
+            rows = self.vectors[self.members[starts[0] : starts[-1]][:, None], self.queries.asked[term]]
+            self.summaries[int(term)] = np.maximum.reduceat(rows, starts[:-1] - starts[0], axis=0)
+
+    def scores(self, docs: np.ndarray, query: int, weights: np.ndarray) -> np.ndarray:
+        return self.vectors[docs[:, None], self.queries.terms[query]].astype(np.int64) @ weights
+
+    def bounds(self, query: int, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Blocks of the query's lists, and for each at least the score of every document in it."""
+        blocks, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for term, places in zip(self.queries.terms[query], self.queries.places[query]):
+            if (summary := self.summaries.get(int(term))) is not None:
+                blocks.append(np.arange(self.lists[term], self.lists[term + 1]))
+                found.append(summary[:, places].astype(np.int64) @ weights)
+        return np.concatenate(blocks), np.concatenate(found)
 
     def members_of(self, blocks: np.ndarray) -> np.ndarray:
         sizes = self.blocks[blocks + 1] - self.blocks[blocks]
         before = np.cumsum(sizes) - sizes
         return np.unique(self.members[np.arange(sizes.sum()) + np.repeat(self.blocks[blocks] - before, sizes)])
 
-    def best(self, query: np.ndarray, weights: np.ndarray, top: int, least: int) -> tuple[np.ndarray, np.ndarray, int]:
+    def best(self, query: int, weights: np.ndarray, top: int, least: int) -> tuple[np.ndarray, np.ndarray, int]:
         """All documents that can be among the `top` and score at least `least`, their scores, and the blocks skipped.
 
-        Documents that tie with the last one are all in it.
+        `weights` are those of the query's terms. Documents that tie with the last one are all in it.
         """
-        bound = self.bounds(query, weights)
         # Every document with a term of the query is in a block of one of its lists.
-        ours = np.concatenate([np.arange(self.lists[t], self.lists[t + 1]) for t in query]) if len(query) else np.zeros(0, np.int64)
-        ours = ours[bound[ours] >= max(1, least)]
-        ours = ours[np.argsort(-bound[ours], kind="stable")]
+        ours, bound = self.bounds(query, weights)
+        every = len(ours)
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] >= max(1, least)]
+        ours, bound = ours[order], bound[order]
         sizes = np.cumsum(self.blocks[ours + 1] - self.blocks[ours])
         # The most promising blocks first; their scores raise the threshold for the others.
-        first = ours[: int(np.searchsorted(sizes, 4 * top)) + 1]
-        docs = self.members_of(first)
-        found = self.scores(docs, weights)
+        first = int(np.searchsorted(sizes, 2 * top)) + 1
+        docs = self.members_of(ours[:first])
+        found = self.scores(docs, query, weights)
         if len(docs) >= top:
             least = max(least, int(np.partition(found, len(found) - top)[len(found) - top]))
-        rest = ours[len(first):]
-        rest = rest[bound[rest] >= least]
+        rest = ours[first:][bound[first:] >= least]
         more = np.setdiff1d(self.members_of(rest), docs, assume_unique=True)
-        docs, found = np.concatenate([docs, more]), np.concatenate([found, self.scores(more, weights)])
+        docs, found = np.concatenate([docs, more]), np.concatenate([found, self.scores(more, query, weights)])
         if len(docs) >= top:
             least = max(least, int(np.partition(found, len(found) - top)[len(found) - top]))
         good = found >= max(1, least)
-        return docs[good], found[good], len(ours) - len(first) - len(rest)
+        return docs[good], found[good], every - min(first, len(ours)) - len(rest)
 
 
 def impact(tf: np.ndarray, n: np.ndarray, documents: int, terms: int) -> np.ndarray:
@@ -235,19 +222,16 @@ def _search(vectors: DataFrame, queries, weights, least, documents: int, terms:
     """Per shard and query, the documents that can be among the best."""
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = len(queries.value.hashes)
         for whole in batches:
             for a in range(0, whole.num_rows, SHARD):
                 batch = whole.slice(a, SHARD)
                 offsets, held = _flat(batch, "terms")
                 n = batch.column("n").to_numpy()
                 tf = _flat(batch, "counts")[1]
-                shard = Shard(offsets, held, impact(tf, np.repeat(n, np.diff(offsets)), documents, terms), width)
+                shard = Shard(offsets, held, impact(tf, np.repeat(n, np.diff(offsets)), documents, terms), queries.value)
                 names, docs, scores = [], [], []
                 for q, query in enumerate(queries.value.terms):
-                    mine = np.zeros(width, np.int64)
-                    mine[query] = weights.value[query]
-                    found, score, _ = shard.best(query, mine, top, int(least.value[q]))
+                    found, score, _ = shard.best(q, weights.value[query], top, int(least.value[q]))
                     names.append(np.full(len(found), q)), docs.append(found), scores.append(score)
                 places = pa.array(np.concatenate(docs))
                 yield pa.RecordBatch.from_arrays(
