@@ -267,3 +267,31 @@ def test_graph_files(spark, four_pings, tmp_path):
     packing.save_graph_files(g, str(tmp_path / "graphs"))
     back = spark.read.option("basePath", str(tmp_path / "graphs")).text(str(tmp_path / "graphs"))
     assert back.count() == 169 and back.select("graph_id").distinct().count() == 1
+
+
+def _sparse_pings(spark):
+    """Rows that share a number, rows that are repeated, and rows without time, position or measures."""
+    rows = [("v", 10, 0, 1.0, 2.0, 3.0, 4.0), ("v", 10, 0, 1.0, 2.0, 3.0, 4.0), ("v", 20, 0, 1.0, 2.0, None, 4.0), ("v", 30, None, 1.5, None, 3.0, None),
+            ("v", None, None, None, None, None, None), ("v", None, 0, 1.0, 2.0, 3.0, 4.0), ("v", 30, 7, 1.0, 2.0, 3.0, 4.0), ("v", 30, 7, 9.0, 2.0, 3.0, 4.0)]
+    df = spark.createDataFrame(rows, "mmsi string, t long, seq long, lat double, lon double, sog double, cog double")
+    return df.withColumn("ts", F.timestamp_seconds("t")).drop("t")
+
+
+def test_each_ping_of_a_track_stays_an_observation(spark):
+    from tracklake.operators import emitters, tracks
+
+    t = emitters.track_graphs(tracks.build_tracks(_sparse_pings(spark), 4)).cache()
+    assert t.count() == t.distinct().count()
+    seen = t.where(F.col("o").endswith("LocationObservation")).groupBy("graph_id").agg(F.countDistinct("s").alias("n"))
+    assert [r.n for r in seen.collect()] == [4, 4]
+    assert t.where("s IS NULL OR p IS NULL OR o IS NULL").count() == 0
+
+
+def test_state_of_a_ping_without_time_or_position_has_no_null_terms(spark):
+    from tracklake.operators import emitters, mapping
+
+    p = _sparse_pings(spark).withColumns({c: F.lit(None).cast("string") for c in ("imo", "vessel_name", "call_sign", "vessel_type")})
+    p = p.withColumn("seq", F.monotonically_increasing_id())
+    t = emitters.vessel_state_graphs(mapping.map_pings(p, mapping.vessel_class_map(spark))).cache()
+    assert t.where("s IS NULL OR p IS NULL OR o IS NULL").count() == 0 and t.select("graph_id").distinct().count() == 8
+    assert t.where(F.col("o").endswith("GeoPoint")).count() == 6 and t.where(F.col("o").endswith("ParticularPeriod")).count() == 6

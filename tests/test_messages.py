@@ -133,3 +133,14 @@ def test_csv_sources(spark, tmp_path):
     found = pings.read_detection_csv(spark, str(det), "Longitude_degrees", "Latitude_degrees", "Time")
     assert found.first().metadata == {"MMSI": "235", "Type": "Ferry"}
     assert pings.detections_as_pings(found).first().mmsi == "235"
+
+
+def test_numbers_of_rows_are_unique_and_follow_the_offset(spark):
+    sent = spark.createDataFrame(
+        [(p, str(o), k) for p in (0, 1, 1023, 5000) for o in (0, 1, 2**40, "x") for k in (0, 1, 4095, 4096)], "partition int, offset string, place long"
+    ).withColumn("topic", F.lit("t"))
+    rows = sent.select("partition", "offset", "place", messages.ping_number(F.col("place")).alias("seq")).collect()
+    assert len({r.seq for r in rows}) == len(rows)
+    small = [r for r in rows if r.offset in "012" and r.partition < 1024 and r.place < 4096]
+    assert [r.seq for r in sorted(small, key=lambda r: (int(r.offset), r.partition, r.place))] == sorted(r.seq for r in small)
+    assert all((r.seq >= 0) == (r in small) for r in rows)

@@ -107,3 +107,50 @@ def test_result_does_not_depend_on_partitions_or_input_order(spark, sf_dir):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert results[0] == results[1] == results[2]
+
+
+@pytest.fixture(scope="module")
+def gappy(skewed):
+    """Half of the times and some of the numbers that break ties are missing."""
+    return skewed.withColumn("ts", F.when(F.col("seq") % 4 < 2, F.col("ts"))).withColumn("seq", F.when(F.col("seq") != 8, F.col("seq")))
+
+
+@pytest.mark.parametrize("keys", [["mmsi"], []])
+@pytest.mark.parametrize("limit", [90, 10_000])
+def test_missing_order_values_come_first(gappy, keys, limit):
+    got = keyed_index(gappy, keys, ["ts", "seq"], index="rn", limit=limit)
+    want = gappy.withColumn("rn", F.row_number().over(plain(gappy, keys)).cast("bigint"))
+    assert rows_of(got, "seq", "rn") == rows_of(want, "seq", "rn")
+    add = lambda df, w: df.withColumn("prev", F.lag("seq", 2).over(w))
+    assert rows_of(look_back(gappy, keys, ["ts", "seq"], 2, add, limit=limit), "seq", "prev") == rows_of(add(gappy, plain(gappy, keys)), "seq", "prev")
+
+
+def test_missing_times_give_the_same_at_any_limit(gappy):
+    for f in (
+        lambda limit: tracks.last_seen(gappy, limit=limit),
+        lambda limit: tracks.sessions(gappy, 20, limit=limit),
+        lambda limit: tracks.number_batches(gappy, 4, limit=limit),
+    ):
+        assert rows_of(f(200)) == rows_of(f(1_000_000))
+    assert tracks.sessions(gappy, 20, limit=200).agg(F.sum("n_pings")).first()[0] == gappy.where("ts IS NOT NULL").count()
+
+
+def test_global_order_of_an_empty_table(spark):
+    empty = spark.createDataFrame([], "ts timestamp, seq long")
+    assert keyed_index(empty, [], ["ts", "seq"], total="n").collect() == []
+
+
+def test_only_a_single_process_gets_a_folder_of_its_own():
+    from types import SimpleNamespace
+
+    from tracklake.session import shared_folder
+
+    def session(master):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda path: None)
+        return SimpleNamespace(conf={}, sparkContext=context)
+
+    for master in ("local", "local[*]", "local[8]"):
+        assert shared_folder(session(master))
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://https://host"):
+        with pytest.raises(RuntimeError):
+            shared_folder(session(master))

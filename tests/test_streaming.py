@@ -174,3 +174,29 @@ def test_stream_set(spark, tmp_path):
     df.coalesce(1).write.parquet(str(tmp_path / "in"))
     source = read_files(spark, str(tmp_path / "in"), df.schema)
     assert drain(tr.as_set_stream(source, "ts", "1 hour"), tmp_path).count() == 2
+
+
+def test_mapper_sorts_out_bad_rows_and_a_replay_adds_nothing(spark, sf_dir, tmp_path):
+    from tracklake.streaming.mapper import folder_sink
+
+    p = driver.pings(spark, sf_dir).where("seq < 60")
+    seq = F.col("seq")
+    bad = packing.number_messages(p).withColumns({
+        "mmsi": F.when(seq % 10 != 1, F.col("mmsi")), "ts": F.when(seq % 10 != 2, F.col("ts")),
+        "lat": F.when(seq % 10 == 3, "north").otherwise(F.col("lat").cast("string")), "lon": F.when(seq % 10 == 4, 181.0).otherwise(F.col("lon"))})
+    sent = packing.as_messages(packing.pack_json(bad), topic="pings", key="batch_id")
+    path = in_files(sent, str(tmp_path / "in"), 3, ["offset"])
+    out, dead = str(tmp_path / "out"), str(tmp_path / "dead")
+    seen = []
+    for attempt in range(2):  # the second one has lost its checkpoint and sends every batch again
+        query = run_mapper(read_files(spark, path, sent.schema), str(tmp_path / f"state{attempt}"), folder_sink(out), folder_sink(dead))
+        assert query.awaitTermination(120)
+        letters = spark.read.parquet(dead)
+        triples, refused = smonitor.message_triples(spark.read.parquet(out).withColumn("graph_id", F.decode("key", "UTF-8")))
+        assert refused.count() == 0
+        seen.append((rows_of(letters, "graph_id", "error", "raw"), triples.count(), triples.select("msg_id").distinct().count(), spark.read.parquet(out).count()))
+    assert seen[0] == seen[1]
+    reasons = letters.groupBy("error").count().collect()
+    assert {r["error"]: r["count"] for r in reasons} == {"no vessel id": 6, "bad timestamp": 6, "bad position": 12}
+    assert seen[0][2] == seen[0][3] == 36
+    assert letters.where(F.decode("raw", "UTF-8").contains("north")).count() == 6  # the row as it came

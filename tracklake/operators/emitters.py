@@ -27,6 +27,13 @@ def _first(values: str) -> Column:
     return F.array_position(F.col(values), _unit(F.col(values))) == F.col("unit")
 
 
+def _repeat(values: str) -> Column:
+    """Null for the first unit with its value, then 2, 3, ... as text; nulls count as equal."""
+    at = F.col("unit")
+    earlier = F.filter(F.slice(values, 1, at), lambda v: v.eqNullSafe(_unit(F.col(values))))
+    return F.when(F.size(earlier) > 1, F.size(earlier).cast("string"))
+
+
 def track_graphs(tracks: DataFrame, data_uri: str = DATA, *, form: str = "full") -> DataFrame:
     """One graph per track.
 
@@ -34,13 +41,15 @@ def track_graphs(tracks: DataFrame, data_uri: str = DATA, *, form: str = "full")
     neither measures nor period texts and names points by geohash.
 
     Each track becomes `n + 1` rows: number 0 carries the track's own triples, 1..n its pings. Periods
-    and points are written by the first ping that has them.
+    and points are written by the first ping that has them. A ping's nodes are named by its `seq`; pings of a
+    track that share one are told apart by their order, so that each stays an observation of its own and the
+    triples of a graph are a set. A ping without time or position is observed without them.
     """
     full = form == "full"
     graph_id = F.concat(F.lit("track"), F.col("mmsi"), F.lit("-"), F.col("track_no").cast("string"))
     units = tracks.select(
         graph_id.alias("graph_id"), "mmsi", "min_ts", "max_ts", "pings",
-        F.col("pings.ts").alias("times"),
+        F.col("pings.ts").alias("times"), F.col("pings.seq").alias("seqs"),
         F.transform("pings", lambda p: F.struct(p["lat"], p["lon"])).alias("places"),
     ).select("*", F.explode(F.sequence(F.lit(0), F.size("pings"))).alias("unit"))
     ping = F.col("ping")
@@ -51,7 +60,7 @@ def track_graphs(tracks: DataFrame, data_uri: str = DATA, *, form: str = "full")
     rows = units.withColumn("ping", _unit("pings")).select(
         "graph_id", "mmsi", "unit",
         F.when(F.col("unit") == 0, _node(data_uri, F.col("graph_id")))
-        .otherwise(_node(data_uri, F.col("graph_id"), ping["seq"].cast("string"))).alias("node"),
+        .otherwise(_node(data_uri, F.col("graph_id"), F.coalesce(ping["seq"].cast("string"), F.lit("")), _repeat("seqs"))).alias("node"),
         _node(data_uri, F.col("graph_id")).alias("graph_node"),
         tx.transponder_uri(data_uri, F.col("mmsi")).alias("carrier"),
         tx.period_uri(F.col("min_ts")).alias("first_period"),
@@ -68,8 +77,8 @@ def track_graphs(tracks: DataFrame, data_uri: str = DATA, *, form: str = "full")
     head = [
         *tr.naming_schemes("graph_node", scheme_name=full),
         tr.typed(whole, "Observation"),
-        *tr.bound(n("start"), whole, var("first_period"), end=False),
-        *tr.bound(n("end"), whole, var("last_period"), end=True),
+        *tr.when("first_period IS NOT NULL", tr.bound(n("start"), whole, var("first_period"), end=False)),
+        *tr.when("last_period IS NOT NULL", tr.bound(n("end"), whole, var("last_period"), end=True)),
         *tr.transponder("carrier", "mmsi"),
     ]
     if full:
@@ -85,7 +94,7 @@ def track_graphs(tracks: DataFrame, data_uri: str = DATA, *, form: str = "full")
         *_location_observation(data_uri, measures=full),
         tr.link(n("location"), "isPartOf", whole),
         *tr.when("new_time", tr.period(var("period"), var("iso"), representation=full)),
-        *tr.when("new_place", tr.point("place", var("lat"), var("lon"))),
+        *tr.when("new_place AND place IS NOT NULL", tr.point("place", var("lat"), var("lon"))),
     ]
     return tr.emit(rows, (F.col("unit") == 0, head), (F.col("unit") > 0, body))
 
@@ -101,7 +110,7 @@ def _location_observation(data_uri: str, measures: bool) -> list[Pattern]:
         tr.typed(seen, "LocationObservation"),
         tr.in_period(seen, var("period")),
         *tr.participates(target, "ObservedTarget", var("carrier"), seen),
-        *tr.participates(n("place"), "ObservedLocation", var("place"), seen),
+        *tr.when("place IS NOT NULL", tr.participates(n("place"), "ObservedLocation", var("place"), seen)),
     ]
     if measures:
         for column, local, unit in (("sog", "SpeedOverGround", "Knots"), ("cog", "CourseOverGround", "DegreesTrueNorth")):
@@ -132,7 +141,7 @@ def ping_graphs(pings: DataFrame, data_uri: str = DATA) -> DataFrame:
             *tr.transponder("carrier", "mmsi"),
             *_location_observation(data_uri, measures=False),
             *tr.period(var("period"), var("iso")),
-            *tr.point("place", var("lat"), var("lon")),
+            *tr.when("place IS NOT NULL", tr.point("place", var("lat"), var("lon"))),
         ],
     )
 
@@ -445,15 +454,17 @@ def vessel_state_graphs(mapped: DataFrame, data_uri: str = DATA, keep: tuple[str
                 *tr.identified(state, var("imo_node"), var("imo"), vin, imo_scheme),
             ],
         ),
-        *tr.identified(state, n("mmsi"), var("mmsi"), vin, MMSI_SCHEME),
+        *tr.when("mmsi IS NOT NULL", tr.identified(state, n("mmsi"), var("mmsi"), vin, MMSI_SCHEME)),
         *tr.when("has_vessel_name", tr.named(state, n("name"), var("vessel_name"), "VehicleName")),
         *tr.when("has_call_sign", tr.identified(state, n("callsign"), var("call_sign"), "Callsign")),
         *tr.period(var("period"), var("iso")),
         tr.in_period(state, var("period")),
-        tr.typed(where, "GeoPoint"),
-        *tr.identified(where, n("lat"), var("lat"), "Latitude"),
-        *tr.identified(where, n("lon"), var("lon"), "Longitude"),
-        tr.link(state, "inLocation", where),
+        *tr.when("lat IS NOT NULL AND lon IS NOT NULL", [
+            tr.typed(where, "GeoPoint"),
+            *tr.identified(where, n("lat"), var("lat"), "Latitude"),
+            *tr.identified(where, n("lon"), var("lon"), "Longitude"),
+            tr.link(state, "inLocation", where),
+        ]),
     ]
     classes = [tr.typed_as(state, var("class"))]
     return tr.emit(rows, (F.col("unit") == 0, message), (F.col("unit") > 0, classes), keep=keep)

@@ -4,13 +4,17 @@
 we want: one shuffle and no more. Keys over the limit are cut into slices that follow the window order,
 so that each task gets at most about `limit` rows:
 
-1. `find_hot` counts rows per key (map-side combined) and keeps the keys over the limit.
+1. `find_hot` counts rows per key (map-side combined) and keeps the keys over the limit. Without keys the whole
+   table counts as one such key, so that a global order never meets in one task.
 2. Only the key and order columns of those keys are range partitioned, and each range reports its
    first row and its row count. That is one small row per range: the split points.
 3. A row's slice is then a function of its own order columns, the same in every later scan, so nothing
    has to be materialised. Row numbers inside a slice plus the rows in earlier slices give the row
    number in the key.
 
+Null order values come first, as in any Spark window: a split point holds two numbers per column, whether there is a
+value and the value. So it makes no difference to the result whether a key is cut or not.
+
 Frames that look back a few rows use buckets of consecutive row numbers, with the last rows of each
 bucket copied into the next one.
 """
@@ -28,6 +32,7 @@ from pyspark.sql import functions as F
 
 DEFAULT_LIMIT = 2_000_000  # rows of one key that a single task may sort
 MAX_SLICES = 20_000  # bound on hot keys and on split points kept on the driver; beyond it slices grow
+LEAST_SLICE = 50_000  # rows under which a slice of a global order is not cut further just to use more cores
 
 
 @dataclass
@@ -63,13 +68,15 @@ def find_hot(df: DataFrame, keys: list[str], limit: int = DEFAULT_LIMIT) -> HotK
     return HotKeys(list(keys), limit, [tuple(row) for row in found.collect()])
 
 
-def as_long(df: DataFrame, name: str) -> Column:
+def as_longs(df: DataFrame, name: str) -> tuple[Column, Column]:
+    """Two numbers that sort like the column with its nulls first: whether there is a value, and the value."""
     kind = df.schema[name].dataType.typeName()
-    if kind == "timestamp":
-        return F.unix_micros(name)
-    if kind == "timestamp_ntz":
-        return F.unix_micros(F.col(name).cast("timestamp"))
-    return F.col(name).cast("bigint")
+    value = F.unix_micros(F.col(name).cast("timestamp")) if kind.startswith("timestamp") else F.col(name).cast("bigint")
+    return F.col(name).isNotNull().cast("bigint"), F.coalesce(value, F.lit(0))
+
+
+def _order_numbers(df: DataFrame, order: list[str]) -> list[Column]:
+    return [number for name in order for number in as_longs(df, name)]
 
 
 def _with_hot_id(df: DataFrame, hot: HotKeys) -> DataFrame:
@@ -86,9 +93,9 @@ def _with_hot_id(df: DataFrame, hot: HotKeys) -> DataFrame:
 def _split_points(df: DataFrame, order: list[str], hot: HotKeys) -> np.ndarray:
     """One line per slice: hot id, first order values, row offset in the key, rows in the key."""
     n = max(1, -(-sum(row[-1] for row in hot.sizes) // hot.rows_per_slice))
-    names = [f"_o{i}" for i in range(len(order))]
+    names = [f"_o{i}" for i in range(2 * len(order))]
     narrow = _with_hot_id(df, hot).where(F.col("_hot").isNotNull())
-    narrow = narrow.select("_hot", *[as_long(df, c).alias(o) for c, o in zip(order, names)])
+    narrow = narrow.select("_hot", *[c.alias(o) for c, o in zip(_order_numbers(df, order), names)])
     ranges = (
         narrow.repartitionByRange(n, "_hot", *names)
         .groupBy(F.spark_partition_id().alias("_part"), "_hot")
@@ -102,7 +109,7 @@ def _split_points(df: DataFrame, order: list[str], hot: HotKeys) -> np.ndarray:
     for row in ranges:
         lines.append([*row[:-1], totals.get(row[0], 0)])
         totals[row[0]] = totals.get(row[0], 0) + row[-1]
-    return np.array([[*line, totals[line[0]]] for line in lines], dtype=np.int64)
+    return np.array([[*line, totals[line[0]]] for line in lines], dtype=np.int64).reshape(len(lines), len(names) + 3)
 
 
 def _last_not_after(points: np.ndarray, wanted: list[np.ndarray]) -> np.ndarray:
@@ -155,8 +162,9 @@ def keyed_index(
 ) -> DataFrame:
     """Number the rows of each key 1, 2, ... in `order`; optionally add the key's row count.
 
-    `order` must be timestamps or integers, without nulls, and unique within a key. Without keys the
-    numbering is global.
+    `order` must be timestamps or integers, with nulls first, and unique within a key (rows that share all
+    values are numbered in any order, and stay in one slice). Without keys the numbering is global. Null
+    keys are a key.
     """
     hot = find_hot(df, keys, limit) if hot is None else hot
     group = [F.col(k) for k in keys] or [F.lit(0)]
@@ -166,8 +174,8 @@ def keyed_index(
         return out.withColumn(total, F.count("*").over(w)) if total else out
 
     points = _split_points(df, order, hot)
-    slice_of = _slice_udf(points, 1 + len(order))
-    cut = _with_hot_id(df, hot).withColumn("_cut", slice_of("_hot", *[as_long(df, c) for c in order]))
+    slice_of = _slice_udf(points, 1 + 2 * len(order))
+    cut = _with_hot_id(df, hot).withColumn("_cut", slice_of("_hot", *_order_numbers(df, order)))
     cut = cut.withColumn("_slice", F.col("_cut.slice"))
     w = Window.partitionBy(*(keys + ["_slice"]))
     out = cut.withColumn(

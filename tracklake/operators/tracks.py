@@ -108,9 +108,10 @@ def sessions(
     """Runs of pings of one vessel with no silence longer than `gap_seconds`.
 
     Only rows that open a session, and the last row of each vessel, leave the first window; ends and
-    counts follow from the next such row.
+    counts follow from the next such row. Pings without a time are in no session.
     """
-    pings = pings.select("mmsi", "ts", "seq")
+    # `seq` only breaks ties here; a number in place of null keeps its order when it is turned round.
+    pings = pings.where("ts IS NOT NULL").select("mmsi", "ts", F.coalesce("seq", F.lit(-(2**62))).alias("seq"))
     hot = find_hot(pings, ["mmsi"], limit) if hot is None else hot
 
     def flag(df: DataFrame, w: Window) -> DataFrame:

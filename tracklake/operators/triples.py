@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,9 +24,9 @@ from ..vocab import ITU, MMSI_SCHEME, RDF_TYPE, XSD, ies
 # How the object is written; expanded to o_kind and o_dtype after the explode.
 _IRI, _STRING, _FLOAT, _PLAIN = 0, 1, 2, 3
 # A pattern inside a plan: subject column number and text, predicate, object column number and text,
-# object code, guard number.
-_PATTERN_FIELDS = ("sc", "st", "p", "oc", "ot", "k", "g")
-_PATTERN_TYPE = "array<struct<sc:int,st:string,p:string,oc:int,ot:string,k:int,g:int>>"
+# object code, guard number, and one bit for each column it reads.
+_PATTERN_FIELDS = ("sc", "st", "p", "oc", "ot", "k", "g", "m")
+_PATTERN_TYPE = "array<struct<sc:int,st:string,p:string,oc:int,ot:string,k:int,g:int,m:bigint>>"
 
 
 @dataclass(frozen=True)
@@ -183,7 +184,8 @@ def emit(
     """Fill in the patterns for each row of `rows`, which has `graph_id` and the columns they name.
     `keep` names further columns of the row to put next to each triple.
 
-    Several shapes come with conditions: a row uses the first whose condition holds.
+    Several shapes come with conditions: a row uses the first whose condition holds. A pattern that reads a
+    column without a value gives no triple.
     """
     chosen = [s if isinstance(s, tuple) else (F.lit(True), s) for s in shapes]
     patterns = [p for _, shape in chosen for p in shape]
@@ -195,7 +197,8 @@ def emit(
     def constant(shape: list[Pattern]) -> Column:
         """The patterns as one literal: the optimizer folds the JSON text into an array."""
         rows = [
-            [column_no[p.s.column], p.s.text, p.p, column_no[p.o.column], p.o.text, p.code, guard_no[p.guard]]
+            [column_no[p.s.column], p.s.text, p.p, column_no[p.o.column], p.o.text, p.code, guard_no[p.guard],
+             sum({1 << column_no[c] for c in (p.s.column, p.o.column) if c})]
             for p in shape
         ]
         return F.from_json(F.lit(json.dumps([dict(zip(_PATTERN_FIELDS, row)) for row in rows])), _PATTERN_TYPE)
@@ -214,15 +217,18 @@ def emit(
                 out = out.when(t[number] == i, F.concat(F.col(c), t[text]))
         return out
 
-    kept = F.lit(True)
+    # Which columns have no value is worked out once per row, as a number with a bit for each.
+    kept = F.col("_missing").bitwiseAND(t.m) == 0
     if guards:
-        kept = F.when(t.g == -1, True)
+        held = F.when(t.g == -1, True)
         for g in guards:
-            kept = kept.when(t.g == guard_no[g], F.col(f"_g{guard_no[g]}"))
+            held = held.when(t.g == guard_no[g], F.col(f"_g{guard_no[g]}"))
+        kept = held & kept
+    missing = reduce(lambda a, b: a + b, (F.when(F.col(c).isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, c in enumerate(columns)), F.lit(0).cast("bigint"))
     needed = dict.fromkeys(["graph_id", *columns, *keep])
     conditions = [F.expr(g).alias(f"_g{i}") for i, g in enumerate(guards)]
     return (
-        rows.select(*needed, *conditions, F.explode(picked).alias("_t"))
+        rows.select(*needed, *conditions, missing.alias("_missing"), F.explode(picked).alias("_t"))
         .where(kept)
         .select(
             "graph_id",

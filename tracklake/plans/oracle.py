@@ -34,16 +34,28 @@ position AS (
   FROM raw
 )"""
 
-_BATCHED = _POSITION + """,
+
+
+def _batches(position: str) -> str:
+    return f""",
 numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY mmsi ORDER BY ts, seq) - 1 AS rn, count(*) OVER (PARTITION BY mmsi) AS n
-  FROM position
+  SELECT *, row_number() OVER (PARTITION BY mmsi ORDER BY ts NULLS FIRST, seq) - 1 AS rn, count(*) OVER (PARTITION BY mmsi) AS n
+  FROM {position}
 ),
 batched AS (SELECT *, rn // 4 AS track_no FROM numbered WHERE rn // 4 < n // 4),
 bounds AS (
   SELECT mmsi, track_no, min(ts) AS min_ts, max(ts) AS max_ts, count(*) AS n_pings FROM batched GROUP BY mmsi, track_no
 )"""
 
+
+_BATCHED = _POSITION + _batches("position")
+
+# Pings of which some have no time.
+_GAPPY = _POSITION + """,
+gappy AS (
+  SELECT * REPLACE (CASE WHEN seq % 11 <> 0 THEN ts END AS ts, CASE WHEN seq % 11 <> 0 THEN micros END AS micros) FROM position
+)"""
+
 _COMPRESSED = _POSITION + """,
 squeezed AS (
   SELECT * REPLACE (1704067200000000 + (micros - 1704067200000000) // 200 AS micros) FROM position
@@ -111,6 +123,14 @@ SELECT mmsi, track_no, min(micros) AS min_micros, max(micros) AS max_micros,
        string_agg(CAST(seq AS VARCHAR), ',' ORDER BY ts, seq) AS seqs
 FROM batched GROUP BY mmsi, track_no""")
 
+_sql("track_batches_sliced", _GAPPY + _batches("gappy"), "SELECT mmsi, track_no, seq FROM batched")
+_sql("pack_messages_sliced", _GAPPY, """
+SELECT rn // 8 AS batch_id, CAST(rn % 8 AS INTEGER) AS place, seq
+FROM (SELECT *, row_number() OVER (ORDER BY ts NULLS FIRST, seq) - 1 AS rn FROM gappy)""")
+_sql("last_seen_sliced", _GAPPY, """
+SELECT mmsi, seq, lag(micros) OVER w AS prev_micros, lag(lat) OVER w AS prev_lat, lag(lon) OVER w AS prev_lon
+FROM gappy WINDOW w AS (PARTITION BY mmsi ORDER BY ts NULLS FIRST, seq)""")
+
 # --- triples ------------------------------------------------------------------------------------
 
 
@@ -209,12 +229,12 @@ def _ident(item: str, node: str, text: str, cls: str, scheme: str | None = None,
     return out + ([_rel(node, "inScheme", scheme, only)] if scheme else [])
 
 
-def _measure(role: str, cls: str, number: str, unit: str) -> list[str]:
+def _measure(role: str, cls: str, number: str, unit: str, only: str | None = None) -> list[str]:
     node, val = f"node || '-{role}'", f"node || '-{role}Value'"
     return [
-        _a(node, "Measure"), _rel(node, "measureClass", _q(DATA + cls)), _a(val, "MeasureValue"),
-        _lit(val, "representationValue", f"CAST({number} AS VARCHAR)"), _rel(node, "hasValue", val),
-        _rel(val, "measureUnit", _q(DATA + unit)), _rel("node || '-target'", "observedCharacteristic", node),
+        _a(node, "Measure", only), _rel(node, "measureClass", _q(DATA + cls), only), _a(val, "MeasureValue", only),
+        _lit(val, "representationValue", f"CAST({number} AS VARCHAR)", only=only), _rel(node, "hasValue", val, only),
+        _rel(val, "measureUnit", _q(DATA + unit), only), _rel("node || '-target'", "observedCharacteristic", node, only),
     ]
 
 
@@ -242,9 +262,11 @@ def _geohash(lat: str, lon: str) -> str:
     )
 
 
-def _track_sql(full: bool) -> tuple[str, str]:
+def _track_sql(full: bool, batched: str = _BATCHED, sparse: bool = False) -> tuple[str, str]:
+    """`sparse`: times, positions and measures can be missing; what would say something of them is left out."""
+    have = (lambda c: f"{c} IS NOT NULL") if sparse else (lambda c: None)
     place = _PLACE if full else f"'{DATA}geohash_' || geohash"
-    tables = _BATCHED + f""",
+    tables = batched + f""",
 heads AS (
   SELECT *, 'track' || mmsi || '-' || track_no AS graph_id, '{DATA}' || md5('track' || mmsi || '-' || track_no) AS node,
          '{DATA}MMSI_' || mmsi AS carrier, {_iso('min_ts')} AS lo, {_iso('max_ts')} AS hi
@@ -261,10 +283,10 @@ seen AS (
     head = [
         *_scheme("node", full),
         _a(whole, "Observation"),
-        *_bound("node || '-start'", whole, "lo", "isStartOf"),
-        *_bound("node || '-end'", whole, "hi", "isEndOf"),
+        *_bound("node || '-start'", whole, "lo", "isStartOf", have("lo")),
+        *_bound("node || '-end'", whole, "hi", "isEndOf", have("hi")),
         *_carrier("carrier", "mmsi"),
-        *_period("lo", text=full), *_period("hi", text=full),
+        *_period("lo", have("lo"), text=full), *_period("hi", have("hi"), text=full),
     ]
     if full:
         head += _part("node || '-target'", "ObservedTarget", "carrier", whole)
@@ -277,18 +299,34 @@ seen AS (
             head += [_a(_q(DATA + local), cls), *_name(_q(DATA + local), f"node || '-{role}'", _q(name))]
     loc = "node || '-location'"
     body = [
-        _a(loc, "LocationObservation"), _rel(loc, "isPartOf", "whole"), _in(loc, "iso"), *_period("iso", text=full),
+        _a(loc, "LocationObservation"), _rel(loc, "isPartOf", "whole"), _in(loc, "iso", have("iso")), *_period("iso", have("iso"), text=full),
         *_part("node || '-target'", "ObservedTarget", "carrier", loc),
-        *_part("node || '-place'", "ObservedLocation", place, loc),
-        *_point(place),
+        *_part("node || '-place'", "ObservedLocation", place, loc, have("lat + lon")),
+        *(f"CASE WHEN {have('lat + lon')} THEN {t} END" if sparse else t for t in _point(place)),
     ]
     if full:
-        body += _measure("sog", "SpeedOverGround", "sog", "Knots") + _measure("cog", "CourseOverGround", "cog", "DegreesTrueNorth")
+        body += _measure("sog", "SpeedOverGround", "sog", "Knots", have("sog")) + _measure("cog", "CourseOverGround", "cog", "DegreesTrueNorth", have("cog"))
     return tables, f"SELECT DISTINCT * FROM (\n{_spread('heads', head)}\nUNION ALL\n{_spread('seen', body)}\n)"
 
 
 _sql("track_triples", *_track_sql(True))
 _sql("basic_track_triples", *_track_sql(False))
+_sql("sparse_track_triples", *_track_sql(True, _GAPPY + """,
+sparse AS (
+  SELECT * REPLACE (CASE WHEN seq % 13 <> 0 THEN lat END AS lat, CASE WHEN seq % 7 <> 0 THEN sog END AS sog,
+                    CASE WHEN seq % 7 > 1 THEN cog END AS cog)
+  FROM gappy
+)""" + _batches("sparse"), sparse=True))
+# A row's number tells its message (of eight) and its place there.
+_sql("message_track_triples", *_track_sql(True, _POSITION + """,
+twice AS (
+  SELECT * REPLACE (seq * 2 AS seq) FROM position
+  UNION ALL SELECT * REPLACE (seq * 2 + 1 AS seq) FROM position WHERE seq % 10 = 0
+),
+sent AS (SELECT *, row_number() OVER (ORDER BY ts, seq) - 1 AS nth FROM twice),
+received AS (
+  SELECT * EXCLUDE (nth) REPLACE ((nth // 8) * 4194304 + nth % 8 AS seq, CASE WHEN seq % 7 <> 0 THEN sog END AS sog) FROM sent
+)""" + _batches("received"), sparse=True))
 
 _PINGS_ONE = _POSITION + f""",
 seen AS (
@@ -604,6 +642,20 @@ rated AS (
 newest AS (
   SELECT class, arg_max(rate, (micros, msg_id)) AS rate, CAST(sum(n) AS BIGINT) AS total FROM rated GROUP BY class
 )"""
+_sql("mapped_dead_letters", _WATCHED + """,
+told AS (
+  SELECT *, (row_number() OVER (ORDER BY ts, seq) - 1) // 8 AS batch FROM position
+),
+judged AS (
+  SELECT *, CASE WHEN seq % 23 = 0 THEN 'no vessel id' WHEN seq % 19 = 0 THEN 'bad timestamp' WHEN seq % 17 = 0 THEN 'bad position' END AS error
+  FROM told WHERE batch % 29 <> 0 AND batch % 31 <> 1
+)""", """
+SELECT 'body cannot be decoded' AS kind, count(DISTINCT batch) AS n FROM told WHERE batch % 29 = 0 HAVING count(*) > 0
+UNION ALL SELECT 'not a JSON array', count(DISTINCT batch) FROM told WHERE batch % 31 = 1 AND batch % 29 <> 0 HAVING count(*) > 0
+UNION ALL SELECT error, count(*) FROM judged WHERE error IS NOT NULL GROUP BY error
+UNION ALL SELECT 'graphs sent', count(*) FROM judged WHERE error IS NULL
+UNION ALL SELECT 'triples sent', CAST(sum(trip_count) AS BIGINT) FROM judged JOIN per_message ON msg_id = seq WHERE error IS NULL
+UNION ALL SELECT 'lines refused', 0""")
 _sql("message_counts", _WATCHED, "SELECT msg_id, trip_count, obj_count FROM per_message")
 _sql("monitored_messages", _WATCHED, """
 SELECT 'pings:0:' || (rn // 8) || ':' || (rn % 8) AS msg_id, trip_count, obj_count
@@ -626,6 +678,11 @@ _sql("rolling_rate", _WATCHED, f"""
 SELECT msg_id, trip_count, obj_count, {_rate('sum(trip_count)')} AS trip_rate, {_rate('sum(obj_count)')} AS obj_rate,
        {_rate('count(*)')} AS msg_rate
 FROM per_message WINDOW w AS (ORDER BY micros, msg_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""")
+_sql("rolling_rate_sliced", _WATCHED + """,
+late AS (SELECT * REPLACE (CASE WHEN msg_id % 11 <> 0 THEN micros END AS micros) FROM per_message)""", f"""
+SELECT msg_id, trip_count, obj_count, {_rate('sum(trip_count)')} AS trip_rate, {_rate('sum(obj_count)')} AS obj_rate,
+       {_rate('count(*)')} AS msg_rate
+FROM late WINDOW w AS (ORDER BY micros NULLS FIRST, msg_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""")
 _sql("class_rolling_rate", _WATCHED, "SELECT msg_id, class, n, round(rate, 6) AS rate FROM rated")
 _SHORT = f"CASE WHEN class LIKE '{IES}%' THEN 'ies:' || substr(class, {len(IES) + 1}) ELSE class END"
 _sql("class_labels", _WATCHED, f"SELECT class, {_SHORT} || ' (' || total || ')' AS label FROM newest ORDER BY class DESC")
@@ -646,6 +703,7 @@ flagged AS (
 grouped AS (SELECT *, sum(opens) OVER (PARTITION BY mmsi ORDER BY micros, seq) AS no FROM flagged)""", """
 SELECT mmsi, CAST(no AS BIGINT) AS session_no, min(micros) AS start_micros, max(micros) AS end_micros, count(*) AS n_pings
 FROM grouped GROUP BY mmsi, no""")
+ORACLE["sessions_sliced"] = ORACLE["sessions"].replace("FROM squeezed WINDOW", "FROM squeezed WHERE seq % 11 <> 0 WINDOW")
 
 
 def _utm_tables() -> str:

@@ -17,7 +17,8 @@ from ..operators import triples as tr
 from ..session import fresh_path, spread, stage
 from ..sources import driver, messages, triples
 from ..sources.pings import detections, split_bad_pings
-from ..streaming.mapper import map_messages
+from ..schema import MESSAGE
+from ..streaming.mapper import folder_sink, map_messages, run_mapper
 from ..streaming.monitor import message_triples
 from ..streaming.tracks import stream_tracks
 from ..vocab import ies
@@ -128,6 +129,41 @@ def track_last_point(spark, sf_dir):
     )
 
 
+# --- the same operators with keys cut into slices, and with pings that have no time -----------------
+
+
+def _gappy(spark, sf_dir) -> DataFrame:
+    p = driver.pings(spark, sf_dir)
+    return p.withColumn("ts", F.when(F.col("seq") % 11 != 0, F.col("ts")))
+
+
+@query
+def track_batches_sliced(spark, sf_dir):
+    p = _gappy(spark, sf_dir).select("mmsi", "ts", "seq")
+    return tracks.number_batches(p, limit=40).select("mmsi", "track_no", "seq")
+
+
+@query
+def pack_messages_sliced(spark, sf_dir):
+    p = _gappy(spark, sf_dir).select("ts", "seq")
+    return packing.number_messages(p, limit=700).select("batch_id", "place", "seq")
+
+
+@query
+def last_seen_sliced(spark, sf_dir):
+    p = _gappy(spark, sf_dir).select("mmsi", "ts", "seq", "lat", "lon")
+    return tracks.last_seen(p, limit=40).select("mmsi", "seq", _micros("prev_ts").alias("prev_micros"), "prev_lat", "prev_lon")
+
+
+@query
+def sessions_sliced(spark, sf_dir):
+    p = driver.pings(spark, sf_dir, compressed=True)
+    s = tracks.sessions(p.withColumn("ts", F.when(F.col("seq") % 11 != 0, F.col("ts"))), limit=40)
+    return s.select(
+        "mmsi", "session_no", _micros("start_ts").alias("start_micros"), _micros("end_ts").alias("end_micros"), "n_pings"
+    )
+
+
 # --- triples ------------------------------------------------------------------------------------
 
 
@@ -141,6 +177,24 @@ def basic_track_triples(spark, sf_dir):
     return emitters.track_graphs(tracks.build_tracks(driver.pings(spark, sf_dir)), form="basic")
 
 
+@query
+def sparse_track_triples(spark, sf_dir):
+    """Tracks of pings of which some have no time, no position, or no speed and course."""
+    p, seq = _gappy(spark, sf_dir), F.col("seq")
+    blank = {"lat": seq % 13 != 0, "sog": seq % 7 != 0, "cog": seq % 7 > 1}
+    return emitters.track_graphs(tracks.build_tracks(p.withColumns({c: F.when(on, F.col(c)) for c, on in blank.items()})))
+
+
+@query
+def message_track_triples(spark, sf_dir):
+    """Tracks of pings that arrive in messages, every tenth of them twice. Each arrival is an observation of its own."""
+    p = driver.pings(spark, sf_dir)
+    twice = p.withColumn("seq", F.explode(F.when(F.col("seq") % 10 == 0, F.array(F.col("seq") * 2, F.col("seq") * 2 + 1)).otherwise(F.array(F.col("seq") * 2))))
+    texts = packing.pack_json(packing.number_messages(twice.withColumn("sog", F.when(F.col("seq") % 7 != 0, F.col("sog")))))
+    got, _ = messages.read_rows(packing.as_messages(texts, topic="pings", key="batch_id"), codec="zlib", shape="batch")
+    return emitters.track_graphs(tracks.build_tracks(got))
+
+
 @query
 def ping_triples(spark, sf_dir):
     return emitters.ping_graphs(spread(driver.pings(spark, sf_dir)))
@@ -340,7 +394,7 @@ def message_roundtrip(spark, sf_dir):
     sent = packing.as_messages(_packed(spark, sf_dir), topic="pings", key="batch_id")
     got, _ = messages.read_rows(sent, codec="zlib", shape="batch")
     return got.select(
-        "graph_id", F.col("seq").alias("place"), "mmsi", _micros("ts").alias("micros"), "lat", "lon", "sog", "cog",
+        "graph_id", F.col("place").cast("bigint").alias("place"), "mmsi", _micros("ts").alias("micros"), "lat", "lon", "sog", "cog",
         "vessel_name", "imo", "call_sign", "vessel_type",
     )
 
@@ -406,6 +460,39 @@ def dead_letters(spark, sf_dir):
     return reasons.groupBy("error").agg(F.count("*").alias("n"))
 
 
+def _damaged_messages(spark, sf_dir) -> DataFrame:
+    """Messages of eight rows; some bodies are cut, some are no JSON, and some rows lack a vessel, a time or a position."""
+    rows, seq = packing.number_messages(driver.pings(spark, sf_dir)), F.col("seq")
+    rows = rows.withColumns({
+        "mmsi": F.when(seq % 23 != 0, F.col("mmsi")).otherwise(""),
+        "ts": F.when(seq % 19 != 0, F.col("ts")),
+        "lat": F.when(seq % 17 == 0, "north").otherwise(F.col("lat").cast("string")),
+    })
+    texts = packing.pack_json(rows).withColumn(
+        "text", F.when(F.col("batch_id") % 31 == 1, F.concat(F.lit("{"), "text")).otherwise(F.col("text")))
+    sent = packing.as_messages(texts, topic="pings", key="batch_id")
+    cut = F.substring("value", 1, F.octet_length("value") - 5)
+    return sent.withColumn("value", F.when(F.col("offset") % 29 == 0, cut).otherwise(F.col("value")))
+
+
+@query
+def mapped_dead_letters(spark, sf_dir):
+    """The running mapper over damaged messages: what it sent, read back, and its dead letters by reason."""
+    path = fresh_path(spark, "mapper")
+    _damaged_messages(spark, sf_dir).write.parquet(f"{path}/in")
+    source = spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", 64).parquet(f"{path}/in")
+    running = run_mapper(source, f"{path}/state", folder_sink(f"{path}/out"), folder_sink(f"{path}/dead"))
+    running.awaitTermination()
+    sent = spark.read.parquet(f"{path}/out").withColumn("graph_id", F.decode("key", "UTF-8"))
+    seen, bad = message_triples(sent)
+    one = lambda df, kind: df.agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "n")
+    reasons = spark.read.parquet(f"{path}/dead").groupBy(F.col("error").alias("kind")).agg(F.count("*").alias("n"))
+    return (
+        reasons.unionByName(one(sent.select("graph_id").distinct(), "graphs sent"))
+        .unionByName(one(seen, "triples sent")).unionByName(one(bad, "lines refused"))
+    )
+
+
 # --- monitor ------------------------------------------------------------------------------------
 
 
@@ -455,6 +542,13 @@ def rolling_rate(spark, sf_dir):
     return _rounded(monitor.rolling_rates(counts), "trip_rate", "obj_rate", "msg_rate").drop("ts")
 
 
+@query
+def rolling_rate_sliced(spark, sf_dir):
+    counts = monitor.stage_counts(monitor.message_counts(_watched(spark, sf_dir)))
+    gappy = counts.withColumn("ts", F.when(F.col("msg_id") % 11 != 0, F.col("ts")))
+    return _rounded(monitor.rolling_rates(gappy, limit=700), "trip_rate", "obj_rate", "msg_rate").drop("ts")
+
+
 def _class_rates(spark, sf_dir) -> DataFrame:
     return monitor.class_rates(monitor.stage_counts(monitor.class_counts(_watched(spark, sf_dir))))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -40,10 +41,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder. Only a session that names none gets a local one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's checkpoint folder. A session that names none gets a temporary one if it runs in one process;
+    executors on other machines would each write to a disk of their own, so there it is an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = spark.sparkContext.getCheckpointDir() or os.path.join(tempfile.gettempdir(), "tracklake-checkpoints")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = os.path.join(tempfile.gettempdir(), "tracklake-checkpoints")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder

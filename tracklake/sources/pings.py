@@ -123,14 +123,15 @@ def detections_as_pings(found: DataFrame, vessel_key: str = "MMSI") -> DataFrame
     return canonical(found, picks, F.xxhash64("ts", "lat", "lon", F.col("metadata")[vessel_key]))
 
 
-def split_bad_pings(pings: DataFrame, raw: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Usable pings, and the rest with a reason (for the error sink)."""
+def split_bad_pings(pings: DataFrame, raw: str | None = None, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Usable pings, and the rest with a reason (for the error sink) after the `keep` columns."""
+    off = ~F.col("lat").between(-90.0, 90.0) | ~F.col("lon").between(-180.0, 180.0)
     reason = (
         F.when(F.coalesce(F.col("mmsi"), F.lit("")) == "", "no vessel id")
         .when(F.col("ts").isNull(), "bad timestamp")
-        .when(F.col("lat").isNull() | F.col("lon").isNull(), "bad position")
+        .when(F.col("lat").isNull() | F.col("lon").isNull() | off, "bad position")
     )
     marked = pings.withColumn("error", reason)
     text = F.col(raw) if raw else F.to_json(F.struct(*[c for c in pings.columns]))
     good = marked.where(F.col("error").isNull()).drop("error")
-    return good, marked.where(F.col("error").isNotNull()).select("error", text.alias("raw"))
+    return good, marked.where(F.col("error").isNotNull()).select(*keep, "error", text.alias("raw"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,7 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.emitters import vessel_state_graphs
 from ..operators.mapping import ClassPolicy, UriPolicy, map_pings, vessel_class_map
 from ..operators.packing import as_messages, ntriples_messages
-from ..sources.messages import read_rows
+from ..sources.messages import parsed_rows, split_rows
+from ..sources.pings import split_bad_pings
 from ..vocab import DATA
 
 
@@ -21,33 +23,69 @@ def map_messages(
 ) -> tuple[DataFrame, DataFrame]:
     """(triples, dead letters) of ping messages. Stateless, so it runs on streams and tables alike.
 
-    Each row is a graph of its own: message id and place in the message.
+    Each row is a graph of its own: message id and place in the message. Bodies that cannot be decoded or parsed are
+    dead letters (graph_id, error, raw: the bytes), and so is every row without a vessel, a time or a position, with the row's
+    text and its message; the other rows of its message are mapped.
     """
-    pings, dead = read_rows(messages, codec=codec, shape=shape, layout=layout)
-    graph = F.concat_ws(":", F.col("graph_id"), F.col("seq").cast("string"))
-    mapped = map_pings(pings, vessel_class_map(messages.sparkSession), uri, classes, graph_id=graph)
-    return vessel_state_graphs(mapped, data_uri), dead
+    return _map_parsed(parsed_rows(messages, codec, shape), shape, layout, uri, classes, data_uri)
+
+
+def _map_parsed(parsed: DataFrame, shape: str, layout: str, uri, classes, data_uri: str) -> tuple[DataFrame, DataFrame]:
+    rows, dead = split_rows(parsed, shape, layout, raw="_raw")
+    pings, bad = split_bad_pings(rows, raw="_raw", keep=("graph_id",))
+    graph = F.concat_ws(":", F.col("graph_id"), F.col("place").cast("string"))
+    mapped = map_pings(pings.drop("_raw"), vessel_class_map(parsed.sparkSession), uri, classes, graph_id=graph)
+    return vessel_state_graphs(mapped, data_uri), dead.unionByName(bad.withColumn("raw", F.encode("raw", "UTF-8")))
+
+
+Sink = Callable[[DataFrame], None]
+
+
+def folder_sink(path: str) -> Sink:
+    """Writes each batch to a partition of its own. A batch that is run again replaces its partition, so that the table
+    holds every row once."""
+
+    def write(rows: DataFrame) -> None:
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+
+    return write
 
 
 def run_mapper(
     messages: DataFrame,
     checkpoint: str,
-    send: Callable[[DataFrame], None],
-    send_dead: Callable[[DataFrame], None] | None = None,
+    send: Sink,
+    send_dead: Sink | None = None,
     *,
     topic: str = "triples",
     out_codec: str = "zlib",
     trigger: dict | None = None,
-    **options,
+    codec: str = "zlib",
+    shape: str = "batch",
+    layout: str = "ais",
+    uri: UriPolicy | None = None,
+    classes: ClassPolicy | None = None,
+    data_uri: str = DATA,
 ) -> StreamingQuery:
-    """Consume, map and produce. `send` writes a frame with Kafka columns, e.g. `write_topic`."""
+    """Consume, map and produce. `send` writes a frame with Kafka columns, e.g. `write_topic`, and `send_dead` the dead letters
+    (graph_id, error, raw). Both frames also carry the `batch_id`.
+
+    Spark runs a batch again after a failure between sink and checkpoint. Names of graphs and nodes are then the same, and
+    a sink that keeps one place per batch id, such as `folder_sink`, adds nothing. A message topic cannot take a
+    batch back; its reader drops repeats by the message key, which is the graph. A batch is decoded and parsed once
+    for both sinks.
+    """
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        triples, dead = map_messages(batch, **options)
-        texts = ntriples_messages(triples)
-        send(as_messages(texts, topic=topic, key="graph_id", codec=out_codec))
-        if send_dead is not None:
-            send_dead(dead)
+        parsed = parsed_rows(batch, codec, shape).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            triples, dead = _map_parsed(parsed, shape, layout, uri, classes, data_uri)
+            sent = as_messages(ntriples_messages(triples), topic=topic, key="graph_id", codec=out_codec)
+            send(sent.withColumn("batch_id", F.lit(batch_id)))
+            if send_dead is not None:
+                send_dead(dead.withColumn("batch_id", F.lit(batch_id)))
+        finally:
+            parsed.unpersist()
 
     return (
         messages.writeStream.foreachBatch(one_batch)
