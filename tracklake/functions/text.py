@@ -97,8 +97,10 @@ def node_text(s: Column) -> Column:
 
 
 def ntriples_line(s="s", p="p", o="o", kind="o_kind", dtype="o_dtype") -> Column:
-    return F.concat_ws(
-        " ", node_text(F.col(s)), node_text(F.col(p)), term(F.col(o), F.col(kind), F.col(dtype)), F.lit(".")
+    """One line; null if a term is missing."""
+    blank_ = F.lit(" ")
+    return F.concat(
+        node_text(F.col(s)), blank_, node_text(F.col(p)), blank_, term(F.col(o), F.col(kind), F.col(dtype)), F.lit(" .")
     )
 
 

@@ -623,6 +623,11 @@ _sql("dead_letters", _POSITION, """
 SELECT CASE WHEN seq % 13 = 0 THEN 'not a JSON array' ELSE 'bad position' END AS error, count(*) AS n
 FROM position WHERE seq % 13 = 0 OR seq % 17 = 0 GROUP BY 1""")
 
+_sql("escaped_roundtrip", "", f"""
+SELECT doc_id, 'http://example.org/doc#' || doc_id AS s, 'http://example.org/text' AS p, sha256(text) AS text_sha256, 'literal' AS o_kind,
+       CASE doc_id % 3 WHEN 0 THEN '@' || lang WHEN 1 THEN '{XSD}string' END AS o_dtype
+FROM documents WHERE text IS NOT NULL""")
+
 # --- monitor ------------------------------------------------------------------------------------
 
 _WATCHED = _STATE.replace("AS graph_id,", "AS graph_id, seq AS msg_id,", 1) + f""",
@@ -664,6 +669,21 @@ _sql("class_counts", _WATCHED, "SELECT msg_id, class, n FROM per_class")
 _sql("message_totals", _WATCHED, """
 SELECT count(*) AS messages, CAST(sum(trip_count) AS BIGINT) AS triples, CAST(sum(obj_count) AS BIGINT) AS objects
 FROM per_message""")
+_sql("streamed_counts", _WATCHED, "SELECT msg_id, trip_count, obj_count, 0 AS bad_lines FROM per_message")
+_sql("streamed_rates", _WATCHED + """,
+told AS (
+  SELECT 'messages' AS name, msg_id, micros, trip_count AS first, obj_count AS second FROM per_message
+  UNION ALL SELECT class, msg_id, micros, n, 0 FROM per_class
+),
+last_few AS (SELECT * FROM told QUALIFY row_number() OVER (PARTITION BY name ORDER BY micros DESC, msg_id DESC) <= 5),
+rates AS (
+  SELECT name, CASE WHEN max(micros) > min(micros) THEN CAST(max(micros) - min(micros) AS DOUBLE) / 1000000 END AS span,
+         count(*) AS m, sum(first) AS a, sum(second) AS b FROM last_few GROUP BY name
+)""", """
+SELECT name, count(*) AS messages, CAST(sum(first) AS BIGINT) AS first, CAST(sum(second) AS BIGINT) AS second,
+       round(any_value(m) / any_value(span), 6) AS msg_rate, round(any_value(a) / any_value(span), 6) AS first_rate,
+       round(any_value(b) / any_value(span), 6) AS second_rate
+FROM told JOIN rates USING (name) GROUP BY name""")
 _sql("class_totals", _WATCHED, "SELECT class, total FROM newest")
 
 

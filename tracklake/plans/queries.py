@@ -19,7 +19,7 @@ from ..sources import driver, messages, triples
 from ..sources.pings import detections, split_bad_pings
 from ..schema import MESSAGE
 from ..streaming.mapper import folder_sink, map_messages, run_mapper
-from ..streaming.monitor import message_triples
+from ..streaming.monitor import count_messages, message_triples, monitor_view, stream_monitor
 from ..streaming.tracks import stream_tracks
 from ..vocab import ies
 
@@ -493,6 +493,21 @@ def mapped_dead_letters(spark, sf_dir):
     )
 
 
+@query
+def escaped_roundtrip(spark, sf_dir):
+    """Whole texts as literals, with language, with datatype and plain, to N-Triples and back; every third without blanks."""
+    d, i = driver.table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), F.col("doc_id")
+    t = d.select(
+        i.cast("string").alias("graph_id"), F.concat(F.lit("http://example.org/doc#"), i.cast("string")).alias("s"),
+        F.lit("http://example.org/text").alias("p"), F.col("text").alias("o"), F.lit("literal").alias("o_kind"),
+        F.when(i % 3 == 0, F.concat(F.lit("@"), "lang")).when(i % 3 == 1, F.lit("http://www.w3.org/2001/XMLSchema#string")).alias("o_dtype"),
+    )
+    line = tx.ntriples_line()
+    tight = F.concat(F.regexp_replace(line, r"^(<[^>]*>) (<[^>]*>) ", "$1$2").substr(F.lit(1), F.length(line) - 4), F.lit("."))
+    got, _ = triples.parse_lines(t.select("graph_id", F.when(F.col("graph_id").cast("bigint") % 3 == 2, tight).otherwise(line).alias("line")))
+    return got.select(F.col("graph_id").cast("bigint").alias("doc_id"), "s", "p", F.sha2("o", 256).alias("text_sha256"), "o_kind", "o_dtype")
+
+
 # --- monitor ------------------------------------------------------------------------------------
 
 
@@ -659,6 +674,45 @@ def filtered_track_triples(spark, sf_dir):
 # --- streaming ----------------------------------------------------------------------------------
 
 
+def _drained(df: DataFrame, path: str, mode: str = "append") -> None:
+    """Run a stream until its input is read; rows go to files below `path`, also those of update mode."""
+    write = lambda rows, batch_id: rows.write.mode("overwrite").parquet(f"{path}/out/{batch_id}")
+    running = df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
+    running.awaitTermination()
+
+
+def _drained_rows(spark, path: str) -> DataFrame:
+    return spark.read.option("recursiveFileLookup", True).parquet(f"{path}/out")
+
+
+def _watched_messages(spark, sf_dir, path: str) -> DataFrame:
+    """The messages of `_watched` as a stream from files."""
+    lines = _watched(spark, sf_dir).select("msg_id", "ts", tx.ntriples_line().alias("line"))
+    texts = lines.groupBy("msg_id").agg(F.min("ts").alias("ts"), F.array_join(F.collect_list("line"), "\n").alias("text"))
+    sent = packing.as_messages(texts, topic="triples", key="msg_id", timestamp=F.col("ts"))
+    sent.repartition(16).write.parquet(f"{path}/in")
+    source = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 6).parquet(f"{path}/in")
+    return source.withColumn("graph_id", F.decode("key", "UTF-8"))
+
+
+@query
+def streamed_counts(spark, sf_dir):
+    """Counts of every message of a stream, taken in the message's row."""
+    path = fresh_path(spark, "counts")
+    counts = count_messages(_watched_messages(spark, sf_dir, path))
+    _drained(counts, path)
+    return _drained_rows(spark, path).select(F.col("msg_id").cast("bigint").alias("msg_id"), "trip_count", "obj_count", "bad_lines")
+
+
+@query
+def streamed_rates(spark, sf_dir):
+    """Totals and newest rates of the monitor, for all messages and per class, after messages in any order."""
+    path = fresh_path(spark, "rates")
+    counts = count_messages(_watched_messages(spark, sf_dir, path))
+    _drained(stream_monitor(counts.withColumn("msg_id", F.lpad("msg_id", 12, "0"))), path, "update")
+    return _rounded(monitor_view(_drained_rows(spark, path)), "msg_rate", "first_rate", "second_rate")
+
+
 @query
 def open_tracks(spark, sf_dir):
     """The incremental track builder, run until all available input is read."""

@@ -8,49 +8,52 @@ from pyspark.sql import functions as F
 from ..functions.codec import decode_body
 from ..functions.text import unescape_literal
 
-# The object with the closing dot: an IRI, a blank node, or a literal with datatype or language.
-_OBJECT = r"^(<[^>]*>|_:\S+|\"(?:[^\"\\]|\\.)*\"(?:\^\^<[^>]*>|@[A-Za-z0-9-]+)?)\s*\.\s*(?:#.*)?$"
+# One line of N-Triples: subject, predicate, and an object that is a node or a literal with datatype or language.
+# Tokens may touch. Repetition in literals is possessive, so that long ones need no stack.
+_NODE = r"<[^<>\x00-\x1F]*>|_:[\w\u00B7-\uFFFD][\w\u00B7-\uFFFD.-]*"
+_ESCAPE = r"\\(?:[tbnrf\"'\\]|u[0-9A-Fa-f]{4}|U[0-9A-Fa-f]{8})"
+_BODY = rf'[^"\\\n\r]*+(?:{_ESCAPE}[^"\\\n\r]*+)*+'
+LINE = (
+    rf'(?s)^({_NODE})[ \t]*(<[^<>\x00-\x1F]*>)[ \t]*'
+    rf'(?:({_NODE})|"({_BODY})"(?:\^\^<([^<>\x00-\x1F]*)>|(@[A-Za-z]+(?:-[A-Za-z0-9]+)*))?)[ \t]*\.[ \t]*(?:#.*)?\z'
+)
+_MARK = "\x02"  # stands in no token but the literal, which comes last
+
+
+def trimmed(line: Column) -> Column:
+    return F.trim(line, F.lit(" \t\r"))
+
+
+def says_something(line: Column) -> Column:
+    """Whether a trimmed line is neither blank nor a comment."""
+    return (line != "") & ~line.startswith("#")
 
 
 def _bare(node: Column) -> Column:
-    return F.when(node.startswith("<"), node.substr(F.lit(2), F.length(node) - 2)).otherwise(node)
+    return F.when(node.startswith("<"), unescape_literal(node.substr(F.lit(2), F.length(node) - 2))).otherwise(node)
 
 
 def parse_lines(
     lines: DataFrame, line: str = "line", keep: tuple[str, ...] = ("graph_id",)
 ) -> tuple[DataFrame, DataFrame]:
     """(triples, lines that are not N-Triples), each after the `keep` columns. Blank and comment lines are
-    neither."""
-    content = F.coalesce(F.trim(F.col(line)), F.lit("(damaged body)"))
-    parts = F.split(content, r"\s+", 3)
-    cut = (
-        lines.where((content != "") & ~content.startswith("#"))
-        .select(*keep, line, parts.alias("_parts"))
-        .select(
-            *keep, line,
-            F.get("_parts", F.lit(0)).alias("_s"),
-            F.get("_parts", F.lit(1)).alias("_p"),
-            F.coalesce(F.regexp_extract(F.get("_parts", F.lit(2)), _OBJECT, 1), F.lit("")).alias("_o"),
-        )
-    )
-    is_iri = lambda c: F.col(c).startswith("<") & F.col(c).endswith(">")
-    valid = (F.col("_o") != "") & (is_iri("_s") | F.col("_s").startswith("_:")) & is_iri("_p")
-    obj = F.col("_o")
-    kind = F.when(obj.startswith("<"), "iri").when(obj.startswith("_:"), "bnode").otherwise("literal")
-    # Neither a datatype nor a language holds a quote, so the literal's text ends at the last one.
-    suffix = F.substring_index(obj, '"', -1)
-    body = obj.substr(F.lit(2), F.length(obj) - F.length(suffix) - 2)
-    dtype = F.when(suffix.startswith("^^<"), suffix.substr(F.lit(4), F.length(suffix) - 4)).when(suffix != "", suffix)
-    valid = F.coalesce(valid & ((kind != "literal") | unescape_literal(body).isNotNull()), F.lit(False))
-    good = cut.where(valid).select(
-        *keep,
-        _bare(F.col("_s")).alias("s"),
-        _bare(F.col("_p")).alias("p"),
-        F.when(kind == "literal", unescape_literal(body)).otherwise(_bare(obj)).alias("o"),
-        kind.alias("o_kind"),
-        F.when(kind == "literal", dtype).alias("o_dtype"),
+    neither. One pass of one pattern takes a line apart."""
+    content = F.coalesce(trimmed(F.col(line)), F.lit("(damaged body)"))
+    parts = F.split(F.regexp_replace(content, LINE, f"{_MARK}$1{_MARK}$2{_MARK}$5{_MARK}$6{_MARK}$3{_MARK}$4"), _MARK, 7)
+    cut = lines.where(says_something(content)).select(*keep, line, (~content.startswith(_MARK)).alias("_plain"), parts.alias("_parts"))
+    part = lambda i: F.get("_parts", F.lit(i))
+    is_node = part(5) != ""
+    taken = cut.select(
+        *keep, line,
+        (F.col("_plain") & (F.size("_parts") == 7)).alias("_ok"),
+        _bare(part(1)).alias("s"), _bare(part(2)).alias("p"),
+        F.when(is_node, _bare(part(5))).otherwise(unescape_literal(part(6))).alias("o"),
+        F.when(~is_node, "literal").when(part(5).startswith("<"), "iri").otherwise("bnode").alias("o_kind"),
+        F.when(is_node, None).when(part(3) != "", unescape_literal(part(3))).when(part(4) != "", part(4)).alias("o_dtype"),
     )
-    bad = cut.where(~valid).select(*keep, F.lit("not an N-Triples line").alias("error"), F.col(line).alias("raw"))
+    valid = F.coalesce(F.col("_ok") & F.col("s").isNotNull() & F.col("p").isNotNull() & F.col("o").isNotNull(), F.lit(False))
+    good = taken.where(valid).select(*keep, "s", "p", "o", "o_kind", "o_dtype")
+    bad = taken.where(~valid).select(*keep, F.lit("not an N-Triples line").alias("error"), F.col(line).alias("raw"))
     return good, bad
 
 

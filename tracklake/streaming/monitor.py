@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,8 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.monitor import SAMPLE
+from ..functions.codec import decode_body
 from ..operators.triples import is_typing
-from ..sources.triples import message_lines, parse_lines
+from ..sources.triples import LINE, message_lines, parse_lines, says_something, trimmed
+from ..vocab import RDF_TYPE
+
+# A line that types a node, with the class; a class is a URI or a blank node.
+_TYPING = rf"^(?:<[^<>]*>|_:[^ \t<]+)[ \t]*<{re.escape(RDF_TYPE)}>[ \t]*(?:<([^<>]*)>|(_:[^ \t<]+?))[ \t]*\."
 
 
 def message_triples(messages: DataFrame, codec: str = "zlib") -> tuple[DataFrame, DataFrame]:
@@ -24,6 +30,96 @@ def message_triples(messages: DataFrame, codec: str = "zlib") -> tuple[DataFrame
     return good.withColumnsRenamed(named), bad.withColumnsRenamed(named)
 
 
+def count_messages(messages: DataFrame, codec: str = "zlib") -> DataFrame:
+    """One row per message (graph_id, timestamp, value): `msg_id`, `ts`, triples, typed objects, instances per class, and
+    lines that are no N-Triples.
+
+    A message is counted where it is read: its distinct lines stay one array in its row, so nothing is exploded or
+    shuffled, and the counts run on streams and tables alike. A body that cannot be decoded has null counts.
+    """
+    text = decode_body(F.col("value"), codec)
+    kept = F.filter(F.array_distinct(F.transform(F.split("_text", "\n"), trimmed)), says_something)
+    rows = messages.select(F.col("graph_id").alias("msg_id"), F.col("timestamp").alias("ts"), text.alias("_text")).withColumn("_kept", kept)
+    rows = rows.withColumn("_lines", F.filter("_kept", lambda line: line.rlike(LINE)))
+    named = lambda line: F.concat(F.regexp_extract(line, _TYPING, 1), F.regexp_extract(line, _TYPING, 2))
+    classes = F.filter(F.transform("_lines", named), lambda c: c != "")
+    rows = rows.withColumn("_classes", classes)
+    size = lambda c: F.when(F.col("_text").isNotNull(), F.size(c).cast("bigint"))
+    each = F.transform(
+        F.array_distinct("_classes"),
+        lambda c: F.struct(c.alias("class"), F.size(F.filter("_classes", lambda x: x == c)).cast("bigint").alias("n")))
+    return rows.select(
+        "msg_id", "ts", size("_lines").alias("trip_count"), size("_classes").alias("obj_count"), each.alias("classes"),
+        (size("_kept") - size("_lines")).alias("bad_lines"))
+
+
+NEWEST = "name string, shard int, messages bigint, first bigint, second bigint, recent array<struct<micros:bigint,msg_id:string,first:bigint,second:bigint>>"
+
+
+class NewestMessages(StatefulProcessor):
+    """State per name and shard: totals, and the newest few messages by event time, whatever order they arrive in."""
+
+    def __init__(self, sample: int):
+        self.sample = sample
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.recent = handle.getListState("recent", "micros bigint, msg_id string, first bigint, second bigint")
+        self.totals = handle.getValueState("totals", "messages bigint, first bigint, second bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        recent = [tuple(r) for r in self.recent.get()] if self.recent.exists() else []
+        totals = list(self.totals.get()) if self.totals.exists() else [0, 0, 0]
+        for batch in rows:
+            totals = [totals[0] + len(batch), totals[1] + int(batch["first"].sum()), totals[2] + int(batch["second"].sum())]
+            timed = batch[batch["micros"].notna()].sort_values(["micros", "msg_id"]).tail(self.sample)
+            found = zip(timed["micros"], timed["msg_id"], timed["first"], timed["second"])
+            recent = sorted(recent + [(int(m), i, int(a), int(b)) for m, i, a, b in found])[-self.sample :]
+        if recent:
+            self.recent.put(recent)
+        self.totals.update(tuple(totals))
+        names = ("micros", "msg_id", "first", "second")
+        yield pd.DataFrame({"name": [key[0]], "shard": [key[1]], "messages": totals[:1], "first": totals[1:2], "second": totals[2:],
+                            "recent": [[dict(zip(names, r)) for r in recent]]})
+
+    def close(self) -> None:
+        pass
+
+
+def stream_monitor(counts: DataFrame, sample: int = SAMPLE, shards: int = 16) -> DataFrame:
+    """State of the monitor, from the rows of `count_messages`: per trigger, one row for every name and shard that changed.
+
+    The name is `messages` for all messages (first: triples, second: objects) and the class for those with instances of it
+    (first: instances). Every message and many classes occur all the time, so a name is dealt to shards by message;
+    a shard keeps its totals and its newest `sample` messages. `monitor_view` puts the shards together.
+    """
+    whole = F.struct(F.lit("messages").alias("name"), F.col("trip_count").alias("first"), F.col("obj_count").alias("second"))
+    of_class = F.transform("classes", lambda c: F.struct(c["class"].alias("name"), c["n"].alias("first"), F.lit(0).cast("bigint").alias("second")))
+    rows = counts.where("trip_count IS NOT NULL").select(
+        F.col("msg_id").cast("string").alias("msg_id"), F.unix_micros("ts").alias("micros"), F.explode(F.concat(F.array(whole), of_class)).alias("_e"))
+    keyed = rows.select("_e.name", F.pmod(F.xxhash64("msg_id"), F.lit(shards)).cast("int").alias("shard"), "micros", "msg_id", "_e.first", "_e.second")
+    return keyed.groupBy("name", "shard").transformWithStateInPandas(
+        statefulProcessor=NewestMessages(sample), outputStructType=NEWEST, outputMode="Update", timeMode="None")
+
+
+def monitor_view(updates: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """Totals and rates per name from all that `stream_monitor` has sent so far.
+
+    The newest messages of a name are the newest of its shards, so the rates are those of the batch operators' newest row;
+    they are null without a time between the oldest and the newest.
+    """
+    state = updates.groupBy("name", "shard").agg(F.max_by(F.struct("messages", "first", "second", "recent"), "messages").alias("s"))
+    # Of each shard the newest few are left: a name's rows are as many as shards times `sample`.
+    merged = state.groupBy("name").agg(
+        *(F.sum(f"s.{c}").alias(c) for c in ("messages", "first", "second")),
+        F.slice(F.sort_array(F.flatten(F.collect_list("s.recent")), asc=False), 1, sample).alias("recent"))
+    span = (F.array_max("recent.micros") - F.array_min("recent.micros")) / F.lit(1_000_000.0)
+    total = lambda c: F.aggregate(f"recent.{c}", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    rate = lambda amount: F.when(span > 0, amount / span)
+    return merged.select(
+        "name", "messages", "first", "second", rate(F.size("recent")).alias("msg_rate"), rate(total("first")).alias("first_rate"),
+        rate(total("second")).alias("second_rate"))
+
+
 class RateWindow(StatefulProcessor):
     """State per class: its total and the times and counts of its last few messages."""
 
