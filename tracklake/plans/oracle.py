@@ -903,3 +903,8 @@ tops AS (
         _lit(_n(f"param{i}"), "representationValue", f"CAST({c} AS VARCHAR)", None),
     )],
 ]) + ")")
+
+# --- streams ------------------------------------------------------------------------------------
+
+ORACLE["streamed_last_seen"] = ORACLE["last_seen"]
+ORACLE["streamed_tracks"] = ORACLE["kalman_tracks"]

@@ -20,6 +20,7 @@ from ..sources.pings import detections, split_bad_pings
 from ..schema import MESSAGE
 from ..streaming.mapper import folder_sink, map_messages, run_mapper
 from ..streaming.monitor import count_messages, message_triples, monitor_view, stream_monitor
+from ..streaming.ordered import stream_last_seen, stream_tracker
 from ..streaming.tracks import stream_tracks
 from ..vocab import ies
 
@@ -634,7 +635,10 @@ def _filtered(spark, sf_dir) -> tuple[DataFrame, object]:
 
 @query
 def kalman_tracks(spark, sf_dir):
-    steps, _ = _filtered(spark, sf_dir)
+    return _kalman_rows(_filtered(spark, sf_dir)[0])
+
+
+def _kalman_rows(steps: DataFrame) -> DataFrame:
     numbers = ["x", "vx", "y", "vy", "p_xx", "p_xv", "p_vv"]
     return steps.select(
         "track_id", "mmsi", _micros("ts").alias("micros"), "kind", *[F.round(c, 2).alias(c) for c in numbers]
@@ -713,6 +717,39 @@ def streamed_rates(spark, sf_dir):
     return _rounded(monitor_view(_drained_rows(spark, path)), "msg_rate", "first_rate", "second_rate")
 
 
+def _late_pings(p: DataFrame, path: str, delay_seconds: int, files: int = 6) -> DataFrame:
+    """Pings as a stream from files, in which each comes up to half of `delay_seconds` late. A ping of a vessel of its own, long
+    after all others, ends the stream: it moves the watermark past them."""
+    lo, hi = p.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    late = F.pmod(F.xxhash64("seq"), F.lit(delay_seconds * 500_000))
+    part = F.floor((F.unix_micros("ts") + late - lo) * files / F.lit(hi + delay_seconds * 500_000 - lo + 1)).cast("int")
+    for k in range(files):
+        p.where(part == k).write.parquet(f"{path}/in/{k}")
+    last = F.timestamp_micros(F.lit(hi + 10 * delay_seconds * 1_000_000))
+    p.limit(1).withColumns({"mmsi": F.lit("end"), "ts": last}).write.parquet(f"{path}/in/{files}")
+    source = p.sparkSession.readStream.schema(p.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 4)
+    return source.parquet(f"{path}/in")
+
+
+@query
+def streamed_last_seen(spark, sf_dir):
+    """The ping before each ping, on a stream whose pings come up to six hours late."""
+    path = fresh_path(spark, "last-seen")
+    p = driver.pings(spark, sf_dir).select("mmsi", "ts", "seq", "lat", "lon")
+    _drained(stream_last_seen(_late_pings(p, path, 12 * 3600), "12 hours"), path)
+    return _drained_rows(spark, path).select("mmsi", "seq", _micros("prev_ts").alias("prev_micros"), "prev_lat", "prev_lon")
+
+
+@query
+def streamed_tracks(spark, sf_dir):
+    """The tracker on a stream whose pings come up to fifteen minutes late."""
+    path = fresh_path(spark, "tracker")
+    p = driver.pings(spark, sf_dir, compressed=True).select("mmsi", "ts", "seq", "lat", "lon")
+    steps = stream_tracker(_late_pings(p, path, 1800), tracks.first_zone(p), tracks.first_micros(p), delay="30 minutes")
+    _drained(steps, path)
+    return _kalman_rows(_drained_rows(spark, path))
+
+
 @query
 def open_tracks(spark, sf_dir):
     """The incremental track builder, run until all available input is read."""
