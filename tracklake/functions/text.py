@@ -104,6 +104,16 @@ def ntriples_line(s="s", p="p", o="o", kind="o_kind", dtype="o_dtype") -> Column
     )
 
 
+GRAPH = "urn:graph:"
+
+
+def quad_line() -> Column:
+    """One line of N-Quads: the triple and its graph, whose id is percent-encoded in a name of its own."""
+    line = ntriples_line()
+    graph = F.concat(F.lit(f"<{GRAPH}"), F.url_encode("graph_id"), F.lit("> ."))
+    return F.concat(line.substr(F.lit(1), F.length(line) - 1), graph)
+
+
 def period_uri(ts: Column) -> Column:
     return F.concat(F.lit(vocab.ISO8601), iso_text(ts))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions import text as tx
-from ..vocab import ANALYTICS_DATA, DATA, FILTER_DATA, MMSI_SCHEME
+from ..vocab import ANALYTICS_DATA, DATA, FILTER_DATA, MMSI_SCHEME, RDF_TYPE
 from . import triples as tr
 from .triples import Pattern, var
 
@@ -215,8 +215,11 @@ def filtered_track_graphs(
     return head.unionByName(tr.emit(rows, body))
 
 
-def following_graphs(events: DataFrame, data_uri: str = DATA, *, form: str = "full") -> DataFrame:
-    """One graph per following event: (event_id, follower, followed, start, end, system, assessed_at)."""
+def following_graphs(events: DataFrame, data_uri: str = DATA, *, form: str = "full", emit=tr.emit) -> DataFrame:
+    """One graph per following event: (event_id, follower, followed, start, end, system, assessed_at).
+
+    `emit=emit_texts` gives each graph as one text.
+    """
     full = form == "full"
     judged = ~tx.blank(F.col("system"))
     at = F.when(judged, F.col("assessed_at"))
@@ -236,7 +239,7 @@ def following_graphs(events: DataFrame, data_uri: str = DATA, *, form: str = "fu
     )
     n = lambda role: var("node", "-" + role)
     act, system, tail, lead = n("follow"), n("system"), var("tail"), var("lead")
-    return tr.emit(
+    return emit(
         rows,
         [
             *tr.naming_schemes("node", scheme_name=full),
@@ -428,11 +431,22 @@ def destination_graphs(
 def vessel_state_graphs(mapped: DataFrame, data_uri: str = DATA, keep: tuple[str, ...] = ()) -> DataFrame:
     """One graph per mapped ping: (graph_id, row_uri, classes, ping columns). Unit 0 is the message, the
     others are the classes of the vessel state."""
-    imo_scheme = data_uri + "imo-NamingScheme"
-    vin = "VehicleIdentificationNumber"
-    rows = mapped.select("*", F.explode(F.sequence(F.lit(0), F.size("classes"))).alias("unit")).select(
-        "graph_id", "unit", "mmsi", "imo", "vessel_name", "call_sign", "row_uri", *keep,
-        _unit("classes").alias("class"),
+    units = mapped.select("*", F.explode(F.sequence(F.lit(0), F.size("classes"))).alias("unit")).select("*", _unit("classes").alias("class"))
+    classes = [tr.typed_as(var("row_uri"), var("class"))]
+    rows = _state_rows(units, data_uri, "unit", "class", *keep)
+    return tr.emit(rows, (F.col("unit") == 0, _state_patterns(data_uri)), (F.col("unit") > 0, classes), keep=keep)
+
+
+def vessel_state_texts(mapped: DataFrame, data_uri: str = DATA, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The graphs of `vessel_state_graphs` as N-Triples texts, each made in its ping's row."""
+    head = F.concat(tx.node_text(F.col("row_uri")), F.lit(f" <{RDF_TYPE}> <"))
+    typing = F.transform(F.array_distinct("classes"), lambda c: F.concat(head, c, F.lit("> .")))
+    return tr.emit_texts(_state_rows(mapped, data_uri, "classes", *keep), _state_patterns(data_uri), more=typing, keep=keep)
+
+
+def _state_rows(mapped: DataFrame, data_uri: str, *keep: str) -> DataFrame:
+    return mapped.select(
+        "graph_id", "mmsi", "imo", "vessel_name", "call_sign", "row_uri", *keep,
         _node(data_uri, F.lit("vesselState"), F.col("graph_id")).alias("node"),
         F.concat(F.lit(data_uri), F.col("imo"), F.lit("IMO")).alias("imo_node"),
         tx.period_uri(F.col("ts")).alias("period"),
@@ -441,9 +455,14 @@ def vessel_state_graphs(mapped: DataFrame, data_uri: str = DATA, keep: tuple[str
         tx.number_text(F.col("lon")).alias("lon"),
         *[(~tx.blank(F.col(c))).alias(f"has_{c}") for c in ("imo", "vessel_name", "call_sign")],
     )
+
+
+def _state_patterns(data_uri: str) -> list[Pattern]:
+    imo_scheme = data_uri + "imo-NamingScheme"
+    vin = "VehicleIdentificationNumber"
     n = lambda role: var("node", "-" + role)
     state, where = var("row_uri"), n("point")
-    message = [
+    return [
         *tr.naming_schemes("node"),
         tr.typed(n("observation"), "Observation"),
         tr.link(state, "isParticipantIn", n("observation")),
@@ -466,5 +485,3 @@ def vessel_state_graphs(mapped: DataFrame, data_uri: str = DATA, keep: tuple[str
             tr.link(state, "inLocation", where),
         ]),
     ]
-    classes = [tr.typed_as(state, var("class"))]
-    return tr.emit(rows, (F.col("unit") == 0, message), (F.col("unit") > 0, classes), keep=keep)

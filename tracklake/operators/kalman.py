@@ -132,6 +132,28 @@ def unproject(steps: DataFrame, zone: Zone) -> DataFrame:
     return steps.select("*", lat.alias("lat"), lon.alias("lon"))
 
 
+def track_set(steps: DataFrame) -> DataFrame:
+    """The tracks that filtered states belong to: vessel, first and last time, and states, one row per track."""
+    return steps.groupBy("track_id", "mmsi").agg(
+        F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.countDistinct("ts").alias("n_states"))
+
+
+def union_track_states(*parts: DataFrame) -> DataFrame:
+    """States of tracks that were followed in several overlapping runs: each track keeps one state per time, the
+    updated one if there is one. A track is in the union once, however many parts know it."""
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    names = [c for c in every.columns if c not in ("track_id", "ts")]
+    best = F.max_by(F.struct(*names), F.struct((F.col("kind") == "update"), F.xxhash64(*[F.col(c) for c in names if c != "state"])))
+    return every.groupBy("track_id", "ts").agg(best.alias("_one")).select("track_id", "ts", "_one.*").select(*every.columns)
+
+
+def stream_track_set(steps: DataFrame) -> DataFrame:
+    """Each track of a stream of states once, when its first state comes; the state is one row per track id."""
+    return steps.select("track_id", "mmsi").dropDuplicates(["track_id"])
+
+
 def filter_tracks(projected: DataFrame) -> DataFrame:
     """Filtered tracks, one row per detection, with the state as an array (x, vx, y, vy)."""
     rows = (

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codec import encode_body
-from ..functions.text import epsg_or_default, iso_text, node_text, ntriples_line, short_name, term
+from ..functions.text import epsg_or_default, iso_text, node_text, ntriples_line, quad_line, short_name, term
 from ..vocab import PREFIXES, RDF_TYPE
 from .ordered import DEFAULT_LIMIT, HotKeys, keyed_index
 
@@ -178,6 +178,23 @@ def save_graph_files(triples: DataFrame, path: str):
     )
 
 
+def save_graph_buckets(triples: DataFrame, path: str, buckets: int = 64, splits: int = 4) -> None:
+    """Graphs as N-Quads text in `buckets` folders by the hash of their id, and a manifest of (graph_id, bucket, n_triples).
+
+    There are at most `buckets * splits` files however many graphs or tasks there are; a bucket is dealt to `splits`
+    tasks by line, so that no graph has to fit in one. `read_graph_buckets` reads graphs back by their ids.
+    """
+    lines = triples.select("graph_id", _bucket_of("graph_id", buckets).alias("bucket"), quad_line().alias("value")).where("value IS NOT NULL")
+    dealt = lines.withColumn("_split", F.pmod(F.xxhash64("value"), F.lit(splits))).repartition(buckets * splits, "bucket", "_split")
+    dealt.sortWithinPartitions("bucket", "graph_id").select("bucket", "value").write.partitionBy("bucket").text(f"{path}/graphs")
+    counts = lines.groupBy("graph_id", "bucket").agg(F.count("*").alias("n_triples"))
+    counts.repartition(buckets, "bucket").sortWithinPartitions("graph_id").write.parquet(f"{path}/manifest")
+
+
+def _bucket_of(graph_id: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(graph_id), F.lit(buckets)).cast("int")
+
+
 def encoded_state(
     ts: Column, state: Column, xy=(0, 2), z: int | None = None, v_xy=None, v_z: int | None = None,
     epsg: Column | None = None, default_epsg: str = "4326",

@@ -18,6 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import escape_literal, node_text
 from ..schema import TRIPLE_COLUMNS
 from ..vocab import ITU, MMSI_SCHEME, RDF_TYPE, XSD, ies
 
@@ -178,63 +179,82 @@ def assessed(
     ]
 
 
-def emit(
-    rows: DataFrame, *shapes: list[Pattern] | tuple[Column, list[Pattern]], keep: tuple[str, ...] = ()
-) -> DataFrame:
+Shape = list[Pattern] | tuple[Column, list[Pattern]]
+
+
+class _Compiled:
+    """Shapes as one constant array per row, and how its patterns `t` are filled in from the row's columns."""
+
+    def __init__(self, shapes: tuple[Shape, ...]):
+        chosen = [s if isinstance(s, tuple) else (F.lit(True), s) for s in shapes]
+        patterns = [p for _, shape in chosen for p in shape]
+        self.columns = sorted({t.column for p in patterns for t in (p.s, p.o) if t.column})
+        self.guards = sorted({p.guard for p in patterns if p.guard})
+        column_no = {c: i for i, c in enumerate(self.columns)} | {None: -1}
+        guard_no = {g: i for i, g in enumerate(self.guards)} | {None: -1}
+
+        def constant(shape: list[Pattern]) -> Column:
+            """The patterns as one literal: the optimizer folds the JSON text into an array."""
+            rows = [
+                [column_no[p.s.column], p.s.text, p.p, column_no[p.o.column], p.o.text, p.code, guard_no[p.guard],
+                 sum({1 << column_no[c] for c in (p.s.column, p.o.column) if c})]
+                for p in shape
+            ]
+            return F.from_json(F.lit(json.dumps([dict(zip(_PATTERN_FIELDS, row)) for row in rows])), _PATTERN_TYPE)
+
+        self.picked = constant(chosen[0][1])
+        if len(chosen) > 1:
+            self.picked = F.when(chosen[0][0], self.picked)
+            for condition, shape in chosen[1:]:
+                self.picked = self.picked.when(condition, constant(shape))
+
+    def prepared(self, *keep: str) -> list[Column | str]:
+        """The columns of a row that filling in needs. Which of them have no value is worked out once per row, as a
+        number with a bit for each."""
+        none = F.lit(0).cast("bigint")
+        bits = [F.when(F.col(c).isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, c in enumerate(self.columns)]
+        conditions = [F.expr(g).alias(f"_g{i}") for i, g in enumerate(self.guards)]
+        return [*dict.fromkeys(["graph_id", *self.columns, *keep]), *conditions, reduce(lambda a, b: a + b, bits, none).alias("_missing")]
+
+    def kept(self, t: Column) -> Column:
+        out = F.col("_missing").bitwiseAND(t["m"]) == 0
+        if self.guards:
+            held = F.when(t["g"] == -1, True)
+            for i in range(len(self.guards)):
+                held = held.when(t["g"] == i, F.col(f"_g{i}"))
+            out = held & out
+        return out
+
+    def filled(self, t: Column, number: str, text: str) -> Column:
+        out = F.when(t[number] == -1, t[text])
+        for i, c in enumerate(self.columns):
+            out = out.when(t[number] == i, F.concat(F.col(c), t[text]))
+        return out
+
+    def line(self, t: Column) -> Column:
+        """The triple as a line of N-Triples."""
+        o = self.filled(t, "oc", "ot")
+        kind = F.when(t["k"] == _STRING, f'"^^<{XSD}string>').when(t["k"] == _FLOAT, f'"^^<{XSD}float>').otherwise('"')
+        obj = F.when(t["k"] == _IRI, node_text(o)).otherwise(F.concat(F.lit('"'), escape_literal(o), kind))
+        return F.concat(node_text(self.filled(t, "sc", "st")), F.lit(" <"), t["p"], F.lit("> "), obj, F.lit(" ."))
+
+
+def emit(rows: DataFrame, *shapes: Shape, keep: tuple[str, ...] = ()) -> DataFrame:
     """Fill in the patterns for each row of `rows`, which has `graph_id` and the columns they name.
     `keep` names further columns of the row to put next to each triple.
 
     Several shapes come with conditions: a row uses the first whose condition holds. A pattern that reads a
     column without a value gives no triple.
     """
-    chosen = [s if isinstance(s, tuple) else (F.lit(True), s) for s in shapes]
-    patterns = [p for _, shape in chosen for p in shape]
-    columns = sorted({t.column for p in patterns for t in (p.s, p.o) if t.column})
-    guards = sorted({p.guard for p in patterns if p.guard})
-    column_no = {c: i for i, c in enumerate(columns)} | {None: -1}
-    guard_no = {g: i for i, g in enumerate(guards)} | {None: -1}
-
-    def constant(shape: list[Pattern]) -> Column:
-        """The patterns as one literal: the optimizer folds the JSON text into an array."""
-        rows = [
-            [column_no[p.s.column], p.s.text, p.p, column_no[p.o.column], p.o.text, p.code, guard_no[p.guard],
-             sum({1 << column_no[c] for c in (p.s.column, p.o.column) if c})]
-            for p in shape
-        ]
-        return F.from_json(F.lit(json.dumps([dict(zip(_PATTERN_FIELDS, row)) for row in rows])), _PATTERN_TYPE)
-
-    picked = constant(chosen[0][1])
-    if len(chosen) > 1:
-        picked = F.when(chosen[0][0], picked)
-        for condition, shape in chosen[1:]:
-            picked = picked.when(condition, constant(shape))
-    t = F.col("_t")
-
-    def filled(number: str, text: str) -> Column:
-        out = F.when(t[number] == -1, t[text])
-        for c, i in column_no.items():
-            if c is not None:
-                out = out.when(t[number] == i, F.concat(F.col(c), t[text]))
-        return out
-
-    # Which columns have no value is worked out once per row, as a number with a bit for each.
-    kept = F.col("_missing").bitwiseAND(t.m) == 0
-    if guards:
-        held = F.when(t.g == -1, True)
-        for g in guards:
-            held = held.when(t.g == guard_no[g], F.col(f"_g{guard_no[g]}"))
-        kept = held & kept
-    missing = reduce(lambda a, b: a + b, (F.when(F.col(c).isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, c in enumerate(columns)), F.lit(0).cast("bigint"))
-    needed = dict.fromkeys(["graph_id", *columns, *keep])
-    conditions = [F.expr(g).alias(f"_g{i}") for i, g in enumerate(guards)]
+    plan, t = _Compiled(shapes), F.col("_t")
     return (
-        rows.select(*needed, *conditions, missing.alias("_missing"), F.explode(picked).alias("_t"))
-        .where(kept)
+        rows.select(*plan.prepared(*keep), F.explode(plan.picked).alias("_t"))
+        .where(plan.kept(t))
         .select(
             "graph_id",
-            filled("sc", "st").alias("s"),
+            plan.filled(t, "sc", "st").alias("s"),
             t.p.alias("p"),
-            filled("oc", "ot").alias("o"),
+            plan.filled(t, "oc", "ot").alias("o"),
             F.when(t.k == _IRI, "iri").otherwise("literal").alias("o_kind"),
             F.when(t.k == _STRING, XSD + "string").when(t.k == _FLOAT, XSD + "float").alias("o_dtype"),
             *keep,
@@ -242,6 +262,23 @@ def emit(
     )
 
 
+def emit_texts(rows: DataFrame, *shapes: Shape, more: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The graph of each row as one N-Triples text with sorted lines: (graph_id, n_triples, text), then `keep`.
+
+    For graphs that come from one row: the lines never leave it, so nothing is exploded or shuffled. `more` is
+    an array of further lines made from the row's columns.
+    """
+    plan = _Compiled(shapes)
+    lines = F.transform(F.filter("_patterns", plan.kept), plan.line)
+    if more is not None:
+        lines = F.concat(lines, F.col("_more"))
+    return (
+        rows.select(*plan.prepared(*keep), plan.picked.alias("_patterns"), *([more.alias("_more")] if more is not None else []))
+        .select("graph_id", F.array_sort(lines).alias("_lines"), *keep)
+        .select("graph_id", F.size("_lines").cast("bigint").alias("n_triples"), F.array_join("_lines", "\n").alias("text"), *keep)
+    )
+
+
 def as_set(triples: DataFrame) -> DataFrame:
     """Set semantics for triples of unknown origin."""
     return triples.dropDuplicates(TRIPLE_COLUMNS)

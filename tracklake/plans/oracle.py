@@ -908,3 +908,20 @@ tops AS (
 
 ORACLE["streamed_last_seen"] = ORACLE["last_seen"]
 ORACLE["streamed_tracks"] = ORACLE["kalman_tracks"]
+ORACLE["gathered_graph_messages"] = ORACLE["graph_messages"]
+ORACLE["monitored_triples"] = ORACLE["monitored_messages"]
+ORACLE["graph_files_roundtrip"] = ORACLE["following_triples"]
+_sql("open_tracks_late", _POSITION + """,
+halved AS (SELECT * REPLACE (CASE WHEN seq % 2 = 0 THEN '200000000' ELSE mmsi END AS mmsi) FROM position),
+paused AS (
+  SELECT *, CASE WHEN micros - lag(micros) OVER (PARTITION BY mmsi ORDER BY micros, seq) <= 86400000000 THEN 0 ELSE 1 END AS opens FROM halved
+),
+runs AS (SELECT *, sum(opens) OVER (PARTITION BY mmsi ORDER BY micros, seq) AS run FROM paused),
+placed AS (SELECT *, (row_number() OVER (PARTITION BY mmsi, run ORDER BY micros, seq) - 1) // 4 AS part FROM runs),
+built AS (
+  SELECT mmsi, run, part, count(*) = 4 AS finished, min(micros) AS min_micros, max(micros) AS max_micros,
+         string_agg(CAST(seq AS VARCHAR), ',' ORDER BY micros, seq) AS seqs FROM placed GROUP BY mmsi, run, part
+)""", """
+SELECT mmsi, row_number() OVER (PARTITION BY mmsi ORDER BY run, part) - 1 AS track_no, finished, min_micros, max_micros, seqs FROM built""")
+_sql("track_union", _TRACKER, """
+SELECT track_id, mmsi, min(micros) AS first_micros, max(micros) AS last_micros, count(*) AS n_states FROM states GROUP BY track_id, mmsi""")

@@ -14,13 +14,13 @@ from ..functions import text as tx
 from ..functions.geo import geohash
 from ..operators import emitters, kalman, mapping, monitor, packing, tracks
 from ..operators import triples as tr
-from ..session import fresh_path, spread, stage
+from ..session import fan_out, fresh_path, spread, stage
 from ..sources import driver, messages, triples
 from ..sources.pings import detections, split_bad_pings
 from ..schema import MESSAGE
-from ..streaming.mapper import folder_sink, map_messages, run_mapper
+from ..streaming.mapper import folder_sink, map_messages, map_to_texts, run_mapper
 from ..streaming.monitor import count_messages, message_triples, monitor_view, stream_monitor
-from ..streaming.ordered import stream_last_seen, stream_tracker
+from ..streaming.ordered import stream_last_seen, stream_ordered_tracks, stream_tracker
 from ..streaming.tracks import stream_tracks
 from ..vocab import ies
 
@@ -428,6 +428,12 @@ def track_messages(spark, sf_dir):
 
 @query
 def graph_messages(spark, sf_dir):
+    return emitters.following_graphs(fan_out(following_events(spark, sf_dir), "event_id"), emit=tr.emit_texts)
+
+
+@query
+def gathered_graph_messages(spark, sf_dir):
+    """The same texts from triples of any origin, gathered by graph."""
     t = emitters.following_graphs(following_events(spark, sf_dir))
     return packing.ntriples_messages(t).select("graph_id", "n_triples", "text")
 
@@ -438,11 +444,20 @@ def turtle_graphs(spark, sf_dir):
     return packing.turtle_documents(t)
 
 
+@query
+def graph_files_roundtrip(spark, sf_dir):
+    """Graphs written to hashed folders of files; every third is read back by its id, the others with the rest."""
+    path = fresh_path(spark, "graphs")
+    packing.save_graph_buckets(emitters.following_graphs(following_events(spark, sf_dir)), path, 16)
+    got, _ = triples.read_graph_buckets(spark, path)
+    return got
+
+
 @query
 def ntriples_roundtrip(spark, sf_dir):
     """Triples to compressed N-Triples messages and back."""
-    t = emitters.following_graphs(following_events(spark, sf_dir))
-    sent = packing.as_messages(packing.ntriples_messages(t), topic="triples", key="graph_id")
+    texts = emitters.following_graphs(fan_out(following_events(spark, sf_dir), "event_id"), emit=tr.emit_texts)
+    sent = packing.as_messages(texts, topic="triples", key="graph_id")
     got, _ = triples.parse_lines(triples.message_lines(sent.withColumn("graph_id", F.decode("key", "UTF-8"))))
     return got
 
@@ -527,6 +542,15 @@ def message_counts(spark, sf_dir):
 def monitored_messages(spark, sf_dir):
     """The whole message path: packed pings, mapped to graphs, sent as zlib N-Triples, read and counted."""
     sent = packing.as_messages(_packed(spark, sf_dir), topic="pings", key="batch_id")
+    texts, _ = map_to_texts(fan_out(sent, "key"))
+    graphs = packing.as_messages(texts, topic="triples", key="graph_id")
+    return count_messages(graphs.withColumn("graph_id", F.decode("key", "UTF-8"))).select("msg_id", "trip_count", "obj_count")
+
+
+@query
+def monitored_triples(spark, sf_dir):
+    """The same counts with every triple as a row, before sending and after."""
+    sent = packing.as_messages(_packed(spark, sf_dir), topic="pings", key="batch_id")
     mapped, _ = map_messages(sent)
     graphs = packing.as_messages(packing.ntriples_messages(mapped), topic="triples", key="graph_id")
     seen, _ = message_triples(graphs.withColumn("graph_id", F.decode("key", "UTF-8")))
@@ -650,6 +674,15 @@ def track_counts(spark, sf_dir):
     return kalman.track_counts(_filtered(spark, sf_dir)[0])
 
 
+@query
+def track_union(spark, sf_dir):
+    """The set of tracks known from two overlapping parts of the states."""
+    steps = stage(_filtered(spark, sf_dir)[0])
+    parts = [steps.where(F.pmod(F.unix_micros("ts"), F.lit(10)) < 7), steps.where(F.pmod(F.unix_micros("ts"), F.lit(10)) > 3)]
+    found = kalman.track_set(kalman.union_track_states(*parts))
+    return found.select("track_id", "mmsi", _micros("first_ts").alias("first_micros"), _micros("last_ts").alias("last_micros"), "n_states")
+
+
 @query
 def predicted_states(spark, sf_dir):
     steps = stage(_filtered(spark, sf_dir)[0])
@@ -740,6 +773,18 @@ def streamed_last_seen(spark, sf_dir):
     return _drained_rows(spark, path).select("mmsi", "seq", _micros("prev_ts").alias("prev_micros"), "prev_lat", "prev_lon")
 
 
+@query
+def open_tracks_late(spark, sf_dir):
+    """Tracks from pings that come up to six hours late. One vessel has half of them; a day's silence ends a track."""
+    path = fresh_path(spark, "late-tracks")
+    p = driver.pings(spark, sf_dir).select("mmsi", "ts", "seq", "lat", "lon", "sog", "cog")
+    p = p.withColumn("mmsi", F.when(F.col("seq") % 2 == 0, "200000000").otherwise(F.col("mmsi")))
+    _drained(stream_ordered_tracks(_late_pings(p, path, 12 * 3600), 4, "12 hours", 86_400), path)
+    seqs = F.array_join(F.transform("pings", lambda x: x["seq"].cast("string")), ",")
+    return _drained_rows(spark, path).select(
+        "mmsi", "track_no", "finished", _micros("min_ts").alias("min_micros"), _micros("max_ts").alias("max_micros"), seqs.alias("seqs"))
+
+
 @query
 def streamed_tracks(spark, sf_dir):
     """The tracker on a stream whose pings come up to fifteen minutes late."""

@@ -76,3 +76,12 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def fan_out(df: DataFrame, key: str) -> DataFrame:
+    """Deal few and small rows by a key to all tasks, before each becomes many times as large in its row.
+
+    A plain shuffle of so little data would be put together into one task again.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), key)

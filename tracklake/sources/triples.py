@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codec import decode_body
-from ..functions.text import unescape_literal
+from ..functions.text import GRAPH, unescape_literal
 
 # One line of N-Triples: subject, predicate, and an object that is a node or a literal with datatype or language.
 # Tokens may touch. Repetition in literals is possessive, so that long ones need no stack.
@@ -63,6 +63,24 @@ def read_ntriples(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
     return parse_lines(lines)
 
 
+_QUAD = rf"(?s)^(.*)[ \t]*<{GRAPH}([^<>]*)>[ \t]*\.[ \t]*\z"
+
+
+def read_graph_buckets(spark: SparkSession, path: str, graph_ids: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(triples, bad lines) of graphs written by `save_graph_buckets`, all or those with the given ids.
+
+    The manifest tells the buckets of the ids, and only those folders are read.
+    """
+    lines = spark.read.schema("value string, bucket int").text(f"{path}/graphs")
+    named = lines.select(
+        "bucket", F.url_decode(F.regexp_extract("value", _QUAD, 2)).alias("graph_id"),
+        F.concat(F.regexp_extract("value", _QUAD, 1), F.lit(".")).alias("line"))
+    if graph_ids is not None:
+        found = spark.read.parquet(f"{path}/manifest").where(F.col("graph_id").isin(list(graph_ids))).select("bucket").distinct().collect()
+        named = named.where(F.col("bucket").isin([r["bucket"] for r in found]) & F.col("graph_id").isin(list(graph_ids)))
+    return parse_lines(named)
+
+
 def message_lines(messages: DataFrame, codec: str = "zlib") -> DataFrame:
     """Distinct lines of N-Triples messages. A damaged body gives one null line."""
     text = decode_body(F.col("value"), codec)

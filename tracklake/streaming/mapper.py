@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.emitters import vessel_state_graphs
+from ..operators.emitters import vessel_state_graphs, vessel_state_texts
 from ..operators.mapping import ClassPolicy, UriPolicy, map_pings, vessel_class_map
-from ..operators.packing import as_messages, ntriples_messages
+from ..operators.packing import as_messages
 from ..sources.messages import parsed_rows, split_rows
 from ..sources.pings import split_bad_pings
 from ..vocab import DATA
@@ -27,15 +27,25 @@ def map_messages(
     dead letters (graph_id, error, raw: the bytes), and so is every row without a vessel, a time or a position, with the row's
     text and its message; the other rows of its message are mapped.
     """
-    return _map_parsed(parsed_rows(messages, codec, shape), shape, layout, uri, classes, data_uri)
+    mapped, dead = _mapped(parsed_rows(messages, codec, shape), shape, layout, uri, classes)
+    return vessel_state_graphs(mapped, data_uri), dead
 
 
-def _map_parsed(parsed: DataFrame, shape: str, layout: str, uri, classes, data_uri: str) -> tuple[DataFrame, DataFrame]:
+def map_to_texts(
+    messages: DataFrame, *, codec: str = "zlib", shape: str = "batch", layout: str = "ais",
+    uri: UriPolicy | None = None, classes: ClassPolicy | None = None, data_uri: str = DATA,
+) -> tuple[DataFrame, DataFrame]:
+    """`map_messages` with each graph as one N-Triples text. Nothing is shuffled on the way."""
+    mapped, dead = _mapped(parsed_rows(messages, codec, shape), shape, layout, uri, classes)
+    return vessel_state_texts(mapped, data_uri), dead
+
+
+def _mapped(parsed: DataFrame, shape: str, layout: str, uri, classes) -> tuple[DataFrame, DataFrame]:
     rows, dead = split_rows(parsed, shape, layout, raw="_raw")
     pings, bad = split_bad_pings(rows, raw="_raw", keep=("graph_id",))
     graph = F.concat_ws(":", F.col("graph_id"), F.col("place").cast("string"))
     mapped = map_pings(pings.drop("_raw"), vessel_class_map(parsed.sparkSession), uri, classes, graph_id=graph)
-    return vessel_state_graphs(mapped, data_uri), dead.unionByName(bad.withColumn("raw", F.encode("raw", "UTF-8")))
+    return mapped, dead.unionByName(bad.withColumn("raw", F.encode("raw", "UTF-8")))
 
 
 Sink = Callable[[DataFrame], None]
@@ -79,8 +89,8 @@ def run_mapper(
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         parsed = parsed_rows(batch, codec, shape).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            triples, dead = _map_parsed(parsed, shape, layout, uri, classes, data_uri)
-            sent = as_messages(ntriples_messages(triples), topic=topic, key="graph_id", codec=out_codec)
+            mapped, dead = _mapped(parsed, shape, layout, uri, classes)
+            sent = as_messages(vessel_state_texts(mapped, data_uri), topic=topic, key="graph_id", codec=out_codec)
             send(sent.withColumn("batch_id", F.lit(batch_id)))
             if send_dead is not None:
                 send_dead(dead.withColumn("batch_id", F.lit(batch_id)))

@@ -42,7 +42,8 @@ def count_messages(messages: DataFrame, codec: str = "zlib") -> DataFrame:
     rows = messages.select(F.col("graph_id").alias("msg_id"), F.col("timestamp").alias("ts"), text.alias("_text")).withColumn("_kept", kept)
     rows = rows.withColumn("_lines", F.filter("_kept", lambda line: line.rlike(LINE)))
     named = lambda line: F.concat(F.regexp_extract(line, _TYPING, 1), F.regexp_extract(line, _TYPING, 2))
-    classes = F.filter(F.transform("_lines", named), lambda c: c != "")
+    typing = F.filter("_lines", lambda line: line.contains(f"<{RDF_TYPE}>"))
+    classes = F.filter(F.transform(typing, named), lambda c: c != "")
     rows = rows.withColumn("_classes", classes)
     size = lambda c: F.when(F.col("_text").isNotNull(), F.size(c).cast("bigint"))
     each = F.transform(

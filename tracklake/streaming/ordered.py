@@ -188,3 +188,75 @@ def stream_tracker(pings: DataFrame, zone: Zone, start_micros: int = 0, seconds:
     out = keyed.groupBy("mmsi").transformWithStateInPandas(
         statefulProcessor=TrackerInOrder(start_micros, seconds * 1_000_000), outputStructType=STEP_SCHEMA, outputMode="Append", timeMode="EventTime")
     return with_state(out)
+
+
+_PING_FIELDS = ("micros", "seq", "lat", "lon", "sog", "cog")
+_PING_SCHEMA = "micros bigint, seq bigint, lat double, lon double, sog double, cog double"
+
+
+class TracksInOrder(InOrder):
+    """A vessel's unfinished track and the number of its next one."""
+
+    columns = _PING_FIELDS
+    waiting_schema = _PING_SCHEMA
+
+    def __init__(self, size: int, idle: int | None):
+        self.size, self.idle = size, idle
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.open = handle.getListState("open", _PING_SCHEMA)
+        self.counter = handle.getValueState("counter", "n bigint")
+
+    def release(self, key, ready: list[tuple], until: int) -> list[tuple]:
+        held = [tuple(r) for r in self.open.get()] if self.open.exists() else []
+        number, out = self.counter.get()[0] if self.counter.exists() else 0, []
+        first = number
+
+        def leave(finished: bool) -> None:
+            nonlocal number, held
+            out.append((key[0], number, finished, held))
+            number, held = number + 1, []
+
+        for ping in ready:
+            if held and self.idle is not None and ping[0] - held[-1][0] > self.idle:
+                leave(False)
+            held.append(ping)
+            if len(held) == self.size:
+                leave(True)
+        if held and self.idle is not None and until - held[-1][0] > self.idle:
+            leave(False)
+        if held:
+            self.open.put(held)
+            if self.idle is not None:
+                self.wake(held[-1][0] + self.idle)
+        elif self.open.exists():
+            self.open.clear()
+        if number != first:
+            self.counter.update((number,))
+        return out
+
+    def frame(self, key, rows: list[tuple]) -> pd.DataFrame:
+        names = ("ts", *_PING_FIELDS[1:])
+        return pd.DataFrame({
+            "mmsi": pd.Series([r[0] for r in rows], dtype="object"), "track_no": pd.Series([r[1] for r in rows], dtype="int64"),
+            "finished": pd.Series([r[2] for r in rows], dtype="bool"), "pings": pd.Series([[dict(zip(names, p)) for p in r[3]] for r in rows], dtype="object")})
+
+
+def stream_ordered_tracks(pings: DataFrame, size: int = 4, delay: str = "10 minutes", idle_seconds: int | None = None) -> DataFrame:
+    """Tracks of `size` pings in event-time order from pings that come up to `delay` late, in the layout of `build_tracks`
+    with a column `finished`.
+
+    With `idle_seconds`, a silence longer than that ends a track; the pings it has by then leave as a track that is not
+    finished, so that none is lost with the state. Without it, an unfinished track waits for more. A vessel's
+    state is its pings within the delay and fewer than `size` more; they are appended batch by batch.
+    """
+    marked = pings.where("ts IS NOT NULL AND mmsi IS NOT NULL").withWatermark("ts", delay)
+    keyed = marked.select("mmsi", "ts", F.unix_micros("ts").alias("micros"), *_PING_FIELDS[1:])
+    fields = "ts:bigint,seq:bigint,lat:double,lon:double,sog:double,cog:double"
+    out = keyed.groupBy("mmsi").transformWithStateInPandas(
+        statefulProcessor=TracksInOrder(size, None if idle_seconds is None else idle_seconds * 1_000_000),
+        outputStructType=f"mmsi string, track_no bigint, finished boolean, pings array<struct<{fields}>>", outputMode="Append", timeMode="EventTime")
+    stamped = F.transform("pings", lambda p: F.struct(F.timestamp_micros(p["ts"]).alias("ts"), *[p[c].alias(c) for c in _PING_FIELDS[1:]]))
+    tracks = out.select("mmsi", "track_no", "finished", stamped.alias("pings"))
+    return tracks.select("mmsi", "track_no", "finished", F.array_min("pings.ts").alias("min_ts"), F.array_max("pings.ts").alias("max_ts"), "pings")
