@@ -295,3 +295,57 @@ def test_state_of_a_ping_without_time_or_position_has_no_null_terms(spark):
     t = emitters.vessel_state_graphs(mapping.map_pings(p, mapping.vessel_class_map(spark))).cache()
     assert t.where("s IS NULL OR p IS NULL OR o IS NULL").count() == 0 and t.select("graph_id").distinct().count() == 8
     assert t.where(F.col("o").endswith("GeoPoint")).count() == 6 and t.where(F.col("o").endswith("ParticularPeriod")).count() == 6
+
+
+def test_ntriples_tokens_may_touch(spark):
+    long = "\\n\\\"x" * 30_000
+    cases = [
+        ('<a><b><c>.', ("a", "b", "c", "iri", None)), ('_:x.y<b>_:z.', ("_:x.y", "b", "_:z", "bnode", None)),
+        ('<a>\t<b>\t"v"@en-GB.#note', ("a", "b", "v", "literal", "@en-GB")), ('<a><b>""^^<d> . # x', ("a", "b", "", "literal", "d")),
+        ('<a> <b> "1 <x> . \\u00e9\\U0001F600" .\r', ("a", "b", "1 <x> . é😀", "literal", None)), ('<a\\u00e9> <b> <c> .', ("aé", "b", "c", "iri", None)),
+        ('<a> <b> " \u0085 \u0002" .', ("a", "b", " \u0085 \u0002", "literal", None)), (f'<a><b>"{long}".', ("a", "b", "\n\"x" * 30_000, "literal", None)),
+    ]
+    bad = ['<a> <b> .', '<a> "b" <c> .', '<a> <b> <c>', '<a> <b> "x .', '<a> <b> "\\q" .', '<a> <b> "x"@ .', "\x02a\x02b\x02\x02\x02c\x02", '<a> <b> <c> . d', '<a> <b> "x" "y" .']
+    rows = [("g", line) for line, _ in cases] + [("g", line) for line in bad] + [("g", "  "), ("g", "# no triple"), ("g", None)]
+    good, rest = parse_lines(spark.createDataFrame(rows, "graph_id string, line string"))
+    assert {tuple(r)[1:] for r in good.collect()} == {want for _, want in cases}
+    assert {r.raw for r in rest.collect()} == {*bad, None}
+
+
+def test_lines_need_all_terms(spark):
+    from tracklake.functions.text import ntriples_line
+
+    rows = [(None, "p", "o"), ("s", None, "o"), ("s", "p", None), ("s", "p", "o")]
+    df = spark.createDataFrame(rows, "s string, p string, o string").withColumns({"o_kind": F.lit("iri"), "o_dtype": F.lit(None).cast("string")})
+    assert [r[0] for r in df.select(ntriples_line()).collect()] == [None, None, None, "<s> <p> <o> ."]
+
+
+def test_graph_buckets(spark, tmp_path):
+    from pathlib import Path
+
+    from tracklake.operators import packing
+    from tracklake.sources.triples import read_graph_buckets
+
+    rows = [(f"g {k % 40}/é", f"s{k}", "p", "a\nb", "literal", None) for k in range(400)] + [("big", f"s{k}", "p", "o", "iri", None) for k in range(400)]
+    t = spark.createDataFrame(rows, "graph_id string, s string, p string, o string, o_kind string, o_dtype string").repartition(7)
+    packing.save_graph_buckets(t, str(tmp_path), 8, splits=3)
+    assert len(list(Path(tmp_path).glob("graphs/bucket=*/part-*"))) <= 24
+    got, bad = read_graph_buckets(spark, str(tmp_path))
+    names = ("graph_id", "s", "p", "o", "o_kind")
+    assert bad.count() == 0 and rows_of(got, *names) == rows_of(t, *names)
+    wanted = ["g 7/é", "big", "absent"]
+    some, _ = read_graph_buckets(spark, str(tmp_path), wanted)
+    assert rows_of(some, *names) == rows_of(t.where(F.col("graph_id").isin(wanted)), *names)
+    manifest = spark.read.parquet(str(tmp_path / "manifest"))
+    assert manifest.count() == 41 and manifest.agg(F.sum("n_triples")).first()[0] == 800
+
+
+def test_texts_made_in_the_row_equal_gathered_ones(spark, sf_dir):
+    from tracklake.operators import emitters, mapping, packing
+    from tracklake.sources import driver
+
+    p = driver.pings(spark, sf_dir).where("seq < 150").withColumns({"ts": F.when(F.col("seq") % 7 != 0, F.col("ts")), "vessel_name": F.when(F.col("seq") % 5 == 0, 'A "b"\n\\c').otherwise(F.col("vessel_name"))})
+    mapped = mapping.map_pings(p, mapping.vessel_class_map(spark))
+    texts = emitters.vessel_state_texts(mapped, keep=("seq",))
+    assert rows_of(texts.drop("seq")) == rows_of(packing.ntriples_messages(emitters.vessel_state_graphs(mapped)))
+    assert "Exchange hash" not in texts._jdf.queryExecution().executedPlan().toString()

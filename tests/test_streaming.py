@@ -200,3 +200,31 @@ def test_mapper_sorts_out_bad_rows_and_a_replay_adds_nothing(spark, sf_dir, tmp_
     assert {r["error"]: r["count"] for r in reasons} == {"no vessel id": 6, "bad timestamp": 6, "bad position": 12}
     assert seen[0][2] == seen[0][3] == 36
     assert letters.where(F.decode("raw", "UTF-8").contains("north")).count() == 6  # the row as it came
+
+
+def test_counts_in_the_row_and_rates_in_any_order(spark, sf_dir, tmp_path):
+    t, sent = _graph_messages(spark, sf_dir)
+    broken = spark.createDataFrame([(None, bytearray(b"junk"), "triples", 0, 999, None)], MESSAGE).withColumn("offset", F.lit("msg-x")).withColumn("graph_id", F.lit("msg-x"))
+    odd = packing.as_messages(spark.createDataFrame([("msg-odd", "# note\n\n<a><b><c>.\n<a> <b> <c> .\n<a><b><c>.\nno triple")], "graph_id string, text string"),
+                              topic="triples", key="graph_id").withColumn("graph_id", F.lit("msg-odd"))
+    both = sent.unionByName(broken).unionByName(odd)
+    counts = smonitor.count_messages(both).cache()
+    want = monitor.message_counts(t.withColumnRenamed("seq", "msg_id")).select(F.concat(F.lit("msg-"), F.col("msg_id").cast("string")).alias("msg_id"), "trip_count", "obj_count")
+    plain = counts.where("msg_id NOT IN ('msg-x', 'msg-odd')")
+    assert rows_of(plain, "msg_id", "trip_count", "obj_count") == rows_of(want, "msg_id", "trip_count", "obj_count")
+    assert [tuple(r) for r in counts.where("msg_id = 'msg-odd'").select("trip_count", "obj_count", "bad_lines").collect()] == [(2, 0, 1)]
+    assert [tuple(r) for r in counts.where("msg_id = 'msg-x'").select("trip_count", "obj_count", "bad_lines").collect()] == [(None, None, None)]
+
+    shuffled = in_files(plain.withColumn("_r", F.xxhash64("msg_id")), str(tmp_path / "in"), 4, ["_r"])
+    source = read_files(spark, shuffled, plain.schema)
+    updates = drain(smonitor.stream_monitor(source, shards=3), tmp_path, "update")
+    view = {r["name"]: r for r in smonitor.monitor_view(updates).collect()}
+    newest = monitor.rolling_rates(plain.select("msg_id", "ts", "trip_count", "obj_count")).orderBy(F.desc("ts"), F.desc("msg_id")).first()
+    whole = view.pop("messages")
+    assert whole["messages"] == 200 and whole["first"] == t.count() and whole["second"] == t.where(tr.is_typing()).count()
+    assert (whole["first_rate"], whole["second_rate"], whole["msg_rate"]) == pytest.approx((newest.trip_rate, newest.obj_rate, newest.msg_rate))
+    classes = plain.select("msg_id", "ts", F.explode("classes").alias("c")).select("msg_id", "ts", "c.class", "c.n")
+    latest = {r["class"]: r for r in monitor.latest_rates(monitor.class_rates(classes)).collect()}
+    assert set(view) == set(latest)
+    for name, r in view.items():
+        assert r["first"] == latest[name].total and r["first_rate"] == pytest.approx(latest[name].rate)

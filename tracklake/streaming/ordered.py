@@ -2,7 +2,7 @@
 
 State per vessel: the rows that wait, appended per Arrow batch, and what the operator itself remembers. A timer
 at the oldest waiting row releases, in order, all rows that no later row can precede. So the result is that of the
-batch operator for every row that is at most `delay` late; rows that come later than that are dropped by Spark.
+batch operator if no row is more than `delay` late. A row that comes after later rows of its vessel have left is dropped.
 """
 
 from __future__ import annotations
@@ -29,23 +29,27 @@ class InOrder(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.waiting = handle.getListState("waiting", self.waiting_schema)
+        self.done = handle.getValueState("done", "micros bigint")
 
     def narrowed(self, rows: pd.DataFrame) -> pd.DataFrame:
         """Rows of a batch that have to wait."""
         return rows
 
     def released_until(self, watermark_ms: int) -> int:
-        """Rows of this time in micros and before are final: Spark drops what comes at or before the watermark."""
+        """Rows of this time in micros and before can leave."""
         return watermark_ms * 1000
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        oldest = None
+        oldest, done = None, self.done.get()[0] if self.done.exists() else None
         for batch in rows:
-            kept = self.narrowed(batch)
+            kept = self.narrowed(batch if done is None else batch[batch["micros"] > done])
+            if not len(kept):
+                continue
             first = int(kept["micros"].min())
             oldest = first if oldest is None else min(oldest, first)
             self.waiting.appendList([tuple(None if pd.isna(v) else v for v in r) for r in kept[list(self.columns)].itertuples(index=False, name=None)])
-        self.wake(oldest)
+        if oldest is not None:
+            self.wake(oldest)
         yield self.frame(key, [])
 
     def wake(self, micros: int) -> None:
@@ -64,6 +68,8 @@ class InOrder(StatefulProcessor):
             self.wake(min(r[0] for r in rest))
         elif held:
             self.waiting.clear()
+        if ready:
+            self.done.update((until,))
         yield self.frame(key, self.release(key, ready, until))
 
     def release(self, key, ready: list[tuple], until: int) -> list[tuple]:
@@ -98,6 +104,7 @@ class LastSeen(InOrder):
             last = ping
         if last is not None and self.idle is not None and until - last[0] > self.idle:
             self.last.clear()
+            self.done.clear()
         elif last is not None:
             if ready:
                 self.last.update(last)
