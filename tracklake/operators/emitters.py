@@ -34,8 +34,8 @@ def _repeat(values: str) -> Column:
     return F.when(F.size(earlier) > 1, F.size(earlier).cast("string"))
 
 
-def track_graphs(tracks: DataFrame, data_uri: str = DATA, *, form: str = "full") -> DataFrame:
-    """One graph per track.
+def track_graphs(tracks: DataFrame, data_uri: str = DATA, *, form: str = "full", only=None) -> DataFrame:
+    """One graph per track, or those of its triples whose patterns `only` chooses.
 
     `form="full"` writes speed and course measures and points named by position; `form="basic"` writes
     neither measures nor period texts and names points by geohash.
@@ -96,7 +96,7 @@ def track_graphs(tracks: DataFrame, data_uri: str = DATA, *, form: str = "full")
         *tr.when("new_time", tr.period(var("period"), var("iso"), representation=full)),
         *tr.when("new_place AND place IS NOT NULL", tr.point("place", var("lat"), var("lon"))),
     ]
-    return tr.emit(rows, (F.col("unit") == 0, head), (F.col("unit") > 0, body))
+    return tr.emit(rows, (F.col("unit") == 0, head), (F.col("unit") > 0, body), only=only)
 
 
 def _location_observation(data_uri: str, measures: bool) -> list[Pattern]:
@@ -120,7 +120,7 @@ def _location_observation(data_uri: str, measures: bool) -> list[Pattern]:
     return out
 
 
-def ping_graphs(pings: DataFrame, data_uri: str = DATA) -> DataFrame:
+def ping_graphs(pings: DataFrame, data_uri: str = DATA, *, only=None) -> DataFrame:
     """Single pings as location observations outside any track, one graph each."""
     graph_id = F.concat(F.lit("ping"), F.col("seq").cast("string"))
     rows = pings.select(
@@ -143,6 +143,7 @@ def ping_graphs(pings: DataFrame, data_uri: str = DATA) -> DataFrame:
             *tr.period(var("period"), var("iso")),
             *tr.when("place IS NOT NULL", tr.point("place", var("lat"), var("lon"))),
         ],
+        only=only,
     )
 
 

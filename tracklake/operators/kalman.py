@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import Zone, from_utm, to_utm
+from .ordered import keyed_index
 
 # Model and tracker settings.
 DIFFUSION = 0.5  # q, per axis
@@ -218,3 +219,16 @@ def polylines(located: DataFrame) -> DataFrame:
         F.element_at("_all", -1)["lat"].alias("last_lat"),
         F.element_at("_all", -1)["lon"].alias("last_lon"),
     )
+
+
+def polyline_parts(located: DataFrame, length: int = 1000, **options) -> DataFrame:
+    """Polylines in parts of at most `length` points and the first point of the next part, which closes the gap to it.
+
+    For tracks of any length: no row holds more than a part, and the points of a long track are numbered in slices.
+    """
+    placed = keyed_index(located.select("track_id", "mmsi", "ts", "lat", "lon"), ["track_id"], ["ts"], index="_rn", **options)
+    own = F.expr(f"(_rn - 1) div {length}")
+    parts = F.when((F.col("_rn") % length == 1 % length) & (own > 0), F.array(own, own - 1)).otherwise(F.array(own))
+    point = F.struct("_rn", "lat", "lon")
+    return placed.withColumn("part", F.explode(parts)).groupBy("track_id", "mmsi", "part").agg(F.array_sort(F.collect_list(point)).alias("_all")).select(
+        "track_id", "mmsi", "part", F.transform("_all", lambda p: F.struct(p["lat"].alias("lat"), p["lon"].alias("lon"))).alias("points"))

@@ -75,6 +75,19 @@ def class_rates(
     return look_back(counts, ["class"], ["ts", "msg_id"], sample - 1, add, hot=hot, limit=limit)
 
 
+def newest_rates(counts: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """Each class's newest rate and its total, as `latest_rates` of `class_rates`, without the rates in between.
+
+    Only the last `sample` messages of a class in each task are shuffled, and one count per class and task.
+    """
+    last = Window.partitionBy("class").orderBy(F.desc("ts"), F.desc("msg_id"))
+    few = counts.withColumn("_rn", F.row_number().over(last)).where(F.col("_rn") <= sample)
+    newest, oldest = F.max(F.when(F.col("_rn") == 1, F.unix_micros("ts"))), F.min(F.unix_micros("ts"))
+    rates = few.groupBy("class").agg(F.sum("n").alias("_n"), (newest - oldest).alias("_span"))
+    rates = rates.select("class", F.when(F.col("_span") > 0, F.col("_n") / (F.col("_span") / F.lit(1_000_000.0))).alias("rate"))
+    return rates.join(counts.groupBy("class").agg(F.sum("n").alias("total")), "class")
+
+
 def stage_counts(counts: DataFrame) -> DataFrame:
     """Per-message rows are read several times by the rate operators and are far fewer than the triples."""
     return stage(counts)

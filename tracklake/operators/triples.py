@@ -12,6 +12,7 @@ have the node, which makes the output a set without a de-duplicating shuffle.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -239,13 +240,21 @@ class _Compiled:
         return F.concat(node_text(self.filled(t, "sc", "st")), F.lit(" <"), t["p"], F.lit("> "), obj, F.lit(" ."))
 
 
-def emit(rows: DataFrame, *shapes: Shape, keep: tuple[str, ...] = ()) -> DataFrame:
+def of_type(*class_names: str) -> Callable[[Pattern], bool]:
+    """Patterns that type a node with one of the classes, for `only`."""
+    return lambda p: p.p == RDF_TYPE and p.o.column is None and p.o.text in {ies(c) for c in class_names}
+
+
+def emit(rows: DataFrame, *shapes: Shape, keep: tuple[str, ...] = (), only: Callable[[Pattern], bool] | None = None) -> DataFrame:
     """Fill in the patterns for each row of `rows`, which has `graph_id` and the columns they name.
     `keep` names further columns of the row to put next to each triple.
 
     Several shapes come with conditions: a row uses the first whose condition holds. A pattern that reads a
-    column without a value gives no triple.
+    column without a value gives no triple. `only` chooses patterns when the plan is built: the others and the
+    columns that only they read are not worked out at all.
     """
+    if only is not None:
+        shapes = tuple((s[0], [p for p in s[1] if only(p)]) if isinstance(s, tuple) else [p for p in s if only(p)] for s in shapes)
     plan, t = _Compiled(shapes), F.col("_t")
     return (
         rows.select(*plan.prepared(*keep), F.explode(plan.picked).alias("_t"))

@@ -925,3 +925,18 @@ built AS (
 SELECT mmsi, row_number() OVER (PARTITION BY mmsi ORDER BY run, part) - 1 AS track_no, finished, min_micros, max_micros, seqs FROM built""")
 _sql("track_union", _TRACKER, """
 SELECT track_id, mmsi, min(micros) AS first_micros, max(micros) AS last_micros, count(*) AS n_states FROM states GROUP BY track_id, mmsi""")
+
+# --- further checks -----------------------------------------------------------------------------
+
+_sql("craft_files", _POSITION, """
+SELECT mmsi, micros // 1000000 * 1000000 AS micros, lat, lon, sog, cog, vessel_type, length, width, draft, '' AS imo, '' AS vessel_name FROM position""")
+_sql("rate_bar_labels", _WATCHED, f"""
+SELECT class, {_SHORT} AS short_name, 'rate=' || CAST(round_even(rate, 2) AS VARCHAR) || ' count=' || total AS label FROM newest""")
+_sql("polyline_parts", _TRACKER + "," + _INVERSE.replace("__SOURCE__", "states") + """,
+placed AS (SELECT *, row_number() OVER (PARTITION BY track_id ORDER BY micros) - 1 AS rn FROM located)""", """
+SELECT track_id, mmsi, rn // 5 AS part, CAST(rn % 5 AS INTEGER) AS place, round(lat, 6) AS lat, round(lon, 6) AS lon FROM placed
+UNION ALL SELECT track_id, mmsi, rn // 5 - 1, 5, round(lat, 6), round(lon, 6) FROM placed WHERE rn % 5 = 0 AND rn > 0""")
+_sql("triple_union_of_kinds", _BATCHED, "SELECT DISTINCT * FROM (" + " UNION ALL ".join([
+    _spread(f"(SELECT 'all' AS graph_id, {_iso('ts')} AS iso, lat, lon FROM position)", [_a(f"'{ISO8601}' || iso", "ParticularPeriod"), _a(_PLACE, "GeoPoint")]),
+    _spread("(SELECT 'all' AS graph_id, mmsi, track_no FROM bounds)", [_a(f"'{DATA}' || md5('track' || mmsi || '-' || track_no) || '-observation'", "Observation")]),
+]) + ")")

@@ -16,8 +16,8 @@ from ..operators import emitters, kalman, mapping, monitor, packing, tracks
 from ..operators import triples as tr
 from ..session import fan_out, fresh_path, spread, stage
 from ..sources import driver, messages, triples
-from ..sources.pings import detections, split_bad_pings
-from ..schema import MESSAGE
+from ..sources.pings import detections, read_oz_csv, split_bad_pings
+from ..schema import MESSAGE, OZ_COLUMNS
 from ..streaming.mapper import folder_sink, map_messages, map_to_texts, run_mapper
 from ..streaming.monitor import count_messages, message_triples, monitor_view, stream_monitor
 from ..streaming.ordered import stream_last_seen, stream_ordered_tracks, stream_tracker
@@ -60,6 +60,19 @@ def oz_reshape(spark, sf_dir):
     return packing.oz_projection(driver.pings(spark, sf_dir)).withColumn("ts", tx.iso_text(F.col("ts")))
 
 
+@query
+def craft_files(spark, sf_dir):
+    """Pings written as CSV files in the craft layout and read again; that layout has whole seconds."""
+    path = fresh_path(spark, "craft")
+    p = driver.pings(spark, sf_dir)
+    values = ["mmsi", "lon", "lat", "cog", "sog", "vessel_type", None, "length", "width", "draft", None]
+    columns = [F.lit(None).cast("string") if v is None else F.col(v).cast("string") for v in values]
+    columns[-1] = F.date_format("ts", "MM/dd/yyyy hh:mm:ss a")
+    p.select(*[c.alias(n) for c, n in zip(columns, OZ_COLUMNS)]).write.option("header", True).csv(path)
+    got = read_oz_csv(spark, path)
+    return got.select("mmsi", _micros("ts").alias("micros"), "lat", "lon", "sog", "cog", "vessel_type", "length", "width", "draft", "imo", "vessel_name")
+
+
 @query
 def iso_time(spark, sf_dir):
     p = driver.pings(spark, sf_dir).select(
@@ -213,7 +226,7 @@ def track_triple_counts(spark, sf_dir):
 def triple_membership(spark, sf_dir):
     """Periods of pings that some finished track mentions."""
     p = driver.pings(spark, sf_dir)
-    graph = emitters.track_graphs(tracks.build_tracks(p)).where(tr.is_typing())
+    graph = emitters.track_graphs(tracks.build_tracks(p), only=tr.of_type("ParticularPeriod"))
     wanted = p.select(
         "seq", tx.period_uri(F.col("ts")).alias("s"),
         F.lit("http://www.w3.org/1999/02/22-rdf-syntax-ns#type").alias("p"), F.lit(ies("ParticularPeriod")).alias("o"),
@@ -225,8 +238,18 @@ def triple_membership(spark, sf_dir):
 def triple_union(spark, sf_dir):
     """Set union of the period nodes of tracks and of single pings, over all graphs."""
     p = driver.pings(spark, sf_dir)
-    one = lambda t: t.where(F.col("o") == ies("ParticularPeriod")).withColumn("graph_id", F.lit("all"))
-    return tr.union_sets(one(emitters.track_graphs(tracks.build_tracks(p))), one(emitters.ping_graphs(p)))
+    wanted = tr.of_type("ParticularPeriod")
+    sets = emitters.track_graphs(tracks.build_tracks(p), only=wanted), emitters.ping_graphs(p, only=wanted)
+    return tr.union_sets(*(t.withColumn("graph_id", F.lit("all")) for t in sets))
+
+
+@query
+def triple_union_of_kinds(spark, sf_dir):
+    """Set union of what only finished tracks have, their observations, and what single pings have, their points."""
+    p = driver.pings(spark, sf_dir)
+    left = emitters.track_graphs(tracks.build_tracks(p), only=tr.of_type("Observation", "ParticularPeriod"))
+    right = emitters.ping_graphs(p, only=tr.of_type("GeoPoint", "ParticularPeriod"))
+    return tr.union_sets(*(t.withColumn("graph_id", F.lit("all")) for t in (left, right)))
 
 
 @query
@@ -600,14 +623,23 @@ def class_rolling_rate(spark, sf_dir):
 
 @query
 def class_labels(spark, sf_dir):
-    return monitor.class_options(monitor.latest_rates(_class_rates(spark, sf_dir)))
+    return monitor.class_options(_newest_rates(spark, sf_dir))
+
+
+def _newest_rates(spark, sf_dir) -> DataFrame:
+    return monitor.newest_rates(monitor.stage_counts(monitor.class_counts(_watched(spark, sf_dir))))
 
 
 @query
 def rate_bars(spark, sf_dir):
-    latest = monitor.latest_rates(_class_rates(spark, sf_dir))
     chosen = [ies(c) for c in ("Observation", "VehicleName", "Callsign", "GeoPoint", "Ship")]
-    return _rounded(monitor.rate_table(latest, chosen), "rate").drop("label")
+    return _rounded(monitor.rate_table(_newest_rates(spark, sf_dir), chosen), "rate").drop("label")
+
+
+@query
+def rate_bar_labels(spark, sf_dir):
+    """The bars of all classes with their labels."""
+    return monitor.rate_table(_newest_rates(spark, sf_dir)).select("class", "short_name", "label")
 
 
 # --- tracker ------------------------------------------------------------------------------------
@@ -701,6 +733,15 @@ def track_polylines(spark, sf_dir):
     )
 
 
+@query
+def polyline_parts(spark, sf_dir):
+    """Every point of every track, in parts of five."""
+    steps, zone = _filtered(spark, sf_dir)
+    parts = kalman.polyline_parts(kalman.unproject(steps, zone), 5, limit=300)
+    return parts.select("track_id", "mmsi", "part", F.posexplode("points").alias("place", "_p")).select(
+        "track_id", "mmsi", "part", "place", F.round("_p.lat", 6).alias("lat"), F.round("_p.lon", 6).alias("lon"))
+
+
 @query
 def filtered_track_triples(spark, sf_dir):
     steps = stage(_filtered(spark, sf_dir)[0])
