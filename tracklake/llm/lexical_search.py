@@ -29,6 +29,7 @@ SHARD = 2048  # documents whose lists are clustered together
 BLOCK = 64  # documents of a block at most
 SKETCH = 32  # dimensions in which documents are compared for clustering
 WARM = 16_384  # documents, about, that give the first thresholds
+TASK = 8 * SHARD  # documents that a task searches, whatever the size of the table
 
 
 @dataclass
@@ -278,7 +279,8 @@ def ranked_search(docs: DataFrame, items: DataFrame, top: int = 50, id_col: str
         least = np.zeros(len(rows), np.int64)
         for r in _search(some, queries, weights, zero, documents, terms, top).where(F.col("rank") == top).select("query", "score").collect():
             least[r["query"]] = r["score"]
-        found = _search(vectors, queries, weights, spark.sparkContext.broadcast(least), documents, terms, top)
+        dealt = vectors.repartition(-(-documents // TASK))  # vectors are small beside the work they make
+        found = _search(dealt, queries, weights, spark.sparkContext.broadcast(least), documents, terms, top)
         kind = items.schema[item_col].dataType
         named = spark.createDataFrame(list(enumerate(plain.names)), f"query int, `{item_col}` {kind.simpleString()}")
         results.append(found.join(F.broadcast(named), "query").select(
