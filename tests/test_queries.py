@@ -14,7 +14,7 @@ from tracklake.plans.queries import QUERIES
 @pytest.fixture(scope="module")
 def db(sf_dir):
     con = duckdb.connect()
-    for name in ("customer", "events", "lineitem", "nation"):
+    for name in ("customer", "documents", "events", "lineitem", "nation"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
     return con
 
