@@ -27,6 +27,7 @@ def minimal(spark):
     """Ten pings of two vessels, one minute or so apart."""
     from tracklake.sources.pings import minimal_pings
 
+    # Sample pings.
     rows = [
         ("366952890", "2007-01-01T00:00:09", 40.64175, -74.07136),
         ("366952890", "2007-01-01T00:01:20", 40.64175, -74.07135),

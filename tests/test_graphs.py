@@ -26,6 +26,7 @@ def is_set(triples):
 
 @pytest.fixture(scope="module")
 def four_pings(spark):
+    # Sample pings.
     rows = [
         (0, "2017-01-01T00:00:09", 40.64175, -74.07136), (1, "2017-01-01T00:01:20", 40.64175, -74.07135),
         (2, "2017-01-01T00:02:29", 40.64176, -74.07136), (3, "2017-01-01T00:03:38", 40.64176, -74.07138),
@@ -90,6 +91,7 @@ def test_repeated_points_and_times_are_written_once(spark):
 
 def following(spark, follower="367000150", followed="366952890", system="HAL"):
     t = lambda s: dt.datetime.fromisoformat(s + "+00:00")
+    # Times of the sample event.
     return spark.createDataFrame(
         [("f", follower, followed, t("2007-01-01T00:00:09"), t("2007-01-01T00:05:40"), system, t("2007-01-02T09:17:04"))],
         "event_id string, follower string, followed string, start timestamp, end timestamp, system string, assessed_at timestamp",
