@@ -10,7 +10,7 @@ import pytest
 from tracklake.llm.grace_dedup import exact_dedup, grace
 from tracklake.llm.lsa_quality import fit_quality, score_quality
 from tracklake.llm.mixing import mix_sources
-from tracklake.llm.pieces import _WORD, SPACE, Seams, decode_pieces, encode_pieces, fold_word, load_vocabulary, words_of
+from tracklake.llm.pieces import _WORD, SPACE, Seams, decode_ids, decode_pieces, decode_table, encode_pieces, fold_word, load_vocabulary, words_of
 from tracklake.llm.queries import PIECE_MODEL, URL_RULES
 from tracklake.llm.secrets import scan_secrets
 from tracklake.llm.set_join import jaccard_components, set_links
@@ -229,6 +229,29 @@ def test_pieces(spark):
     assert encode_pieces(rows.limit(0), vocabulary).count() == 0
 
 
+def test_pieces_of_repeated_and_long_rows(spark):
+    """Rows without an id, repeated rows, a long text, columns with clashing names; blocks of one text and of many."""
+    from sentencepiece import SentencePieceProcessor
+
+    vocabulary, library = load_vocabulary(PIECE_MODEL), SentencePieceProcessor(model_file=PIECE_MODEL)
+    long = prose(95, 60_000) + "y" * 3000
+    rows = [(1, "same text"), (1, "same text"), (None, "same text"), (None, None), (None, ""), (2, long), (3, "of, the\n\nend "), (1, "other")]
+    df = spark.createDataFrame([(*r, 7, 8, b"b", [1]) for r in rows], "doc_id long, text string, block long, bucket int, blob binary, ids array<int>")
+    want = Counter((i, tuple(library.encode(t or ""))) for i, t in rows)
+    for chars in (10_000, 10**9):
+        got = encode_pieces(df.repartition(2), vocabulary, chunk_chars=chars).collect()
+        assert Counter((r.doc_id, tuple(r.ids)) for r in got) == want
+    assert decode_ids([library.piece_to_id("▁the"), -1, 10**7], decode_table(vocabulary)) == "the"
+
+
+def test_pieces_move_no_texts(spark):
+    """Blocks of texts are read where they lie: only words and answers are exchanged."""
+    rows = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
+    plan = encode_pieces(rows, load_vocabulary(PIECE_MODEL))._jdf.queryExecution().executedPlan().toString()
+    assert "doc_ids" in plan and not re.search(r"Exchange hashpartitioning\(block[^\n]*\n[^\n]*doc_ids", plan)
+    assert plan.count("Exchange hashpartitioning(block") == 1
+
+
 def test_words_and_parts():
     vocabulary = load_vocabulary(PIECE_MODEL)
     texts = ["a\nb", "\na", "a\n\n b\n", "a  b", " a", "a ", "\0a\n", "\r\n x", "no. 12345 漢字x", "\n", " "]

@@ -3,8 +3,8 @@
 Pieces never reach over the start of a word, so each distinct word is encoded once. Nor do they join two characters that are
 neighbours in no piece, so a word falls into parts there. A part's substrings of bounded length are joined to the piece
 table; the matches are the edges of its lattice. A fold over them gives the best path: for unigram models the Viterbi
-recursion, for BPE models the merges in order of their scores, each of which is an edge. The encoded words return to the
-texts chunk by chunk: a chunk is a set of texts with bounded size.
+recursion, for BPE models the merges in order of their scores, each of which is an edge. Texts are
+kept as blocks of word numbers, and the encoded words return to the blocks.
 """
 
 from __future__ import annotations
@@ -18,15 +18,18 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklake.llm.common import groups_of
-from tracklake.session import stage
+from tracklake.session import fresh_path
 
-CHUNK_CHARS = 16_000_000
-BUCKETS_PER_CHUNK = 4
-HELD_WORDS = 1_000_000  # distinct words that a task collects before it hands them on
+CHUNK_CHARS = 32_000_000
+LEAST_BUCKETS = 32
+HELD_WORDS = 1_000_000  # distinct words after which a block ends
+SLICE_WORDS = 1_000_000
 LATTICE_CHARS = 48  # longer parts are folded in Python, with the same rule
 SPACE = "▁"
 _WORD = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
@@ -247,65 +250,80 @@ def fold_word(word: str, vocabulary: Vocabulary) -> list[int]:
     return _ids(word, places, vocabulary)
 
 
-def _bucket_of(word: str, buckets: int) -> int:
-    return zlib.crc32(word.encode()) % buckets
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of 32-bit numbers one after the other, compressed."""
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(a.astype("<i4").tobytes() for a in arrays))
 
 
-def _dealt(words: set[str], buckets: int) -> dict[int, list[str]]:
-    """Sorted words by bucket."""
-    out: dict[int, list[str]] = {}
-    for w in sorted(words):
-        out.setdefault(_bucket_of(w, buckets), []).append(w)
-    return out
+def _unpacked(blob: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), "<i4")
+
+
+def _listed(words: list[str]) -> bytes:
+    """Words as one compressed text. They hold no line feed, except that one itself, which is written as an empty line."""
+    return zstandard.ZstdCompressor(level=3).compress("\n".join("" if w == "\n" else w for w in words).encode())
+
+
+def _unlisted(blob: bytes) -> list[str]:
+    return [w or "\n" for w in zstandard.ZstdDecompressor().decompress(blob).decode().split("\n")]
+
+
+class _Numbers(dict):
+    """Numbers for words in the order in which they are first asked for."""
 
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
 
-def _distinct(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Distinct words of a task's texts by chunk and bucket, compressed. No piece of text crosses the network for it."""
-    found: dict[int, set[str]] = {}
-    held = 0
 
-    def flush() -> Iterator[pa.RecordBatch]:
-        for chunk, words in found.items():
-            dealt = _dealt(words, buckets)
-            # Words of a text hold no line feed, except that one itself, which is written as an empty line.
-            blobs = [zlib.compress("\n".join("" if w == "\n" else w for w in some).encode(), 1) for some in dealt.values()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(dealt), pa.int32()), pa.array([chunk] * len(dealt), pa.int32()), pa.array(blobs, pa.binary())],
-                names=["bucket", "chunk", "blob"])
+BLOCK_SCHEMA = "kind int, block long, bucket int, doc_ids array<long>, blob binary"
 
+
+def _block(block: int, ids: list[int | None], counts: list[int], runs: list[np.ndarray], numbers: _Numbers, buckets: int) -> pa.RecordBatch:
+    dealt: dict[int, list[str]] = {}
+    for w in sorted(numbers):
+        dealt.setdefault(zlib.crc32(w.encode()) % buckets, []).append(w)
+    place = np.zeros(len(numbers), np.int32)
+    place[np.fromiter((numbers[w] for k in sorted(dealt) for w in dealt[k]), np.int64, len(numbers))] = np.arange(len(numbers))
+    texts = _packed(np.array(counts, np.int32), place, *runs)
+    n = len(dealt)
+    columns = ([0] + [1] * n, [block] * (n + 1), [-1, *dealt], [ids] + [None] * n, [texts, *map(_listed, dealt.values())])
+    types = (pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["kind", "block", "bucket", "doc_ids", "blob"])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], buckets: int, chars: int) -> Iterator[pa.RecordBatch]:
+    """Neighbouring texts of a task as blocks. Of each, one row with its texts as word numbers, and one row for each bucket
+    with the sorted distinct words that fall into it. Places order a block's words by bucket, then by themselves."""
+    block = TaskContext.get().partitionId() << 32
+    ids, counts, runs, numbers, held = [], [], [], _Numbers(), 0
     for batch in batches:
-        for chunk, text in zip(batch.column("chunk").to_pylist(), batch.column("text").to_pylist()):
-            if text:
-                own = found.setdefault(chunk, set())
-                held -= len(own)
-                own.update(words_of(text))
-                held += len(own)
-                if held > HELD_WORDS:
-                    yield from flush()
-                    found, held = {}, 0
-    yield from flush()
-
-
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One sorted word list for each chunk and bucket; rows come sorted by both."""
-    for group in groups_of(batches, "place"):
-        words: set[str] = set()
-        for blob in group.column("blob").to_pylist():
-            words.update(w or "\n" for w in zlib.decompress(blob).decode().split("\n"))
-        yield pa.RecordBatch.from_arrays(
-            [group.column("bucket")[:1].combine_chunks(), group.column("chunk")[:1].combine_chunks(), pa.array([sorted(words)], pa.list_(pa.string()))],
-            names=["bucket", "chunk", "words"])
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+            words = words_of(text.as_py() or "")
+            ids.append(doc_id)
+            counts.append(len(words))
+            runs.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
+            held += len(text.as_py() or "") + 1
+            if held >= chars or len(numbers) >= HELD_WORDS:
+                yield _block(block, ids, counts, runs, numbers, buckets)
+                block += 1
+                ids, counts, runs, numbers, held = [], [], [], _Numbers(), 0
+    if ids:
+        yield _block(block, ids, counts, runs, numbers, buckets)
 
 
 def _parts(batches: Iterator[pa.RecordBatch], seams) -> Iterator[pa.RecordBatch]:
-    """Distinct parts of each word list."""
-    for batch in batches:
-        parts = [sorted({p for w in seams.value.split(words) for p in w}) for words in batch.column("words").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("bucket"), pa.array(parts, pa.list_(pa.string()))], names=["bucket", "parts"])
+    """Distinct parts of each bucket's words; rows come sorted by bucket."""
+    for group in groups_of(batches, "bucket"):
+        words: set[str] = set()
+        for blob in group.column("blob"):
+            words.update(_unlisted(blob.as_py()))
+        parts = sorted({p for w in seams.value.split(list(words)) for p in w})
+        yield pa.RecordBatch.from_arrays([group.column("bucket")[:1].combine_chunks(), pa.array([parts], pa.list_(pa.string()))], names=["bucket", "parts"])
 
 
 def _answer(key, asked: pa.Table, parts: pa.Table, vocabulary, seams) -> pa.Table:
-    """For one bucket: numbers of ids, then the ids, of every chunk's words in the order of its word list, compressed.
+    """For one bucket: the number of words, numbers of ids, then the ids, of every block's words in the order of its list.
 
     Parts that are too long for a lattice, or have no edge in it, are folded here.
     """
@@ -314,37 +332,43 @@ def _answer(key, asked: pa.Table, parts: pa.Table, vocabulary, seams) -> pa.Tabl
         w: np.array(path_ids(w, cuts, model), "<i4").tobytes()
         for w, cuts in zip(parts.column("word").to_pylist(), parts.column("cuts").to_pylist())
     }
-    rows = []
-    for chunk, words in zip(asked.column("chunk").to_pylist(), asked.column("words").to_pylist()):
-        found = []
-        for split in seams.value.split(words):
+    of_word: dict[str, bytes] = {}
+    blobs = []
+    for blob in asked.column("blob"):
+        words = _unlisted(blob.as_py())
+        fresh = [w for w in words if w not in of_word]
+        for w, split in zip(fresh, seams.value.split(fresh), strict=True):
             for p in split:
                 if p not in known:
                     known[p] = np.array(fold_word(p, model), "<i4").tobytes()
-            found.append(b"".join([known[p] for p in split]))
-        sizes = np.array([len(f) // 4 for f in found], "<i4").tobytes()
-        rows.append((chunk, key[0].as_py(), zlib.compress(sizes + b"".join(found), 1)))
-    columns = zip(*rows) if rows else [[]] * 3
-    return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.binary()))], names=["chunk", "bucket", "answers"])
-
-
-def _encode_chunk(texts: pa.Table, answers: pa.Table, buckets: int) -> pa.Table:
-    """Ids of a chunk's texts. Its word lists are made again in the order in which they were asked."""
-    every: set[str] = set()
-    bodies = texts.column("text")
-    for text in bodies:
-        every.update(words_of(text.as_py() or ""))
-    dealt = _dealt(every, buckets)
-    del every
-    known: dict[str, bytes] = {}
-    for bucket, blob in zip(answers.column("bucket").to_pylist(), answers.column("answers").to_pylist()):
-        words, flat = dealt[bucket], zlib.decompress(blob)
-        ends = (4 * len(words) + 4 * np.cumsum(np.frombuffer(flat, "<i4", len(words)))).tolist()
-        known.update((w, flat[a:b]) for w, a, b in zip(words, [4 * len(words), *ends], ends))
-    ids = [b"".join(map(known.__getitem__, words_of(text.as_py() or ""))) for text in bodies]
-    offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
-    values = pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32())
-    return pa.table([texts.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), values)], names=["doc_id", "ids"])
+            of_word[w] = b"".join([known[p] for p in split])
+        found = [of_word[w] for w in words]
+        blobs.append(_packed(np.array([len(found), *(len(f) // 4 for f in found)]), np.frombuffer(b"".join(found), "<i4")))
+    return pa.table([asked.column("block"), pa.array([key[0].as_py()] * len(blobs), pa.int32()), pa.array(blobs, pa.binary())], names=["block", "bucket", "answers"])
+
+
+def _encode_block(texts: pa.Table, answers: pa.Table) -> pa.Table:
+    """Ids of a block's texts: its words' places lead to the answers, which are put together in the order of the buckets."""
+    sizes, flat = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    for blob in answers.sort_by("bucket").column("answers"):
+        numbers = _unpacked(blob.as_py())
+        sizes.append(numbers[1 : 1 + numbers[0]])
+        flat.append(numbers[1 + numbers[0] :])
+    size, every = np.concatenate(sizes), np.concatenate(flat)
+    start = np.cumsum(size, dtype=np.int64) - size
+    doc_ids, numbers = texts.column("doc_ids").combine_chunks().flatten(), _unpacked(texts.column("blob")[0].as_py())
+    counts = numbers[: len(doc_ids)]
+    place, runs = numbers[len(doc_ids) : len(doc_ids) + len(size)], numbers[len(doc_ids) + len(size) :]
+    ends = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+    out, before = [], np.concatenate([[0], np.zeros(len(runs), np.int64)])
+    for a in range(0, len(runs), SLICE_WORDS):
+        at = place[runs[a : a + SLICE_WORDS]]
+        n = size[at].astype(np.int64)
+        until = np.cumsum(n)
+        before[a + 1 : a + 1 + len(n)] = before[a] + until
+        out.append(every[np.repeat(start[at] - until + n, n) + np.arange(until[-1])])
+    values = pa.array(np.concatenate([np.zeros(0, np.int32), *out]), pa.int32())
+    return pa.table([doc_ids, pa.LargeListArray.from_arrays(pa.array(before[ends]), values).cast(pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
 
 def _piece_table(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
@@ -357,24 +381,30 @@ def encode_pieces(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id
                   chunk_chars: int = CHUNK_CHARS, lattice_chars: int = LATTICE_CHARS) -> DataFrame:
     """One row per input row: id, ids (array of piece ids, as the model's own library gives them).
 
-    Null and empty texts have no pieces. Rows without an id and repeated rows are encoded like any other. The
-    character U+2581 is the model's own sign for a space and reads as one. Very long words are folded in Python. An
-    empty table gives an empty result. A task holds the texts and distinct words of one chunk.
+    Null and empty texts have no pieces. Rows without an id and repeated rows are encoded like any other, and further
+    columns are not read. The character U+2581 is the model's own sign for a space and reads as one. Very long words are
+    folded in Python. An empty table gives an empty result. A task holds one block of texts, which is `chunk_chars`
+    characters and a text at most, or one bucket of words.
+
+    Texts are never shuffled. One pass writes them as blocks of word numbers, in a table bucketed by block, and each block's
+    distinct words by bucket, so both are linear in the data. A bucket's words of all blocks meet once for their lattices;
+    the answers go back to the blocks where these lie. The table is external, in the shared folder, and stays
+    in the session's catalog.
     """
     spark = docs.sparkSession
     every = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     total = every.agg(F.sum(F.length("text"))).first()[0] or 0
-    chunks = max(1, -(-total // chunk_chars))
-    buckets = BUCKETS_PER_CHUNK * chunks
-    spread = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(chunks)).cast("int")
-    dealt = every.select("doc_id", "text", spread.alias("chunk"))
-    found = dealt.select("text", "chunk").mapInArrow(partial(_distinct, buckets=buckets), "bucket int, chunk int, blob binary")
-    placed = found.withColumn("place", F.concat_ws("/", "bucket", "chunk")).repartition("place").sortWithinPartitions("place")
-    asked = stage(placed.mapInArrow(_merged, "bucket int, chunk int, words array<string>"))
+    buckets = max(LEAST_BUCKETS, -(-total // chunk_chars))
+    path = fresh_path(spark, "piece_blocks")
+    name = re.sub(r"\W", "_", path.rsplit("/", 1)[1])
+    blocks = every.mapInArrow(partial(_blocks, buckets=buckets, chars=chunk_chars), BLOCK_SCHEMA)
+    blocks.write.partitionBy("kind").bucketBy(buckets, "block").option("path", path).saveAsTable(name, format="parquet")
+    texts = spark.table(name).where("kind = 0").select("block", "doc_ids", "blob")
+    asked = spark.table(name).where("kind = 1").select("block", "bucket", "blob").repartition(buckets, "bucket")
     shared, seams = spark.sparkContext.broadcast(vocabulary), spark.sparkContext.broadcast(Seams(vocabulary))
-    parts = asked.repartition(buckets, "bucket").mapInArrow(partial(_parts, seams=seams), "bucket int, parts array<string>")
+    parts = asked.sortWithinPartitions("bucket").mapInArrow(partial(_parts, seams=seams), "bucket int, parts array<string>")
     words = parts.select("bucket", F.explode("parts").alias("word")).where(F.length("word") <= lattice_chars)
-    words = words.repartition(buckets, "bucket").distinct()
+    words = words.repartition(buckets, "bucket")
     table = _piece_table(spark, vocabulary)
     if vocabulary.bpe:
         paths = lattice(words, table, "bucket")
@@ -388,17 +418,16 @@ def encode_pieces(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id
         paths = paths.withColumn("cuts", viterbi_fold(F.col("word"), F.col("edges"), F.col("scores")))
     encoded = paths.select(F.col("bucket").alias("of_bucket"), "word", "cuts")
     answers = asked.groupBy("bucket").cogroup(encoded.groupBy("of_bucket")).applyInArrow(
-        partial(_answer, vocabulary=shared, seams=seams), "chunk int, bucket int, answers binary")
-    out = dealt.repartition(chunks, "chunk").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        partial(_encode_chunk, buckets=buckets), "doc_id long, ids array<int>")
+        partial(_answer, vocabulary=shared, seams=seams), "block long, bucket int, answers binary")
+    out = texts.groupBy("block").cogroup(answers.repartition(buckets, "block").groupBy("block")).applyInArrow(_encode_block, "doc_id long, ids array<int>")
     return out.withColumnRenamed("doc_id", id_col)
 
 
 def decode_ids(ids: list[int], table: list[str | int | None]) -> str:
-    """Text of piece ids. `table` has a piece's text, a byte's number, or None for pieces that stand for nothing."""
+    """Text of piece ids. `table` has a piece's text, a byte's number, or None for pieces that stand for nothing, as do ids outside it."""
     out = bytearray()
     for i in ids:
-        piece = table[i]
+        piece = table[i] if 0 <= i < len(table) else None
         if isinstance(piece, int):
             out.append(piece)
         elif piece is not None:
