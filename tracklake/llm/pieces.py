@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 from tracklake.llm.common import groups_of
 from tracklake.session import fresh_path
 
-CHUNK_CHARS = 32_000_000
+CHUNK_CHARS = 20_000_000
 LEAST_BUCKETS = 32
-HELD_WORDS = 1_000_000  # distinct words after which a block ends
-SLICE_WORDS = 1_000_000
+HELD_WORDS = 500_000  # distinct words after which a block ends
+SLICE_WORDS = 200_000
 LATTICE_CHARS = 48  # longer parts are folded in Python, with the same rule
 SPACE = "▁"
 _WORD = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
@@ -251,12 +251,14 @@ def fold_word(word: str, vocabulary: Vocabulary) -> list[int]:
 
 
 def _packed(*arrays: np.ndarray) -> bytes:
-    """Arrays of 32-bit numbers one after the other, compressed."""
-    return zstandard.ZstdCompressor(level=3).compress(b"".join(a.astype("<i4").tobytes() for a in arrays))
+    """Arrays of 32-bit numbers one after the other, compressed with all lowest bytes first, as the high ones are mostly zero."""
+    numbers = np.concatenate(arrays).astype("<i4")
+    return zstandard.ZstdCompressor(level=3).compress(numbers.view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
 def _unpacked(blob: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), "<i4")
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
 
 
 def _listed(words: list[str]) -> bytes:
@@ -310,6 +312,8 @@ def _blocks(batches: Iterator[pa.RecordBatch], buckets: int, chars: int) -> Iter
                 ids, counts, runs, numbers, held = [], [], [], _Numbers(), 0
     if ids:
         yield _block(block, ids, counts, runs, numbers, buckets)
+    del ids, counts, runs, numbers
+    pa.default_memory_pool().release_unused()  # the worker is kept for the next stages
 
 
 def _parts(batches: Iterator[pa.RecordBatch], seams) -> Iterator[pa.RecordBatch]:
@@ -398,7 +402,8 @@ def encode_pieces(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id
     path = fresh_path(spark, "piece_blocks")
     name = re.sub(r"\W", "_", path.rsplit("/", 1)[1])
     blocks = every.mapInArrow(partial(_blocks, buckets=buckets, chars=chunk_chars), BLOCK_SCHEMA)
-    blocks.write.partitionBy("kind").bucketBy(buckets, "block").option("path", path).saveAsTable(name, format="parquet")
+    # The blobs are compressed already, and Parquet's codecs would hold whole pages of them outside the heap.
+    blocks.write.option("compression", "uncompressed").partitionBy("kind").bucketBy(buckets, "block").option("path", path).saveAsTable(name, format="parquet")
     texts = spark.table(name).where("kind = 0").select("block", "doc_ids", "blob")
     asked = spark.table(name).where("kind = 1").select("block", "bucket", "blob").repartition(buckets, "bucket")
     shared, seams = spark.sparkContext.broadcast(vocabulary), spark.sparkContext.broadcast(Seams(vocabulary))
