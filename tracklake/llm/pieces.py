@@ -27,7 +27,8 @@ from tracklake.llm.common import groups_of
 from tracklake.session import fresh_path
 
 CHUNK_CHARS = 20_000_000
-LEAST_BUCKETS = 32
+BUCKET_CHARS = 4_000_000  # text for each bucket of words, so that a task sorts few lattices
+LEAST_BUCKETS = 64
 HELD_WORDS = 500_000  # distinct words after which a block ends
 SLICE_WORDS = 200_000
 LATTICE_CHARS = 48  # longer parts are folded in Python, with the same rule
@@ -398,12 +399,13 @@ def encode_pieces(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id
     spark = docs.sparkSession
     every = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     total = every.agg(F.sum(F.length("text"))).first()[0] or 0
-    buckets = max(LEAST_BUCKETS, -(-total // chunk_chars))
+    buckets = max(LEAST_BUCKETS, -(-total // min(BUCKET_CHARS, chunk_chars)))
+    lanes = max(LEAST_BUCKETS, -(-total // chunk_chars))
     path = fresh_path(spark, "piece_blocks")
     name = re.sub(r"\W", "_", path.rsplit("/", 1)[1])
     blocks = every.mapInArrow(partial(_blocks, buckets=buckets, chars=chunk_chars), BLOCK_SCHEMA)
     # The blobs are compressed already, and Parquet's codecs would hold whole pages of them outside the heap.
-    blocks.write.option("compression", "uncompressed").partitionBy("kind").bucketBy(buckets, "block").option("path", path).saveAsTable(name, format="parquet")
+    blocks.write.option("compression", "uncompressed").partitionBy("kind").bucketBy(lanes, "block").option("path", path).saveAsTable(name, format="parquet")
     texts = spark.table(name).where("kind = 0").select("block", "doc_ids", "blob")
     asked = spark.table(name).where("kind = 1").select("block", "bucket", "blob").repartition(buckets, "bucket")
     shared, seams = spark.sparkContext.broadcast(vocabulary), spark.sparkContext.broadcast(Seams(vocabulary))
@@ -424,7 +426,7 @@ def encode_pieces(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id
     encoded = paths.select(F.col("bucket").alias("of_bucket"), "word", "cuts")
     answers = asked.groupBy("bucket").cogroup(encoded.groupBy("of_bucket")).applyInArrow(
         partial(_answer, vocabulary=shared, seams=seams), "block long, bucket int, answers binary")
-    out = texts.groupBy("block").cogroup(answers.repartition(buckets, "block").groupBy("block")).applyInArrow(_encode_block, "doc_id long, ids array<int>")
+    out = texts.groupBy("block").cogroup(answers.repartition(lanes, "block").groupBy("block")).applyInArrow(_encode_block, "doc_id long, ids array<int>")
     return out.withColumnRenamed("doc_id", id_col)
 
 
