@@ -3,34 +3,41 @@
 1. Every document becomes a set of shingle hashes; equal sets are reduced to one representative.
 2. Index: sets that reach the threshold share a shingle of their prefixes. The order that makes prefixes puts rare
    shingles first, so common phrases hardly index anything.
-3. Short lists give candidate pairs: a list is sorted by set size, blocks of too small sets are skipped, and a
-   pair is skipped whose places in the two sets leave too few shingles to share. Long lists are cut into
-   tiles of two blocks of sets instead, so no list is enumerated in one task and no pairs are written.
-4. Groups of candidates fetch their texts once and are joined exactly. Overlaps of a set with all others of the
+3. Sets whose prefixes end in the same common shingle meet in small groups and are joined there. Clusters of near
+   copies become components so, and no pair inside one is looked at again.
+4. Lists give candidate pairs. A list is sorted by set size, blocks of too small sets are skipped, and so is a pair
+   whose places in the two sets leave too few shingles to share. Lists of common shingles are cut into ranges of sizes
+   and blocks of entries first; tiles of ranges too far apart, or of one component, are never made.
+5. Candidates meet in groups of bounded weight and are joined exactly. Overlaps of a set with all others of the
    group are derived from those of the most similar set done before, from the few shingles in which both differ.
+
+Lists ship numbers only; a text goes to its group of step 3 and to those of its candidates.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator, Sequence
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructType
 
 from tracklake.llm.common import components, groups_of
 from tracklake.llm.tile_join import Forest
 from tracklake.llm.words import _WORD_BASE, grams, polynomial, split_words, text_column
 from tracklake.session import stage
 
-SHORT_LIST = 64
-TILE_BLOCK = 512
-COMMON_SHARE = 0.001
+TILE_BLOCK = 1024
+COMMON_SHARE = 0.0002
+GROUP_SETS = 256  # members of a group that are joined in one step
+GROUP_SHINGLES = 1 << 20  # and about as many shingles
 _FLUSH = 4 << 20
+_PAIRS = 1 << 18
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -53,13 +60,13 @@ def needed(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def in_order(found: np.ndarray, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """A set in index order: shingles that are not common by hash, then common ones, the rarest first."""
+def in_order(found: np.ndarray, common: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
+    """A set in index order, shingles that are not common by hash, then common ones, the rarest first; and how many are not."""
     if not len(common):
-        return found
+        return found, len(found)
     at = np.minimum(np.searchsorted(common, found), len(common) - 1)
     weight = np.where(common[at] == found, counts[at], 0)
-    return found[np.lexsort((found, weight))] if weight.any() else found
+    return found[np.lexsort((found, weight))] if weight.any() else found, int((weight == 0).sum())
 
 
 def _common(batches: Iterator[pa.RecordBatch], size: int, share: float) -> Iterator[pa.RecordBatch]:
@@ -104,9 +111,10 @@ def _index(batches: Iterator[pa.RecordBatch], size: int, percent: int, shared, c
         held: list[tuple] = []
         for place, found in shingle_sets(text_column(batch, "text"), size):
             n = len(found)
-            first = in_order(found, common, counts)[: n - needed(n, percent) + 1] if n else found
+            ordered, rare = in_order(found, common, counts)
+            first = ordered[: n - needed(n, percent) + 1] if n else found
             sign = hashlib.blake2b(found.tobytes(), digest_size=16).digest() if n else None
-            held.append((place, n, sign, first.view(np.int64)))
+            held.append((place, n, sign, first.view(np.int64), max(0, len(first) - rare)))
             if len(held) >= 2000:
                 yield _index_rows(ids, held, carry)
                 held = []
@@ -115,43 +123,92 @@ def _index(batches: Iterator[pa.RecordBatch], size: int, percent: int, shared, c
 
 
 def _index_rows(ids: list[pa.Array], held: list[tuple], carry: Sequence[str]) -> pa.RecordBatch:
-    places, sizes, signs, prefixes = zip(*held)
+    places, sizes, signs, prefixes, n_common = zip(*held)
     offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
     lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(prefixes)))
     first, *more = (c.take(pa.array(places)) for c in ids)
     return pa.RecordBatch.from_arrays(
-        [first, pa.array(sizes, pa.int64()), pa.array(signs, pa.binary()), lists, *more],
-        names=["doc_id", "n_shingles", "sign", "prefix", *carry])
+        [first, pa.array(sizes, pa.int64()), pa.array(signs, pa.binary()), lists, pa.array(n_common, pa.int32()), *more],
+        names=["doc_id", "n_shingles", "sign", "prefix", "n_common", *carry])
+
+
+def _met(rep: np.ndarray, size: np.ndarray, place: np.ndarray, percent: int, part: np.ndarray | None = None,
+         side: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, ...]]:
+    """Pairs of sets of one list whose sizes allow a link: both ids, the shingles to spare after their places in the list,
+    and the prefix shingles they must share. Sets of one part are no pair, and with sides, neither are those of one side."""
+    order = np.argsort(size, kind="stable")
+    n, ids, left = size[order], rep[order], (size - place - 1)[order]
+    part = part[order] if part is not None else None
+    side = side[order] if side is not None else None
+    starts = np.searchsorted(n, -(-percent * n // 100))  # smaller sets before are one skipped block
+    for k in range(1, len(n)):
+        j = np.arange(starts[k], k)
+        if part is not None:
+            j = j[part[j] != part[k]]
+        if side is not None:
+            j = j[side[j] != side[k]]
+        if len(j):
+            # What is missing: by place after this shingle, and in shared prefix shingles over all lists.
+            least = -(-percent * (n[k] + n[j]) // (100 + percent))
+            # The set whose prefix ends first in the order adds at most what follows its prefix.
+            rest = np.maximum(-(-percent * n[k] // 100), -(-percent * n[j] // 100)) - 1
+            yield np.minimum(ids[k], ids[j]), np.maximum(ids[k], ids[j]), 1 + np.minimum(left[k], left[j]) - least, least - rest
+
+
+def _in_batches(pairs: Iterator[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    held: list[tuple[np.ndarray, ...]] = []
+    total = 0
+
+    def rows() -> pa.RecordBatch:
+        columns = [np.concatenate(c) for c in zip(*held)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["x", "y", "slack", "shared"])
+
+    for some in pairs:
+        held.append(some)
+        total += len(some[0])
+        if total >= _PAIRS:
+            yield rows()
+            held, total = [], 0
+    if held:
+        yield rows()
 
 
 def _list_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of sets in a list whose sizes allow a link, with the overlap that their places in the list leave possible."""
-    for batch in batches:
-        column = batch.column("entries")
-        flat = column.flatten()
-        rep = flat.field("rep").to_numpy()
-        meta = flat.field("meta").to_numpy()
-        size, place = meta >> 32, meta & 0xFFFFFFFF
-        offsets = column.offsets.to_numpy()
-        offsets = offsets - offsets[0]
-        a_out, b_out, gaps = [], [], []
-        for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-            order = lo + np.argsort(size[lo:hi], kind="stable")
-            n, left, ids = size[order], size[order] - place[order] - 1, rep[order]
-            starts = np.searchsorted(n, -(-percent * n // 100))  # smaller sets before are one skipped block
-            for k in range(1, hi - lo):
-                j = np.arange(starts[k], k)
-                # What is missing: by place after this shingle, and in shared prefix shingles over all lists.
-                least = -(-percent * (n[k] + n[j]) // (100 + percent))
-                a_out.append(np.full(len(j), ids[k]))
-                b_out.append(ids[j])
-                # The set whose prefix ends first in the order adds at most what follows its prefix.
-                rest = np.maximum(-(-percent * n[k] // 100), -(-percent * n[j] // 100)) - 1
-                gaps.append(np.stack([1 + np.minimum(left[k], left[j]) - least, least - rest], 1))
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a_out, b_out))
-        gap = np.concatenate(gaps) if gaps else np.zeros((0, 2), np.int64)
-        columns = (np.minimum(a, b), np.maximum(a, b), gap[:, 0], gap[:, 1])
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["x", "y", "slack", "shared"])
+    """Pairs of the lists of shingles that are not common, from entries sorted by shingle."""
+
+    def pairs() -> Iterator[tuple[np.ndarray, ...]]:
+        held = np.zeros((3, 0), np.int64)
+        for batch in batches:
+            now = np.stack([batch.column(c).to_numpy() for c in ("token", "rep", "meta")])
+            held = np.concatenate([held, now], 1)
+            if not held.shape[1]:
+                continue
+            cuts = np.flatnonzero(np.diff(held[0])) + 1
+            if len(cuts):  # the last list may go on in the next batch
+                yield from lists(held[:, : cuts[-1]], cuts[:-1])
+                held = held[:, cuts[-1] :]
+        if held.shape[1]:
+            yield from lists(held, np.zeros(0, np.int64))
+
+    def lists(rows: np.ndarray, cuts: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        bounds = np.concatenate([[0], cuts, [rows.shape[1]]])
+        for at in np.flatnonzero(np.diff(bounds) > 1).tolist():
+            rep, meta = rows[1:, bounds[at] : bounds[at + 1]]
+            yield from _met(rep, meta >> 32, meta & 0xFFFFFFFF, percent)
+
+    return _in_batches(pairs())
+
+
+def _tile_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of the tiles of common shingles' lists: of both sides, or of the one block that meets itself."""
+
+    def pairs() -> Iterator[tuple[np.ndarray, ...]]:
+        for group in groups_of(batches, "tile"):
+            rep, meta, part, side = (group.column(c).to_numpy() for c in ("rep", "meta", "part", "side"))
+            alone = group.column("alone")[0].as_py()
+            yield from _met(rep, meta >> 32, meta & 0xFFFFFFFF, percent, part, None if alone else side)
+
+    return _in_batches(pairs())
 
 
 def set_links(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -190,12 +247,25 @@ def set_links(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, np.nd
         yield i, np.flatnonzero((done > 0) & (100 * done >= percent * (sizes[i] + sizes[:i] - done)))
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed for their way to a group."""
+    codec = pa.Codec("zstd")
+    for batch in batches:
+        raw = [v.as_buffer() for v in batch.column("text").cast(pa.binary())]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("member"), pa.array([len(v) for v in raw], pa.int64()), pa.array([codec.compress(v, asbytes=True) for v in raw], pa.binary())],
+            names=["member", "bytes", "body"])
+
+
 def _join_groups(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Links that connect the sets of each group: a spanning forest of its links."""
+    codec = pa.Codec("zstd")
     a_out: list[int] = []
     b_out: list[int] = []
     for group in groups_of(batches, "grp"):
-        ids = group.column("member").to_pylist()
-        sets = [s for _, s in shingle_sets(group.column("text").combine_chunks(), size)]
+        ids, lengths = group.column("member").to_pylist(), group.column("bytes").to_pylist()
+        texts = pa.array([codec.decompress(v.as_buffer(), n, asbytes=True) for v, n in zip(group.column("body"), lengths)], pa.large_binary())
+        sets = [s for _, s in shingle_sets(texts, size)]
         forest = Forest(len(ids))
         for i, linked in set_links(sets, percent):
             for j in linked.tolist():
@@ -208,15 +278,69 @@ def _join_groups(batches: Iterator[pa.RecordBatch], size: int, percent: int) ->
     yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
 
 
+def _size_range(percent: int) -> Column:
+    """Sets that link are of one range or of two that follow each other; a little wider than needed, for rounding."""
+    return F.floor(F.log(F.col("n_shingles").cast("double")) / F.lit(math.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1.0)).cast("int")
+
+
+def _grouped_links(members: DataFrame, keys: Sequence[str], texts: DataFrame, size: int, percent: int, group_sets: int) -> DataFrame:
+    """Links within groups of sets: columns `keys`, `leader`, `member` and `n_shingles`.
+
+    A group over `group_sets` members or GROUP_SHINGLES is cut by hash into parts, and its leader is in each of them.
+    """
+    weight = F.greatest(F.col("rows") / F.lit(group_sets), F.col("rows") * F.col("longest") / F.lit(GROUP_SHINGLES))
+    wide = members.groupBy(*keys).agg(F.count("*").alias("rows"), F.max("n_shingles").alias("longest"))
+    dealt = members.join(wide.withColumn("parts", F.ceil(weight).cast("int")).select(*keys, "parts"), list(keys))
+    dealt = dealt.select(F.concat_ws("/", *keys, F.pmod(F.xxhash64("member"), "parts")).alias("grp"), "leader", "member")
+    asked = dealt.select("grp", "member").unionByName(dealt.select("grp", F.col("leader").alias("member"))).distinct()
+    packed = texts.withColumnRenamed("doc_id", "member").mapInArrow(_pack, "member long, bytes long, body binary")
+    grouped = asked.join(packed, "member").repartition("grp").sortWithinPartitions("grp")
+    return stage(grouped.mapInArrow(partial(_join_groups, size=size, percent=percent), "a long, b long"))
+
+
+def _tiles(entries: DataFrame, tile_block: int) -> DataFrame:
+    """Tiles of the lists of common shingles: token, rep, meta, cls and part become tile, side, alone, rep, meta, part.
+
+    A list is cut into ranges of set sizes, and a range into its most frequent part and the rest, each in blocks of about
+    `tile_block`. Blocks meet whose ranges are the same or follow each other, but not two blocks of one part.
+    """
+    counted = entries.groupBy("token", "cls", "part").agg(F.count("*").alias("n"))
+    ranges = counted.groupBy("token", "cls").agg(F.max(F.struct("n", "part")).alias("top"), F.sum("n").alias("n"))
+    blocks = F.ceil(F.col("n") / F.lit(tile_block)).cast("int")
+    units = stage(
+        ranges.select("token", "cls", F.lit(1).alias("main"), F.col("top.part").alias("top"), F.col("top.n").alias("n"))
+        .unionByName(ranges.select("token", "cls", F.lit(0).alias("main"), F.lit(None).cast("long").alias("top"), (F.col("n") - F.col("top.n")).alias("n")))
+        .where("n > 0").select("token", "cls", "main", "top", blocks.alias("blocks")))
+    l, r = units.alias("l"), units.alias("r")
+    near = (F.col("l.token") == F.col("r.token")) & (
+        ((F.col("r.cls") == F.col("l.cls")) & (F.col("l.main") <= F.col("r.main"))) | (F.col("r.cls") == F.col("l.cls") + 1))
+    meet = stage(l.join(r, near).where("NOT (l.main = 1 AND r.main = 1 AND l.top = r.top)").select(
+        F.col("l.token").alias("token"), *(F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "lr" for c in ("cls", "main", "blocks"))))
+    placed = entries.join(ranges.select("token", "cls", F.col("top.part").alias("top")), ["token", "cls"]).withColumn(
+        "main", (F.col("part") == F.col("top")).cast("int"))
+    same = F.expr("l_cls = r_cls AND l_main = r_main")
+    out = []
+    for side, (me, you) in enumerate(("lr", "rl")):
+        seen = placed.alias("e").join(meet.alias("m"), (F.col("e.token") == F.col("m.token")) & (F.col("e.cls") == F.col(f"m.{me}_cls")) & (F.col("e.main") == F.col(f"m.{me}_main")))
+        seen = seen.select("m.*", "rep", "meta", "part", F.pmod(F.xxhash64("rep"), F.col(f"{me}_blocks")).cast("int").alias(me),
+                           F.explode(F.sequence(F.lit(0), F.col(f"{you}_blocks") - 1)).alias(you))
+        # A unit that meets itself: each two blocks once, and a block alone on the left.
+        seen = seen.where(~same | (F.col("l") <= F.col("r") if side == 0 else F.col("l") < F.col("r")))
+        tile = F.concat_ws("/", "token", "l_cls", "l_main", "l", "r_cls", "r_main", "r")
+        out.append(seen.select(tile.alias("tile"), F.lit(side).alias("side"), (same & (F.col("l") == F.col("r"))).alias("alone"), "rep", "meta", "part"))
+    return out[0].unionByName(out[1])
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, percent: int = 85,
-                       short_list: int = SHORT_LIST, tile_block: int = TILE_BLOCK, share: float = COMMON_SHARE, carry: Sequence[str] = ()) -> DataFrame:
+                       tile_block: int = TILE_BLOCK, share: float = COMMON_SHARE, group_sets: int = GROUP_SETS, carry: Sequence[str] = ()) -> DataFrame:
     """One row per input row: id, n_shingles, component_id (smallest id reachable by links, itself included).
 
     A document's set: distinct shingles of `size` words of the text with A-Z lower-cased; with fewer words, the whole
     sequence as one. Documents link when 100 * intersection >= percent * union. Null and empty texts have no set and
     link with nothing. Rows without an id have a null component. Rows with one id are one vertex. An empty table
-    gives an empty result. Shingles are compared by 64-bit hashes. All links between different sets are found; a
-    list of common shingles is cut into tiles of 2 * tile_block sets, whose number grows with the list's square.
+    gives an empty result. Shingles are compared by 64-bit hashes. Every pair of sets that links is joined, unless
+    other links connect it already. A list of a shingle that is not common is one sorted run in a task, at most
+    some `share` of the documents at 24 bytes; others are cut into tiles of 2 * tile_block entries.
     Columns named in `carry` are added to their rows.
     """
     spark = docs.sparkSession
@@ -224,36 +348,40 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                              *(F.col(f"`{c}`") for c in carry))
     texts = everything.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
     shared = spark.sparkContext.broadcast(common_shingles(texts, size, share))
-    schema = StructType().add("doc_id", LongType()).add("n_shingles", LongType()).add("sign", BinaryType()).add("prefix", ArrayType(LongType()))
+    schema = StructType().add("doc_id", LongType()).add("n_shingles", LongType()).add("sign", BinaryType())
+    schema = schema.add("prefix", ArrayType(LongType())).add("n_common", IntegerType())
     for c in carry:
         schema.add(c, docs.schema[c].dataType)
     index = stage(everything.mapInArrow(partial(_index, size=size, percent=percent, shared=shared, carry=carry), schema))
     usable = index.where("doc_id IS NOT NULL AND sign IS NOT NULL")
     reps = usable.groupBy("sign").agg(F.min("doc_id").alias("rep"))
-    single = usable.select(F.col("doc_id").alias("rep"), "sign", "n_shingles", "prefix").join(reps, ["rep", "sign"])
+    single = stage(usable.select(F.col("doc_id").alias("rep"), "sign", "n_shingles", "prefix", "n_common").join(reps, ["rep", "sign"]).drop("sign"))
+    cls = _size_range(percent)
+
+    # Clusters: the last shingle of a prefix is its most common one.
+    last = single.where("n_common > 0").select(F.element_at("prefix", -1).alias("token"), cls.alias("cls"), F.col("rep").alias("member"), "n_shingles")
+    leaders = last.groupBy("token", "cls").agg(F.min("member").alias("leader"), F.count("*").alias("n")).where("n > 2").drop("n")
+    clusters = _grouped_links(last.join(leaders, ["token", "cls"]), ("token", "cls"), texts, size, percent, group_sets)
+    known = components(clusters)
+
     meta = F.shiftleft("n_shingles", 32) + F.col("place").cast("long")
-    postings = single.select("rep", "n_shingles", F.posexplode("prefix").alias("place", "token")).select("token", "rep", meta.alias("meta"))
-    lengths = postings.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
-    lists = stage(postings.join(lengths, "token"))
-    short = lists.where(F.col("n") <= short_list).groupBy("token").agg(F.collect_list(F.struct("rep", "meta")).alias("entries"))
-    seen = short.select("entries").mapInArrow(partial(_list_pairs, percent=percent), "x long, y long, slack long, shared long")
-    # A pair must pass the place test at its first shared shingle, and share enough prefix shingles. Pairs that also
-    # meet in long lists share more than is counted here, but their tiles find them.
+    postings = single.select("rep", "n_shingles", (F.size("prefix") - F.col("n_common")).alias("rare"), F.posexplode("prefix").alias("place", "token"))
+    rare = postings.where("place < rare").select("token", "rep", meta.alias("meta")).repartition("token").sortWithinPartitions("token")
+    form = "x long, y long, slack long, shared long"
+    seen = rare.mapInArrow(partial(_list_pairs, percent=percent), form)
+    common = postings.where("place >= rare").join(known, F.col("rep") == F.col("vertex"), "left").select(
+        "token", "rep", meta.alias("meta"), cls.alias("cls"), F.coalesce("component", "rep").alias("part"))
+    tiles = _tiles(stage(common), tile_block).repartition("tile").sortWithinPartitions("tile")
+    seen = seen.unionByName(tiles.mapInArrow(partial(_tile_pairs, percent=percent), form))
+    # A pair must pass the place test at its first shared shingle, and share enough prefix shingles over all lists.
     met = seen.where("x <> y").groupBy("x", "y").agg(F.count("*").alias("c"), F.max("slack").alias("slack"), F.max("shared").alias("shared"))
-    pairs = stage(met.where("slack >= 0 AND c >= shared").select("x", "y"))
-    blocks = F.ceil(F.col("n") / F.lit(tile_block)).cast("int")
-    dealt = lists.where(F.col("n") > short_list).select(
-        "token", "rep", blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"))
-    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    tile = F.concat_ws("/", "token", F.least("block", "other"), F.greatest("block", "other"))
-    asked = (
-        pairs.select(F.concat(F.lit("p"), "x").alias("grp"), F.col("y").alias("member"))
-        .unionByName(pairs.select(F.concat(F.lit("p"), "x").alias("grp"), F.col("x").alias("member")).distinct())
-        .unionByName(dealt.select(tile.alias("grp"), F.col("rep").alias("member")))
-    )
-    fetched = asked.join(texts.withColumnRenamed("doc_id", "member"), "member")
-    grouped = fetched.repartition("grp").sortWithinPartitions("grp")
-    links = stage(grouped.mapInArrow(partial(_join_groups, size=size, percent=percent), "a long, b long"))
+    pairs = met.where("slack >= 0 AND c >= shared").select("x", "y")
+    for end in ("x", "y"):
+        pairs = pairs.join(known.select(F.col("vertex").alias(end), F.col("component").alias(f"of_{end}")), end, "left")
+    pairs = stage(pairs.where("coalesce(of_x, x) <> coalesce(of_y, y)").select("x", "y"))
+    sizes = single.select(F.col("rep").alias("y"), "n_shingles").distinct()
+    asked = pairs.join(sizes, "y").select("x", F.col("x").alias("leader"), F.col("y").alias("member"), "n_shingles")
+    links = clusters.unionByName(_grouped_links(asked, ("x",), texts, size, percent, group_sets))
     parts = components(links)
     named = reps.join(parts, F.col("rep") == F.col("vertex"), "left").select(
         "sign", F.coalesce("component", "rep").alias("least"))
