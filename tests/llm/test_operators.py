@@ -98,6 +98,33 @@ def test_jaccard(docs, size, percent, options):
     assert jaccard_components(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("short_list", "tile_block"), [(64, 512), (3, 7)])
+def test_jaccard_clusters(spark, short_list, tile_block):
+    """Near copies of a few texts, so that most shingles are common, among others that share only a phrase; repeated rows."""
+    rng = np.random.default_rng(5)
+    phrase = " ".join(f"p{k}" for k in range(30))
+    texts = []
+    for base in range(4):
+        words = np.array([f"b{base}w{k}" for k in range(40 + 25 * base)], object)
+        for _ in range(25):
+            now = words.copy()
+            now[rng.integers(0, len(now), int(rng.integers(0, 3)))] = "x%d" % rng.integers(0, 1000)
+            texts.append(" ".join(now[: len(now) - int(rng.integers(0, 4))]))
+    texts += [phrase + " " + " ".join(f"u{i}v{k}" for k in range(int(rng.integers(0, 9)))) for i in range(40)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(0, texts[0])] * 2
+    sets = {i: shingles(t, 4) for i, t in enumerate(texts)}
+    part = {i: i for i in sets}
+    for _ in range(6):
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                    part[a] = part[b] = min(part[a], part[b])
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = jaccard_components(frame, short_list=short_list, tile_block=tile_block, share=0.02).collect()
+    assert {tuple(r) for r in got} == {(i, len(sets[i]), part[i]) for i in sets} and len(got) == len(rows)
+    assert len(set(part.values())) < len(part) / 2
+
+
 def test_derived_answers_equal_direct_ones():
     rng = np.random.default_rng(0)
     base = np.unique(rng.integers(0, 1 << 60, 100).astype(np.uint64))
