@@ -351,3 +351,12 @@ def test_texts_made_in_the_row_equal_gathered_ones(spark, sf_dir):
     texts = emitters.vessel_state_texts(mapped, keep=("seq",))
     assert rows_of(texts.drop("seq")) == rows_of(packing.ntriples_messages(emitters.vessel_state_graphs(mapped)))
     assert "Exchange hash" not in texts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_triples_are_not_gathered_on_the_driver_to_be_looked_up(spark, sf_dir):
+    p = driver.pings(spark, sf_dir)
+    graph = emitters.track_graphs(tracks.build_tracks(p), only=tr.of_type("ParticularPeriod"))
+    some = graph.select("s", "p", "o").distinct().where(F.xxhash64("s") % 3 == 0)
+    found = tr.contained(some, graph, scope=())
+    assert found.count() == some.count() > 0
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
