@@ -46,3 +46,31 @@ def test_counts_totals_and_labels(spark):
     assert [(r.short_name, r.label) for r in bars] == [("ies:Port", "rate=0.3 count=3")]
     rolled = {r.msg_id: (r.trip_rate, r.msg_rate) for r in monitor.rolling_rates(counts).collect()}
     assert rolled == {1: (None, None), 2: (0.5, 0.2), 3: (0.3, 0.15)}
+
+
+def test_counts_of_watched_messages_shuffle_no_triples(spark, sf_dir):
+    """Pings are dealt by message to tasks of bounded size before they become triples, and grouped where they are."""
+    from tracklake.operators import monitor
+    from tracklake.plans import queries
+    from tracklake.session import deal
+
+    for count in (monitor.class_counts, monitor.message_counts):
+        plan = count(queries._watched(spark, sf_dir))._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in plan
+    assert deal(spark.range(1000), "id", rows=10).rdd.getNumPartitions() == 100
+
+
+def test_newest_of_a_task_are_kept_batch_by_batch():
+    import random
+
+    import pyarrow as pa
+
+    from tracklake.operators.monitor import newest_in_task
+
+    rnd = random.Random(3)
+    rows = [(rnd.choice("abc"), rnd.choice([None, *range(9)]), k, 1) for k in range(200)]
+    columns = lambda part: pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*part)], ["class", "ts", "msg_id", "n"])
+    batches = [columns(rows[i : i + 17]) for i in range(0, 200, 17)]
+    got = sorted((r["class"], r["msg_id"]) for b in newest_in_task(["class"], ["ts", "msg_id"], 5)(iter(batches)) for r in b.to_pylist())
+    order = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+    assert got == sorted((c, r[2]) for c in "abc" for r in [r for r in order if r[0] == c][-5:])

@@ -154,3 +154,39 @@ def test_only_a_single_process_gets_a_folder_of_its_own():
     for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://https://host"):
         with pytest.raises(RuntimeError):
             shared_folder(session(master))
+
+
+def test_slices_of_sorted_rows_keep_equal_rows_and_keys_apart():
+    """Whatever batches the rows come in: a slice has `size` rows and those equal to its last, and one key."""
+    import random
+
+    import numpy as np
+    import pandas as pd
+
+    from tracklake.operators.ordered import _slices_of
+
+    rnd = random.Random(5)
+    for _ in range(60):
+        rows = sorted((rnd.randrange(4), rnd.randrange(30)) for _ in range(rnd.randrange(1, 120)))
+        size, step = rnd.randrange(1, 12), rnd.randrange(1, 40)
+        batches = [pd.DataFrame(rows[i : i + step], columns=["_hot", "_o0"]) for i in range(0, len(rows), step)]
+        got = [tuple(int(v) for v in r) for out in _slices_of(size)(iter(batches)) for r in out.to_numpy(np.int64)]
+        want = []
+        for i, row in enumerate(rows):
+            if i and row[0] == want[-1][0] and (want[-1][2] < size or row == rows[i - 1]):
+                want[-1][2] += 1
+            else:
+                want.append([*row, 1])
+        assert got == [tuple(w) for w in want]
+
+
+def test_split_points_of_many_slices_need_few_tasks(spark, monkeypatch):
+    """Ranges hold many slices: neither the tasks nor Spark's sample for the ranges grow with the slices."""
+    from tracklake.operators import ordered
+
+    df = spark.range(3000).select(F.timestamp_seconds(F.col("id")).alias("ts"), F.col("id").alias("seq"))
+    kind, made = type(df), []
+    ranged = kind.repartitionByRange
+    monkeypatch.setattr(kind, "repartitionByRange", lambda self, n, *columns: made.append(n) or ranged(self, n, *columns))
+    out = ordered.keyed_index(df, [], ["ts", "seq"], limit=10)
+    assert made == [1] and out.where("rn != seq + 1").count() == 0 and out.count() == 3000

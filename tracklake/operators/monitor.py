@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +16,7 @@ from .ordered import DEFAULT_LIMIT, HotKeys, look_back
 from .triples import is_typing
 
 SAMPLE = 5
+HELD_ROWS = 50_000  # newest rows of all names that a task holds before it sends them on
 
 
 def message_counts(triples: DataFrame) -> DataFrame:
@@ -75,13 +81,54 @@ def class_rates(
     return look_back(counts, ["class"], ["ts", "msg_id"], sample - 1, add, hot=hot, limit=limit)
 
 
+def newest_in_task(keys: list[str], order: list[str], few: int, condense: Callable[[pa.Table], pa.Table] | None = None):
+    """For `mapInArrow`: of each task's rows, the last `few` of every key in `order`, nulls before all values. `condense`
+    makes few rows of the others, which are dropped without it.
+
+    What a task holds is `few` rows a key; with more than `HELD_ROWS` of them it sends them on and begins anew.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = _newest(table if held is None else pa.concat_tables([held, table]), keys, order, few, condense)
+            if len(held) > HELD_ROWS:
+                yield from held.to_batches()
+                held = None
+        if held is not None:
+            yield from held.to_batches()
+
+    return run
+
+
+def _newest(table: pa.Table, keys: list[str], order: list[str], few: int, condense) -> pa.Table:
+    group = np.zeros(len(table), dtype=np.int64)
+    for key in keys:
+        codes = table[key].combine_chunks().dictionary_encode(null_encoding="encode")
+        group = group * len(codes.dictionary) + codes.indices.to_numpy(zero_copy_only=False)
+    numbered = table.append_column("_group", pa.array(group))
+    wanted = [("_group", "ascending"), *((c, "descending") for c in order)]
+    at = pc.sort_indices(numbered, sort_keys=wanted, null_placement="at_end").to_numpy()
+    ordered = group[at]
+    starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]][: len(at)])
+    place = np.arange(len(at)) - np.repeat(starts, np.diff(np.r_[starts, len(at)]))
+    last = table.take(pa.array(at[place < few]))
+    if condense is None:
+        return last
+    return pa.concat_tables([last, condense(table.take(pa.array(at[place >= few])))]).combine_chunks()
+
+
 def newest_rates(counts: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Each class's newest rate and its total, as `latest_rates` of `class_rates`, without the rates in between.
 
-    Only the last `sample` messages of a class in each task are shuffled, and one count per class and task.
+    Only the last `sample` messages of a class in each task are shuffled, and one count per class and task. A task picks
+    its last messages batch by batch and sorts no more than a batch and what it holds.
     """
     last = Window.partitionBy("class").orderBy(F.desc("ts"), F.desc("msg_id"))
-    few = counts.withColumn("_rn", F.row_number().over(last)).where(F.col("_rn") <= sample)
+    picked = counts.select("class", "ts", "msg_id", "n")
+    picked = picked.mapInArrow(newest_in_task(["class"], ["ts", "msg_id"], sample), picked.schema)
+    few = picked.withColumn("_rn", F.row_number().over(last)).where(F.col("_rn") <= sample)
     newest, oldest = F.max(F.when(F.col("_rn") == 1, F.unix_micros("ts"))), F.min(F.unix_micros("ts"))
     rates = few.groupBy("class").agg(F.sum("n").alias("_n"), (newest - oldest).alias("_span"))
     rates = rates.select("class", F.when(F.col("_span") > 0, F.col("_n") / (F.col("_span") / F.lit(1_000_000.0))).alias("rate"))
