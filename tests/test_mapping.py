@@ -72,3 +72,15 @@ def test_fixed_map_does_not_shuffle_the_rows(spark):
     rows = spark.range(1000).selectExpr("id", "cast(id % 90 as string) AS vessel_type")
     plan = type_rows(rows, vessel_class_map(spark))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_triples_of_dealt_rows_are_gathered_without_a_shuffle(spark, sf_dir):
+    from tracklake.operators import packing
+    from tracklake.sources import driver
+    from tracklake.streaming.mapper import map_messages
+
+    sent = packing.as_messages(packing.pack_json(packing.number_messages(driver.pings(spark, sf_dir))), topic="pings", key="batch_id")
+    dealt, plain = (packing.ntriples_messages(map_messages(sent, tasks=n)[0]) for n in (7, None))
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(graph_id")
+    assert exchanges(dealt) == 1 and "graph_id#" in dealt._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, plain.collect()))

@@ -19,15 +19,20 @@ from ..vocab import DATA
 
 def map_messages(
     messages: DataFrame, *, codec: str = "zlib", shape: str = "batch", layout: str = "ais",
-    uri: UriPolicy | None = None, classes: ClassPolicy | None = None, data_uri: str = DATA,
+    uri: UriPolicy | None = None, classes: ClassPolicy | None = None, data_uri: str = DATA, tasks: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(triples, dead letters) of ping messages. Stateless, so it runs on streams and tables alike.
 
+    With `tasks`, rows are dealt to so many tasks by graph before they become triples: what groups the triples by
+    graph then shuffles none of them.
+
     Each row is a graph of its own: message id and place in the message. Bodies that cannot be decoded or parsed are
     dead letters (graph_id, error, raw: the bytes), and so is every row without a vessel, a time or a position, with the row's
     text and its message; the other rows of its message are mapped.
     """
     mapped, dead = _mapped(parsed_rows(messages, codec, shape), shape, layout, uri, classes)
+    if tasks is not None:
+        mapped = mapped.repartition(tasks, "graph_id")
     return vessel_state_graphs(mapped, data_uri), dead
 
 
