@@ -74,3 +74,18 @@ def test_newest_of_a_task_are_kept_batch_by_batch():
     got = sorted((r["class"], r["msg_id"]) for b in newest_in_task(["class"], ["ts", "msg_id"], 5)(iter(batches)) for r in b.to_pylist())
     order = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
     assert got == sorted((c, r[2]) for c in "abc" for r in [r for r in order if r[0] == c][-5:])
+
+
+def test_totals_of_others_keep_the_newest_of_a_task():
+    """What a task does not send as its newest messages is one row of totals per name and shard."""
+    import pyarrow as pa
+
+    from tracklake.operators.monitor import newest_in_task
+    from tracklake.streaming.monitor import _total
+
+    rows = [(f"c{k % 2}", 0, None if k % 10 == 0 else k, str(k), 1, 2, 1) for k in range(100)]
+    schema = pa.schema([("name", "string"), ("shard", "int32"), ("micros", "int64"), ("msg_id", "string"), ("first", "int64"), ("second", "int64"), ("messages", "int64")])
+    parts = [pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[i : i + 9]), schema)], schema=schema) for i in range(0, 100, 9)]
+    got = [r for b in newest_in_task(["name", "shard"], ["micros", "msg_id"], 5, _total)(iter(parts)) for r in b.to_pylist()]
+    assert len(got) == 12 and sum(r["messages"] for r in got) == sum(r["first"] for r in got) == 100
+    assert sorted(r["micros"] for r in got if r["micros"] is not None) == [88, *range(91, 100)]

@@ -6,11 +6,12 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.monitor import SAMPLE
+from ..operators.monitor import SAMPLE, newest_in_task
 from ..functions.codec import decode_body
 from ..operators.triples import is_typing
 from ..sources.triples import LINE, message_lines, parse_lines, says_something, trimmed
@@ -71,7 +72,7 @@ class NewestMessages(StatefulProcessor):
         recent = [tuple(r) for r in self.recent.get()] if self.recent.exists() else []
         totals = list(self.totals.get()) if self.totals.exists() else [0, 0, 0]
         for batch in rows:
-            totals = [totals[0] + len(batch), totals[1] + int(batch["first"].sum()), totals[2] + int(batch["second"].sum())]
+            totals = [totals[0] + int(batch["messages"].sum()), totals[1] + int(batch["first"].sum()), totals[2] + int(batch["second"].sum())]
             timed = batch[batch["micros"].notna()].sort_values(["micros", "msg_id"]).tail(self.sample)
             found = zip(timed["micros"], timed["msg_id"], timed["first"], timed["second"])
             recent = sorted(recent + [(int(m), i, int(a), int(b)) for m, i, a, b in found])[-self.sample :]
@@ -86,19 +87,29 @@ class NewestMessages(StatefulProcessor):
         pass
 
 
+def _total(others: pa.Table) -> pa.Table:
+    """One row per name and shard, without a time, for messages that are not among the newest."""
+    sums = others.group_by(["name", "shard"]).aggregate([(c, "sum") for c in ("messages", "first", "second")])
+    taken = {"name": sums["name"], "shard": sums["shard"], **{c: sums[f"{c}_sum"] for c in ("messages", "first", "second")}}
+    return pa.table([taken[f.name] if f.name in taken else pa.nulls(len(sums), f.type) for f in others.schema], schema=others.schema)
+
+
 def stream_monitor(counts: DataFrame, sample: int = SAMPLE, shards: int = 16) -> DataFrame:
     """State of the monitor, from the rows of `count_messages`: per trigger, one row for every name and shard that changed.
 
     The name is `messages` for all messages (first: triples, second: objects) and the class for those with instances of it
     (first: instances). Every message and many classes occur all the time, so a name is dealt to shards by message;
     a shard keeps its totals and its newest `sample` messages. `monitor_view` puts the shards together.
+    Each task sends only its newest `sample` messages of a name and shard, and one row with the totals of its others.
     """
     whole = F.struct(F.lit("messages").alias("name"), F.col("trip_count").alias("first"), F.col("obj_count").alias("second"))
     of_class = F.transform("classes", lambda c: F.struct(c["class"].alias("name"), c["n"].alias("first"), F.lit(0).cast("bigint").alias("second")))
     rows = counts.where("trip_count IS NOT NULL").select(
         F.col("msg_id").cast("string").alias("msg_id"), F.unix_micros("ts").alias("micros"), F.explode(F.concat(F.array(whole), of_class)).alias("_e"))
     keyed = rows.select("_e.name", F.pmod(F.xxhash64("msg_id"), F.lit(shards)).cast("int").alias("shard"), "micros", "msg_id", "_e.first", "_e.second")
-    return keyed.groupBy("name", "shard").transformWithStateInPandas(
+    keyed = keyed.withColumn("messages", F.lit(1).cast("bigint"))
+    few = keyed.mapInArrow(newest_in_task(["name", "shard"], ["micros", "msg_id"], sample, _total), keyed.schema)
+    return few.groupBy("name", "shard").transformWithStateInPandas(
         statefulProcessor=NewestMessages(sample), outputStructType=NEWEST, outputMode="Update", timeMode="None")
 
 
