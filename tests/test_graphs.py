@@ -360,3 +360,13 @@ def test_triples_are_not_gathered_on_the_driver_to_be_looked_up(spark, sf_dir):
     found = tr.contained(some, graph, scope=())
     assert found.count() == some.count() > 0
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_graph_files_are_compressed(spark, tmp_path):
+    from pathlib import Path
+
+    row = ("g", "http://e.org/s", "http://e.org/p", "http://e.org/o", "iri", None)
+    t = spark.createDataFrame([row], "graph_id string, s string, p string, o string, o_kind string, o_dtype string")
+    packing.save_graph_buckets(t, str(tmp_path), 2)
+    files = list(Path(tmp_path).glob("graphs/bucket=*/part-*"))
+    assert files and all(f.name.endswith(".txt.gz") for f in files)

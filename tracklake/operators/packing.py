@@ -182,11 +182,12 @@ def save_graph_buckets(triples: DataFrame, path: str, buckets: int = 64, splits:
     """Graphs as N-Quads text in `buckets` folders by the hash of their id, and a manifest of (graph_id, bucket, n_triples).
 
     There are at most `buckets * splits` files however many graphs or tasks there are; a bucket is dealt to `splits`
-    tasks by line, so that no graph has to fit in one. `read_graph_buckets` reads graphs back by their ids.
+    tasks by line, so that no graph has to fit in one. `read_graph_buckets` reads graphs back by their ids. Quads repeat their
+    graph and their names, so the files are compressed.
     """
     lines = triples.select("graph_id", _bucket_of("graph_id", buckets).alias("bucket"), quad_line().alias("value")).where("value IS NOT NULL")
     dealt = lines.withColumn("_split", F.pmod(F.xxhash64("value"), F.lit(splits))).repartition(buckets * splits, "bucket", "_split")
-    dealt.sortWithinPartitions("bucket", "graph_id").select("bucket", "value").write.partitionBy("bucket").text(f"{path}/graphs")
+    dealt.sortWithinPartitions("bucket", "graph_id").select("bucket", "value").write.partitionBy("bucket").text(f"{path}/graphs", compression="gzip")
     counts = lines.groupBy("graph_id", "bucket").agg(F.count("*").alias("n_triples"))
     counts.repartition(buckets, "bucket").sortWithinPartitions("graph_id").write.parquet(f"{path}/manifest")
 
