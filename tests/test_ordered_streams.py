@@ -96,3 +96,22 @@ def test_silence_ends_a_track_and_loses_no_ping(moving, tmp_path):
     assert got.where(F.unix_seconds("max_ts") - F.unix_seconds("min_ts") > 7200).count() == 0
     per_vessel = got.groupBy("mmsi").agg(F.count("*").alias("n"), F.max("track_no").alias("last")).collect()
     assert all(r["n"] == r["last"] + 1 for r in per_vessel)
+
+
+def test_vessels_that_wait_send_no_frame():
+    import pandas as pd
+
+    from tracklake.streaming.ordered import LastSeen
+
+    class State(list):
+        exists, appendList = (lambda self: False), list.extend
+
+    class Handle:
+        timers = []
+        getListState = getValueState = lambda self, *_: State()
+        registerTimer = timers.append
+
+    seen = LastSeen(None)
+    seen.init(Handle())
+    rows = pd.DataFrame({"micros": [5_000], "seq": [1], "lat": [1.0], "lon": [2.0]})
+    assert list(seen.handleInputRows(("a",), iter([rows]), None)) == [] and seen.waiting == [(5_000, 1, 1.0, 2.0)] and Handle.timers == [6]
