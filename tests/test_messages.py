@@ -144,3 +144,11 @@ def test_numbers_of_rows_are_unique_and_follow_the_offset(spark):
     small = [r for r in rows if r.offset in "012" and r.partition < 1024 and r.place < 4096]
     assert [r.seq for r in sorted(small, key=lambda r: (int(r.offset), r.partition, r.place))] == sorted(r.seq for r in small)
     assert all((r.seq >= 0) == (r in small) for r in rows)
+
+
+@pytest.mark.parametrize("shape", ["row", "batch"])
+def test_a_body_is_inflated_once(spark, shape):
+    rows, dead = messages.read_rows(frame(spark, [zlib.compress(json.dumps(ROW if shape == "row" else [ROW, ROW]).encode()), b"junk"]), "zlib", shape)
+    for part, n in ((rows, 1 if shape == "row" else 2), (dead, 1)):
+        assert part._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+        assert part.count() == n

@@ -96,6 +96,17 @@ def test_zlib_and_damage(spark):
     assert values(df.withColumn("out", codec.inflate("v"))) == ["hello", None, None]
 
 
+def test_bodies_leave_a_worker_in_pieces():
+    import pyarrow as pa
+
+    texts = [None if i % 7 == 0 else f"text {i}" for i in range(3 * codec.PIECE_ROWS + 5)]
+    packed = list(codec.deflate.func(iter([pa.array(texts), pa.array(["x"])])))
+    assert max(len(piece) for piece in packed) <= codec.PIECE_ROWS
+    plain = list(codec.inflate.func(iter([pa.concat_arrays(packed)])))
+    assert max(len(piece) for piece in plain) <= codec.PIECE_ROWS
+    assert pa.concat_arrays(plain).to_pylist() == [*texts, "x"]
+
+
 GEOHASHES = {
     (40.64175, -74.07136): "dr5r4qwgk5qf", (40.64175, -74.07135): "dr5r4qwgk7q6", (40.64176, -74.07136): "dr5r4qwgkjnv",
     (40.64176, -74.07138): "dr5r4qwg7tpv", (40.64196, -74.07291): "dr5r4qtu847n", (40.64196, -74.07289): "dr5r4qtu8d3y",
