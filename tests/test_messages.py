@@ -152,3 +152,12 @@ def test_a_body_is_inflated_once(spark, shape):
     for part, n in ((rows, 1 if shape == "row" else 2), (dead, 1)):
         assert part._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
         assert part.count() == n
+
+
+def test_staged_texts_are_compressed_as_asked(spark):
+    from tracklake.session import stage
+
+    df = spark.range(5).select("id", F.repeat(F.lit("text "), F.lit(50)).alias("text"))
+    kept = stage(df, compression="zstd")
+    assert rows_of(kept) == rows_of(df)
+    assert all(name.endswith(".zstd.parquet") for name in kept.inputFiles())

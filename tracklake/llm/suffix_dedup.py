@@ -259,7 +259,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     codes = anchors.join(shared, "code").groupBy("doc_id").agg(F.collect_set("code").alias("codes"))
     hits = stage(codes)
     marked = texts.join(hits, "doc_id")
-    wide = stage(marked.mapInArrow(partial(_contexts, texts=True, **run), "context binary, code long, lead int, words binary, doc_id long, many boolean"))
+    wide = stage(marked.mapInArrow(partial(_contexts, texts=True, **run), "context binary, code long, lead int, words binary, doc_id long, many boolean"), "zstd")
     sizes = wide.groupBy("code").agg(F.count("*").alias("n"))
     large = sizes.where(F.col("n") > group).select("code")
     small = wide.join(large, "code", "left_anti")
