@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tracklake.llm.grace_dedup import exact_dedup, grace
@@ -125,6 +126,36 @@ def test_jaccard_clusters(spark, short_list, tile_block):
     assert len(set(part.values())) < len(part) / 2
 
 
+def test_prefixes_start_with_rare_shingles(spark):
+    """A phrase of 40 documents, too few to be common, comes after what only one document has."""
+    from tracklake.llm import set_join as sj
+
+    phrase = " ".join(f"p{k}" for k in range(30))
+    rows = [(i, " ".join(f"w{i}_{k}" for k in range(30)) + " " + phrase) for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    known = sj.shingle_frequencies(frame, 4, 2.0)
+    assert not len(known[0]) and known[2].max() >= 64 * np.log2(41) - 1
+    sets = [found for _, found in sj.shingle_sets(pa.array([t for _, t in rows]), 4)]
+    shared = np.intersect1d(sets[0], sets[1])
+    for found in sets:
+        first = sj.in_order(found, known)
+        assert len(shared) == 27 and sorted(first) == found.tolist()
+        assert not np.isin(first[:20], shared).any()
+
+
+def test_lists_of_the_same_sets_are_put_together(spark):
+    from tracklake.llm.set_join import bundled
+
+    members = {1: range(10, 20), 2: range(11, 20), 3: range(10, 19), 7: [30, 31, 32], 8: [32, 33, 34]}
+    rows = [(t, r, len(reps)) for t, reps in members.items() for r in reps]
+    got = bundled(spark.createDataFrame(rows, "token long, rep long, n long"), 4).collect()
+    lists = {}
+    for r in got:
+        lists.setdefault(r["list"], set()).add(r["rep"])
+    assert sorted(map(sorted, lists.values())) == [list(range(10, 20)), [30, 31, 32], [32, 33, 34]]
+    assert all(r["n"] == len(lists[r["list"]]) for r in got) and len(got) == 16
+
+
 def test_derived_answers_equal_direct_ones():
     rng = np.random.default_rng(0)
     base = np.unique(rng.integers(0, 1 << 60, 100).astype(np.uint64))

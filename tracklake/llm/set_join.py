@@ -2,10 +2,11 @@
 
 1. Every document becomes a set of shingle hashes; equal sets are reduced to one representative.
 2. Index: sets that reach the threshold share a shingle of their prefixes. The order that makes prefixes puts rare
-   shingles first, so common phrases hardly index anything.
+   shingles first, by counts in a table of fixed size, so phrases that a few dozen or more share hardly index anything.
 3. Short lists give candidate pairs: a list is sorted by set size, blocks of too small sets are skipped, and a
-   pair is skipped whose places in the two sets leave too few shingles to share. Long lists are cut into
-   tiles of two blocks of sets instead, so no list is enumerated in one task and no pairs are written.
+   pair is skipped whose places in the two sets leave too few shingles to share. Long lists are put together where
+   they hold the same sets, and cut into tiles of two blocks of sets, so no list is enumerated in one task and
+   no pairs are written.
 4. Groups of candidates fetch their texts once and are joined exactly. Overlaps of a set with all others of the
    group are derived from those of the most similar set done before, from the few shingles in which both differ.
 """
@@ -18,6 +19,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructType
@@ -30,6 +32,9 @@ from tracklake.session import stage
 SHORT_LIST = 64
 TILE_BLOCK = 512
 COMMON_SHARE = 0.001
+SKETCH_BITS = 21
+SKETCH_PART = 1 << 16  # counts that are added up together
+_COMMON_LEVEL = 1 << 15  # levels of common shingles lie above those of all others
 _FLUSH = 4 << 20
 
 
@@ -53,24 +58,36 @@ def needed(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def in_order(found: np.ndarray, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """A set in index order: shingles that are not common by hash, then common ones, the rarest first."""
-    if not len(common):
-        return found
-    at = np.minimum(np.searchsorted(common, found), len(common) - 1)
-    weight = np.where(common[at] == found, counts[at], 0)
-    return found[np.lexsort((found, weight))] if weight.any() else found
+def levels_of(counts: np.ndarray) -> np.ndarray:
+    """Counts in steps of one percent."""
+    return np.rint(64 * np.log2(1.0 + counts)).astype(np.uint16)
 
 
-def _common(batches: Iterator[pa.RecordBatch], size: int, share: float) -> Iterator[pa.RecordBatch]:
-    """Shingles that a fair share of a run of documents has."""
+# Common shingles, sorted, with their counts, and for all others a level for the top bits of their hash.
+Frequencies = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def in_order(found: np.ndarray, frequencies: Frequencies) -> np.ndarray:
+    """A sorted set in index order: the rarest shingles first, by their level and then by hash."""
+    common, counts, levels = frequencies
+    level = levels[found >> np.uint64(64 - SKETCH_BITS)]
+    if len(common):
+        at = np.minimum(np.searchsorted(common, found), len(common) - 1)
+        level = np.where(common[at] == found, _COMMON_LEVEL + levels_of(counts[at]), level)
+    return found[np.argsort(level, kind="stable")]
+
+
+def _count(batches: Iterator[pa.RecordBatch], size: int, share: float) -> Iterator[pa.RecordBatch]:
+    """Shingles that a fair share of a run of documents has, and a task's counts by the top bits of the hash, in parts."""
     held: list[np.ndarray] = []
+    sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
 
     def flush() -> pa.RecordBatch:
-        values, counts = np.unique(np.concatenate(held), return_counts=True)
+        every = np.concatenate(held)
+        sketch[:] += np.bincount((every >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(sketch)).astype(np.uint32)
+        values, counts = np.unique(every, return_counts=True)
         keep = counts >= max(3, share * len(held))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(values[keep].view(np.int64)), pa.array(counts[keep].astype(np.int64))], names=["shingle", "n"])
+        return _counted(shingle=values[keep].view(np.int64), n=counts[keep].astype(np.int64))
 
     total = 0
     for batch in batches:
@@ -82,29 +99,70 @@ def _common(batches: Iterator[pa.RecordBatch], size: int, share: float) -> Itera
                 held, total = [], 0
     if held:
         yield flush()
+    if sketch.any():
+        yield _counted(part=list(range(len(sketch) // SKETCH_PART)), blob=[_planes(p) for p in sketch.reshape(-1, SKETCH_PART)])
+
+
+_COUNTED = {"shingle": pa.int64(), "n": pa.int64(), "part": pa.int32(), "blob": pa.binary()}
+
+
+def _counted(**columns) -> pa.RecordBatch:
+    rows = len(next(iter(columns.values())))
+    arrays = [pa.array(columns[c], t) if c in columns else pa.nulls(rows, t) for c, t in _COUNTED.items()]
+    return pa.RecordBatch.from_arrays(arrays, names=list(_COUNTED))
 
 
-def common_shingles(texts: DataFrame, size: int, share: float) -> tuple[np.ndarray, np.ndarray]:
-    """Common shingles and counts, sorted. It decides only the order of the index, never a result.
+def _planes(counts: np.ndarray) -> bytes:
+    """Counts compressed with all lowest bytes first, as the high ones are mostly zero."""
+    return zstandard.ZstdCompressor(level=1).compress(counts.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
 
-    At most 2 / share times the mean set size come back, however many documents there are.
+
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of each part's counts as levels. Rows come sorted by part."""
+    part, total = None, np.zeros(SKETCH_PART, np.int64)
+
+    def done() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([levels_of(total).tobytes()])], names=["part", "levels"])
+
+    for batch in batches:
+        for p, blob in zip(batch.column("part").to_pylist(), batch.column("blob")):
+            if part is not None and p != part:
+                yield done()
+                total[:] = 0
+            part = p
+            planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob.as_py()), np.uint8).reshape(4, -1)
+            total += np.ascontiguousarray(planes.T).view("<u4").ravel()
+    if part is not None:
+        yield done()
+
+
+def shingle_frequencies(texts: DataFrame, size: int, share: float) -> Frequencies:
+    """How often shingles occur. It decides only the order of the index, never a result.
+
+    At most 2 / share times the mean set size of common shingles come back, and 2 ** SKETCH_BITS levels, however many documents
+    there are. Shingles with the same top bits share a level. What a shingle of a few dozen documents adds stands
+    out from that: prefixes take the rarest 15 % or so, and it falls far less often among these than one that occurs once.
     """
-    seen = texts.mapInArrow(partial(_common, size=size, share=share), "shingle long, n long")
+    # Both parts of the counts leave one pass over the texts.
+    seen = stage(texts.mapInArrow(partial(_count, size=size, share=share), "shingle long, n long, part int, blob binary"))
     total = texts.count()
-    rows = seen.groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= total * share / 2).toPandas()
+    rows = seen.where("part IS NULL").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= total * share / 2).toPandas()
     tokens = rows["shingle"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(tokens)
-    return tokens[order], rows["n"].to_numpy(np.int64)[order]
+    parts = seen.where("part IS NOT NULL").select("part", "blob").repartition("part").sortWithinPartitions("part")
+    levels = np.zeros(1 << SKETCH_BITS, np.uint16).reshape(-1, SKETCH_PART)
+    for row in parts.mapInArrow(_add_up, "part int, levels binary").collect():
+        levels[row["part"]] = np.frombuffer(row["levels"], np.uint16)
+    return tokens[order], rows["n"].to_numpy(np.int64)[order], levels.ravel()
 
 
 def _index(batches: Iterator[pa.RecordBatch], size: int, percent: int, shared, carry: Sequence[str] = ()) -> Iterator[pa.RecordBatch]:
-    common, counts = shared.value
     for batch in batches:
         ids = [batch.column(c) for c in ("doc_id", *carry)]
         held: list[tuple] = []
         for place, found in shingle_sets(text_column(batch, "text"), size):
             n = len(found)
-            first = in_order(found, common, counts)[: n - needed(n, percent) + 1] if n else found
+            first = in_order(found, shared.value)[: n - needed(n, percent) + 1] if n else found
             sign = hashlib.blake2b(found.tobytes(), digest_size=16).digest() if n else None
             held.append((place, n, sign, first.view(np.int64)))
             if len(held) >= 2000:
@@ -208,6 +266,24 @@ def _join_groups(batches: Iterator[pa.RecordBatch], size: int, percent: int) ->
     yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
 
 
+def bundled(long: DataFrame, block: int) -> DataFrame:
+    """Long lists (token, rep, n) with those put together that mostly hold the same sets: list, rep, n (sets of that list).
+
+    Near copies share dozens of long lists, each of which would fetch their texts again. Lists that are connected by
+    their sets become one list of all these sets where its tiles fetch fewer texts than theirs do. Any two sets
+    that share a list still do.
+    """
+    fetches = lambda n: F.ceil(F.col(n) / F.lit(block))
+    least = long.groupBy("token").agg(F.min("rep").alias("least"))
+    parts = components(long.join(least, "token"), "rep", "least")  # the smallest vertex of a component is not among them
+    named = stage(long.join(parts, F.col("rep") == F.col("vertex"), "left").select("token", "rep", "n", F.coalesce("component", "rep").alias("component")))
+    sets = named.groupBy("component", "rep").agg(F.sum(fetches("n")).alias("apart"))
+    sizes = sets.groupBy("component").agg(F.sum("apart").alias("apart"), F.count("*").alias("m"))
+    whole = sizes.where(F.col("m") * fetches("m") < F.col("apart")).select("component", "m")
+    together = sets.join(whole, "component").select(F.concat(F.lit("c"), "component").alias("list"), "rep", F.col("m").alias("n"))
+    return together.unionByName(named.join(whole, "component", "left_anti").select(F.concat(F.lit("t"), "token").alias("list"), "rep", "n"))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, percent: int = 85,
                        short_list: int = SHORT_LIST, tile_block: int = TILE_BLOCK, share: float = COMMON_SHARE, carry: Sequence[str] = ()) -> DataFrame:
     """One row per input row: id, n_shingles, component_id (smallest id reachable by links, itself included).
@@ -223,7 +299,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     everything = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"),
                              *(F.col(f"`{c}`") for c in carry))
     texts = everything.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
-    shared = spark.sparkContext.broadcast(common_shingles(texts, size, share))
+    shared = spark.sparkContext.broadcast(shingle_frequencies(texts, size, share))
     schema = StructType().add("doc_id", LongType()).add("n_shingles", LongType()).add("sign", BinaryType()).add("prefix", ArrayType(LongType()))
     for c in carry:
         schema.add(c, docs.schema[c].dataType)
@@ -242,10 +318,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     met = seen.where("x <> y").groupBy("x", "y").agg(F.count("*").alias("c"), F.max("slack").alias("slack"), F.max("shared").alias("shared"))
     pairs = stage(met.where("slack >= 0 AND c >= shared").select("x", "y"))
     blocks = F.ceil(F.col("n") / F.lit(tile_block)).cast("int")
-    dealt = lists.where(F.col("n") > short_list).select(
-        "token", "rep", blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"))
+    long = bundled(lists.where(F.col("n") > short_list).select("token", "rep", "n"), tile_block)
+    dealt = long.select(
+        "list", "rep", blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"))
     dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    tile = F.concat_ws("/", "token", F.least("block", "other"), F.greatest("block", "other"))
+    tile = F.concat_ws("/", "list", F.least("block", "other"), F.greatest("block", "other"))
     asked = (
         pairs.select(F.concat(F.lit("p"), "x").alias("grp"), F.col("y").alias("member"))
         .unionByName(pairs.select(F.concat(F.lit("p"), "x").alias("grp"), F.col("x").alias("member")).distinct())
