@@ -310,6 +310,24 @@ def test_pieces_move_no_texts(spark):
     assert plan.count("Exchange hashpartitioning(block") == 1
 
 
+def test_pieces_shuffle_words_once(spark):
+    vocabulary = load_vocabulary(PIECE_MODEL)
+    encoded = encode_pieces(spark.createDataFrame([(1, "one two"), (2, None), (3, "two three")], "doc_id long, text string"), vocabulary)
+    assert len(encoded.collect()) == 3
+    assert "ReusedExchange" in encoded._jdf.queryExecution().executedPlan().toString()
+
+
+def test_decoded_pieces_equal_plain_ones():
+    from tracklake.llm import pieces
+
+    table = decode_table(load_vocabulary(PIECE_MODEL))
+    as_bytes = [b"" if p is None else bytes([p]) if isinstance(p, int) else p.encode() for p in table] + [b""]
+    rng = np.random.default_rng(3)
+    rows = [None if i % 7 == 0 else rng.integers(-3, 300 if i % 2 else len(table) + 3, int(rng.integers(0, 40))).tolist() for i in range(50)]
+    got = list(pieces.decoded(pa.array([[1], *rows], pa.list_(pa.int32())).slice(1), as_bytes))
+    assert got == [None if row is None else decode_ids(row, table) for row in rows]
+
+
 def test_words_and_parts():
     vocabulary = load_vocabulary(PIECE_MODEL)
     texts = ["a\nb", "\na", "a\n\n b\n", "a  b", " a", "a ", "\0a\n", "\r\n x", "no. 12345 漢字x", "\n", " "]

@@ -31,6 +31,7 @@ BUCKET_CHARS = 4_000_000  # text for each bucket of words, so that a task sorts
 LEAST_BUCKETS = 64
 HELD_WORDS = 500_000  # distinct words after which a block ends
 SLICE_WORDS = 200_000
+PIECE_ROWS = 256  # texts that leave a worker together
 LATTICE_CHARS = 48  # longer parts are folded in Python, with the same rule
 SPACE = "▁"
 _WORD = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
@@ -301,12 +302,13 @@ def _blocks(batches: Iterator[pa.RecordBatch], buckets: int, chars: int) -> Iter
     block = TaskContext.get().partitionId() << 32
     ids, counts, runs, numbers, held = [], [], [], _Numbers(), 0
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-            words = words_of(text.as_py() or "")
+        for doc_id, value in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+            text = value.as_py() or ""
+            words = words_of(text)
             ids.append(doc_id)
             counts.append(len(words))
             runs.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
-            held += len(text.as_py() or "") + 1
+            held += len(text) + 1
             if held >= chars or len(numbers) >= HELD_WORDS:
                 yield _block(block, ids, counts, runs, numbers, buckets)
                 block += 1
@@ -365,15 +367,15 @@ def _encode_block(texts: pa.Table, answers: pa.Table) -> pa.Table:
     counts = numbers[: len(doc_ids)]
     place, runs = numbers[len(doc_ids) : len(doc_ids) + len(size)], numbers[len(doc_ids) + len(size) :]
     ends = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
-    out, before = [], np.concatenate([[0], np.zeros(len(runs), np.int64)])
+    before = np.zeros(len(runs) + 1, np.int64)
+    for a in range(0, len(runs), SLICE_WORDS):
+        before[a + 1 : a + 1 + SLICE_WORDS] = before[a] + np.cumsum(size[place[runs[a : a + SLICE_WORDS]]], dtype=np.int64)
+    out = np.empty(before[-1], np.int32)
     for a in range(0, len(runs), SLICE_WORDS):
         at = place[runs[a : a + SLICE_WORDS]]
-        n = size[at].astype(np.int64)
-        until = np.cumsum(n)
-        before[a + 1 : a + 1 + len(n)] = before[a] + until
-        out.append(every[np.repeat(start[at] - until + n, n) + np.arange(until[-1])])
-    values = pa.array(np.concatenate([np.zeros(0, np.int32), *out]), pa.int32())
-    return pa.table([doc_ids, pa.LargeListArray.from_arrays(pa.array(before[ends]), values).cast(pa.list_(pa.int32()))], names=["doc_id", "ids"])
+        low, high = before[a], before[a + len(at)]
+        out[low:high] = every[np.repeat(start[at] - before[a : a + len(at)] + low, size[at]) + np.arange(high - low)]
+    return pa.table([doc_ids, pa.LargeListArray.from_arrays(pa.array(before[ends]), pa.array(out)).cast(pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
 
 def _piece_table(spark: SparkSession, vocabulary: Vocabulary) -> DataFrame:
@@ -407,7 +409,9 @@ def encode_pieces(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id
     # The blobs are compressed already, and Parquet's codecs would hold whole pages of them outside the heap.
     blocks.write.option("compression", "uncompressed").partitionBy("kind").bucketBy(lanes, "block").option("path", path).saveAsTable(name, format="parquet")
     texts = spark.table(name).where("kind = 0").select("block", "doc_ids", "blob")
-    asked = spark.table(name).where("kind = 1").select("block", "bucket", "blob").repartition(buckets, "bucket")
+    # Read by its path: of the catalog's table each use would be shuffled anew.
+    listed = spark.read.schema("block long, bucket int, blob binary, kind int").parquet(path).where("kind = 1")
+    asked = listed.select("block", "bucket", "blob").repartition(buckets, "bucket")
     shared, seams = spark.sparkContext.broadcast(vocabulary), spark.sparkContext.broadcast(Seams(vocabulary))
     parts = asked.sortWithinPartitions("bucket").mapInArrow(partial(_parts, seams=seams), "bucket int, parts array<string>")
     words = parts.select("bucket", F.explode("parts").alias("word")).where(F.length("word") <= lattice_chars)
@@ -454,12 +458,29 @@ def decode_table(vocabulary: Vocabulary) -> list[str | int | None]:
     return table
 
 
-def decode_pieces(encoded: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
-    """Adds the text of the ids. Null ids give a null text."""
-    shared = encoded.sparkSession.sparkContext.broadcast(decode_table(vocabulary))
+def decoded(ids: pa.Array, table: list[bytes]) -> Iterator[str | None]:
+    """Text of each row of ids, as `decode_ids` gives it. `table` has the bytes of every piece, and an empty last line for ids outside it."""
+    flat = ids.values.to_numpy(zero_copy_only=False)
+    for valid, a, b in zip(ids.is_valid().to_pylist(), ids.offsets[:-1].to_pylist(), ids.offsets[1:].to_pylist()):
+        if not valid:
+            yield None
+            continue
+        own = flat[a:b]
+        if len(own) and (own.min() < 0 or own.max() >= len(table)):
+            own = np.where((own < 0) | (own >= len(table)), len(table) - 1, own)
+        text = b"".join(map(table.__getitem__, own.tolist())).decode("utf-8", "replace").replace(SPACE, " ")
+        yield text[1:] if text.startswith(" ") else text
 
-    @F.pandas_udf("string")
-    def text_of(ids: pd.Series) -> pd.Series:
-        return ids.map(lambda row: None if row is None else decode_ids(row.tolist(), shared.value))
+
+def decode_pieces(encoded: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
+    """Adds the text of the ids. Null ids give a null text. Texts leave a worker in pieces, so that it holds the batch of ids and one piece."""
+    pieces = [b"" if p is None else bytes([p]) if isinstance(p, int) else p.encode() for p in decode_table(vocabulary)]
+    shared = encoded.sparkSession.sparkContext.broadcast([*pieces, b""])
+
+    @F.arrow_udf("string")
+    def text_of(ids: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in ids:
+            for at in range(0, len(batch), PIECE_ROWS):
+                yield pa.array(decoded(batch.slice(at, PIECE_ROWS), shared.value), pa.string())
 
     return encoded.withColumn(text_col, text_of(F.col(f"`{ids_col}`")))
