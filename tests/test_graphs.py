@@ -370,3 +370,38 @@ def test_graph_files_are_compressed(spark, tmp_path):
     packing.save_graph_buckets(t, str(tmp_path), 2)
     files = list(Path(tmp_path).glob("graphs/bucket=*/part-*"))
     assert files and all(f.name.endswith(".txt.gz") for f in files)
+
+
+def test_graphs_are_read_by_ids_of_a_frame_and_the_others_with_the_rest(spark, tmp_path):
+    from tracklake.operators import packing
+    from tracklake.sources.triples import read_graph_buckets
+
+    rows = [(f"g {k % 40}/é", f"s{k}", "p", "a\nb", "literal", None) for k in range(400)]
+    t = spark.createDataFrame(rows, "graph_id string, s string, p string, o string, o_kind string, o_dtype string")
+    packing.save_graph_buckets(t, str(tmp_path), 8)
+    ids = [f"g {k}/é" for k in range(0, 40, 3)]
+    wanted = spark.createDataFrame([(i,) for i in [*ids, ids[0], "absent"]], "graph_id string")
+    names = ("graph_id", "s", "p", "o", "o_kind")
+    by_id, bad = read_graph_buckets(spark, str(tmp_path), wanted)
+    rest, _ = read_graph_buckets(spark, str(tmp_path), wanted, others=True)
+    assert bad.count() == 0
+    assert rows_of(by_id, *names) == rows_of(t.where(F.col("graph_id").isin(ids)), *names)
+    assert rows_of(rest, *names) == rows_of(t.where(~F.col("graph_id").isin(ids)), *names)
+
+
+def test_graph_files_query_reads_every_third_graph_by_its_id(spark, sf_dir, monkeypatch):
+    from tracklake.plans.queries import QUERIES
+    from tracklake.sources import triples
+
+    read, parts = triples.read_graph_buckets, []
+
+    def watched(session, path, graph_ids=None, **options):
+        good, bad = read(session, path, graph_ids, **options)
+        parts.append({r[0] for r in good.select("graph_id").distinct().collect()})
+        return good, bad
+
+    monkeypatch.setattr(triples, "read_graph_buckets", watched)
+    everything = QUERIES["graph_files_roundtrip"](spark, sf_dir)
+    by_id, rest = parts
+    assert by_id and rest and not by_id & rest and all(int(i.rsplit("-", 1)[1]) % 3 == 0 for i in by_id)
+    assert by_id | rest == {r[0] for r in everything.select("graph_id").distinct().collect()}

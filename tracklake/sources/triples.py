@@ -73,21 +73,31 @@ def read_ntriples(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
     return parse_lines(lines)
 
 
-_QUAD = rf"(?s)^(.*)[ \t]*<{GRAPH}([^<>]*)>[ \t]*\.[ \t]*\z"
+_AFTER_GRAPH = r"^[^<>]*>[ \t]*\.[ \t]*\z"  # what follows the namespace of a quad's graph, the last name of the line
 
 
-def read_graph_buckets(spark: SparkSession, path: str, graph_ids: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(triples, bad lines) of graphs written by `save_graph_buckets`, all or those with the given ids.
+def read_graph_buckets(
+    spark: SparkSession, path: str, graph_ids: list[str] | DataFrame | None = None, *, others: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(triples, bad lines) of graphs written by `save_graph_buckets`, all, those with the given ids, or with `others` the rest.
 
-    The manifest tells the buckets of the ids, and only those folders are read.
+    The manifest tells the buckets of the graphs, and only those folders are read. Ids in any number come as a frame with a
+    column `graph_id`; they meet the lines in a join that keeps both sides in their tasks.
     """
     lines = spark.read.schema("value string, bucket int").text(f"{path}/graphs")
+    tail = F.substring_index("value", f"<{GRAPH}", -1)
+    is_quad = tail.rlike(_AFTER_GRAPH) & (F.length(tail) < F.length("value"))
+    triple = F.left("value", F.length("value") - F.length(tail) - len(f"<{GRAPH}"))
     named = lines.select(
-        "bucket", F.url_decode(F.regexp_extract("value", _QUAD, 2)).alias("graph_id"),
-        F.concat(F.regexp_extract("value", _QUAD, 1), F.lit(".")).alias("line"))
+        "bucket", F.url_decode(F.when(is_quad, F.substring_index(tail, ">", 1)).otherwise("")).alias("graph_id"),
+        F.concat(F.when(is_quad, triple).otherwise(""), F.lit(".")).alias("line"))
     if graph_ids is not None:
-        found = spark.read.parquet(f"{path}/manifest").where(F.col("graph_id").isin(list(graph_ids))).select("bucket").distinct().collect()
-        named = named.where(F.col("bucket").isin([r["bucket"] for r in found]) & F.col("graph_id").isin(list(graph_ids)))
+        if not isinstance(graph_ids, DataFrame):
+            graph_ids = spark.createDataFrame([(i,) for i in graph_ids], "graph_id string")
+        how, ids = "left_anti" if others else "left_semi", graph_ids.select("graph_id").distinct()
+        found = spark.read.parquet(f"{path}/manifest").join(ids, "graph_id", how).select("bucket").distinct().collect()
+        named = named.where(F.col("bucket").isin(sorted(r["bucket"] for r in found))).join(ids.hint("shuffle_hash"), "graph_id", how)
+        named = named.where(F.monotonically_increasing_id() >= 0)  # always true; keeps Spark from taking lines apart before the join, where most are dropped
     return parse_lines(named)
 
 
