@@ -115,3 +115,58 @@ def test_vessels_that_wait_send_no_frame():
     seen.init(Handle())
     rows = pd.DataFrame({"micros": [5_000], "seq": [1], "lat": [1.0], "lon": [2.0]})
     assert list(seen.handleInputRows(("a",), iter([rows]), None)) == [] and seen.waiting == [(5_000, 1, 1.0, 2.0)] and Handle.timers == [6]
+
+
+def test_late_pings_come_in_time_however_many_files_hold_the_table(spark, tmp_path):
+    from pathlib import Path
+
+    from tracklake.plans.queries import _late_pings
+
+    steady = pings(spark, 2, n=1200, gap=60).repartition(9)
+    source = _late_pings(steady, str(tmp_path / "late"), 1200)
+    assert [len(list(f.glob("part-*"))) for f in sorted(Path(tmp_path / "late/in").iterdir())] == [1] * 7
+    got = drain(stream_ordered_tracks(source, 4, "20 minutes", idle_seconds=7200), tmp_path).where("mmsi <> 'end'")
+    assert got.agg(F.sum(F.size("pings"))).first()[0] == 1200
+
+
+def test_one_timer_works_on_all_vessels_of_a_shard():
+    import pandas as pd
+    import pyarrow as pa
+
+    from tracklake.streaming import ordered
+
+    class State:
+        def __init__(self):
+            self.rows = []
+
+        exists = lambda self: bool(self.rows)
+        get = lambda self: list(self.rows)
+        appendList = lambda self, rows: self.rows.extend(rows)
+        put = lambda self, rows: setattr(self, "rows", list(rows))
+        update = lambda self, row: setattr(self, "rows", list(row))
+        clear = lambda self: setattr(self, "rows", [])
+
+    class Handle:
+        def __init__(self):
+            self.timers = []
+
+        getListState = getValueState = lambda self, *_: State()
+        registerTimer = lambda self, ms: self.timers.append(ms)
+
+    class Clock:
+        getCurrentWatermarkInMs = lambda self: 2_000
+
+    tracks_of = ordered.TracksInOrder(2, None)
+    handle = Handle()
+    tracks_of.init(handle)
+    rows = pa.table({"mmsi": [f"v{k % 50}" for k in range(150)], "micros": [k * 20_000 for k in range(150)], "seq": range(150),
+                     **{c: [1.0] * 150 for c in ("lat", "lon", "sog", "cog")}}, schema=tracks_of.schema)
+    arrived = pd.DataFrame({"first": [0], "last": [2_980_000], "block": [ordered._as_block(rows)]})
+    assert list(tracks_of.handleInputRows((0,), iter([arrived]), None)) == [] and handle.timers == [1]
+    out = list(tracks_of.handleExpiredTimer((0,), Clock(), None))
+    got = ordered._of_blocks(out[0]["block"], ordered._TRACK).to_pylist()
+    # 101 pings until 2 s: each vessel has a whole track, and v0 one ping more, which waits with the 49 that come later.
+    assert len(out) == 1 and [(t["track_no"], t["finished"], [p["seq"] for p in t["pings"]]) for t in got] == [
+        (0, True, [k, k + 50]) for k in range(50)]
+    assert len(tracks_of.load(tracks_of.open, tracks_of.schema)) == 1 and len(tracks_of.load(tracks_of.waiting, tracks_of.schema)) == 49
+    assert list(tracks_of.handleExpiredTimer((0,), Clock(), None)) == []
