@@ -129,44 +129,73 @@ def test_late_pings_come_in_time_however_many_files_hold_the_table(spark, tmp_pa
     assert got.agg(F.sum(F.size("pings"))).first()[0] == 1200
 
 
-def test_one_timer_works_on_all_vessels_of_a_shard():
-    import pandas as pd
-    import pyarrow as pa
+class HeldState:
+    def __init__(self):
+        self.rows = []
 
-    from tracklake.streaming import ordered
+    exists = lambda self: bool(self.rows)
+    get = lambda self: list(self.rows)
+    appendList = lambda self, rows: self.rows.extend(rows)
+    put = lambda self, rows: setattr(self, "rows", list(rows))
+    update = lambda self, row: setattr(self, "rows", list(row))
+    clear = lambda self: setattr(self, "rows", [])
 
-    class State:
-        def __init__(self):
-            self.rows = []
 
-        exists = lambda self: bool(self.rows)
-        get = lambda self: list(self.rows)
-        appendList = lambda self, rows: self.rows.extend(rows)
-        put = lambda self, rows: setattr(self, "rows", list(rows))
-        update = lambda self, row: setattr(self, "rows", list(row))
-        clear = lambda self: setattr(self, "rows", [])
+class FakeHandle:
+    def __init__(self):
+        self.timers = []
 
-    class Handle:
-        def __init__(self):
-            self.timers = []
+    getListState = getValueState = lambda self, *_: HeldState()
+    registerTimer = lambda self, ms: self.timers.append(ms)
 
-        getListState = getValueState = lambda self, *_: State()
-        registerTimer = lambda self, ms: self.timers.append(ms)
 
-    class Clock:
-        getCurrentWatermarkInMs = lambda self: 2_000
+class FakeClock:
+    getCurrentWatermarkInMs = lambda self: 2_000
+
+
+def test_one_timer_works_on_all_vessels_of_a_shard():
+    import pandas as pd
+    import pyarrow as pa
+
+    from tracklake.streaming import ordered
 
     tracks_of = ordered.TracksInOrder(2, None)
-    handle = Handle()
+    handle = FakeHandle()
     tracks_of.init(handle)
     rows = pa.table({"mmsi": [f"v{k % 50}" for k in range(150)], "micros": [k * 20_000 for k in range(150)], "seq": range(150),
                      **{c: [1.0] * 150 for c in ("lat", "lon", "sog", "cog")}}, schema=tracks_of.schema)
     arrived = pd.DataFrame({"first": [0], "last": [2_980_000], "block": [ordered._as_block(rows)]})
     assert list(tracks_of.handleInputRows((0,), iter([arrived]), None)) == [] and handle.timers == [1]
-    out = list(tracks_of.handleExpiredTimer((0,), Clock(), None))
+    out = list(tracks_of.handleExpiredTimer((0,), FakeClock(), None))
     got = ordered._of_blocks(out[0]["block"], ordered._TRACK).to_pylist()
     # 101 pings until 2 s: each vessel has a whole track, and v0 one ping more, which waits with the 49 that come later.
     assert len(out) == 1 and [(t["track_no"], t["finished"], [p["seq"] for p in t["pings"]]) for t in got] == [
         (0, True, [k, k + 50]) for k in range(50)]
     assert len(tracks_of.load(tracks_of.open, tracks_of.schema)) == 1 and len(tracks_of.load(tracks_of.waiting, tracks_of.schema)) == 49
-    assert list(tracks_of.handleExpiredTimer((0,), Clock(), None)) == []
+    assert list(tracks_of.handleExpiredTimer((0,), FakeClock(), None)) == []
+
+
+def test_one_timer_feeds_all_trackers_of_a_shard():
+    import pandas as pd
+    import pyarrow as pa
+
+    from tracklake.streaming import ordered
+
+    tracker, handle = ordered.TrackerInOrder(0, 1_000_000), FakeHandle()
+    tracker.init(handle)
+    rows = pa.table({"mmsi": [f"v{k % 3}" for k in range(60)], "micros": [k * 50_000 for k in range(60)], "seq": range(60),
+                     "x": [k * 0.1 for k in range(60)], "y": [2.0] * 60}, schema=tracker.schema)
+    waiting = tracker.narrowed(rows)
+    assert sorted(waiting["seq"].to_pylist()) == [17, 18, 19, 37, 38, 39, 57, 58, 59]  # the newest of a vessel and step
+    arrived = pd.DataFrame({"first": [0], "last": [2_950_000], "block": [ordered._as_block(waiting)]})
+    assert list(tracker.handleInputRows((0,), iter([arrived]), None)) == []
+    out = list(tracker.handleExpiredTimer((0,), FakeClock(), None))
+    got, want = ordered._of_blocks(out[0]["block"], ordered._STEP).to_pylist(), []
+    for vessel, seqs in (("v2", (17, 38)), ("v0", (18, 39)), ("v1", (19, 37))):
+        live = []
+        for k in seqs:
+            live, row = kalman.advance(live, vessel, k * 50_000, k * 0.1, 2.0)
+            want.append(dict(zip(kalman.ROW_COLUMNS, row)))
+    at = lambda r: (r["mmsi"], r["ts"])
+    assert len(out) == 1 and sorted(got, key=at) == sorted(want, key=at)
+    assert tracker.load(tracker.live, ordered._LIVE)["mmsi"].to_pylist() == ["v0", "v1", "v2"]
