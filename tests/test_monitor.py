@@ -104,3 +104,32 @@ def test_lines_of_messages_judged_in_one_frame(spark):
     assert sorted(r.raw for r in bad.collect()) == sorted([lines[2], lines[4], lines[5]])
     assert sorted(both.where("valid").drop("valid", "line").collect()) == sorted(good.collect())
     assert sorted(r.line for r in both.where("NOT valid").collect()) == sorted(r.raw for r in bad.collect())
+
+
+def test_messages_are_counted_by_the_worker_that_inflates_them(spark):
+    """Odd lines count as the parser of lines judges them, and neither texts nor loops over lines are left to Spark."""
+    from tracklake.operators import packing
+    from tracklake.sources.triples import parse_lines
+    from tracklake.streaming.monitor import count_messages
+    from tracklake.vocab import RDF_TYPE
+
+    long = "\\n\\\"x" * 30_000
+    lines = [
+        "<a><b><c>.", "_:x.y<b>_:z.", '<a>\t<b>\t"v"@en-GB.#note', '<a><b>""^^<d> . # x', '<a> <b> "1 <x> . \\u00e9\\U0001F600" .\r',
+        '<a> <b> " \u0085 \u0002" .', f'<a><b>"{long}".', "<a> <b> .", '<a> "b" <c> .', "<a> <b> <c>", '<a> <b> "x .', '<a> <b> "\\q" .',
+        '<a> <b> "x"@ .', "\x02a\x02b\x02\x02\x02c\x02", "<a> <b> <c> . d", '<a> <b> "x" "y" .', "_:éx <b> <c> .", "_:  <b> <c> .",
+        "_:\U0001F600 <b> <c> .", f"_:b <{RDF_TYPE}> _:c.d .", f'<a> <b> "<{RDF_TYPE}>" .', f"<a><{RDF_TYPE}><C>.",
+    ]
+    texts = [(str(k), line) for k, line in enumerate(lines)] + [("all", "\n".join([*lines, *lines, " ", "# none"]))]
+    df = spark.createDataFrame(texts, "graph_id string, text string")
+    good, _ = parse_lines(df.select("graph_id", F.explode(F.array_distinct(F.split("text", "\n"))).alias("line")))
+    want = {r[0]: r[1] for r in good.groupBy("graph_id").count().collect()}
+    for codec in ("zlib", "none"):
+        sent = packing.as_messages(df, topic="t", key="graph_id", codec=codec).withColumn("graph_id", F.col("offset"))
+        counts = count_messages(sent, codec)
+        got = {r.msg_id: r for r in counts.collect()}
+        assert {k: r.trip_count for k, r in got.items() if r.trip_count} == want
+        assert got["all"].bad_lines == len(lines) - want["all"] and got["all"].obj_count == 2
+        assert [tuple(c) for c in got["all"].classes] == [("_:c.d", 1), ("C", 1)]
+    plan = count_messages(sent).where("trip_count IS NOT NULL")._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and plan.count("ArrowEvalPython") == 1

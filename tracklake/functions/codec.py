@@ -17,7 +17,7 @@ from pyspark.sql.types import BinaryType, StringType
 PIECE_ROWS = 256  # bodies that leave Python together
 
 
-def _inflate_one(body: bytes) -> str | None:
+def inflate_one(body: bytes) -> str | None:
     try:
         return zlib.decompress(body).decode("utf-8")
     except (zlib.error, UnicodeDecodeError):
@@ -43,7 +43,7 @@ def deflate(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
 @F.arrow_udf(StringType())
 def inflate(bodies: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Text of a compressed body, null where the bytes are damaged."""
-    return _in_pieces(bodies, _inflate_one, pa.string())
+    return _in_pieces(bodies, inflate_one, pa.string())
 
 
 # Spark copies a deterministic function into the filters on its result and would inflate each body in a second worker for them.

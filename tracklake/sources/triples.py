@@ -18,6 +18,8 @@ LINE = (
     rf'(?s)^({_NODE})[ \t]*(<[^<>\x00-\x1F]*>)[ \t]*'
     rf'(?:({_NODE})|"({_BODY})"(?:\^\^<([^<>\x00-\x1F]*)>|(@[A-Za-z]+(?:-[A-Za-z0-9]+)*))?)[ \t]*\.[ \t]*(?:#.*)?\z'
 )
+# The same pattern for Arrow, whose engine needs no stack and writes code points in another way.
+ARROW_LINE = LINE.replace("*+", "*").replace(r"\u00B7-\uFFFD", r"\x{B7}-\x{FFFD}")
 _MARK = "\x02"  # stands in no token but the literal, which comes last
 
 

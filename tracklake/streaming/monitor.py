@@ -5,20 +5,23 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from ..operators.monitor import SAMPLE, newest_in_task
-from ..functions.codec import decode_body
+from ..functions.codec import PIECE_ROWS, decode_body, inflate_one
 from ..operators.triples import is_typing
-from ..sources.triples import LINE, judged_lines, message_lines, parse_lines, says_something, trimmed
+from ..sources.triples import ARROW_LINE, judged_lines, message_lines, parse_lines
 from ..vocab import RDF_TYPE
 
 # A line that types a node, with the class; a class is a URI or a blank node.
-_TYPING = rf"^(?:<[^<>]*>|_:[^ \t<]+)[ \t]*<{re.escape(RDF_TYPE)}>[ \t]*(?:<([^<>]*)>|(_:[^ \t<]+?))[ \t]*\."
+_ARROW_TYPING = rf"(?s)^(?:<[^<>]*>|_:[^ \t<]+)[ \t]*<{re.escape(RDF_TYPE)}>[ \t]*(?:<(?P<iri>[^<>]*)>|(?P<bnode>_:[^ \t<]+?))[ \t]*\.[ \t]*(?:#.*)?\z"
 
 
 def message_triples(messages: DataFrame, codec: str = "zlib", apart: bool = True) -> tuple[DataFrame, DataFrame] | DataFrame:
@@ -39,24 +42,70 @@ def count_messages(messages: DataFrame, codec: str = "zlib") -> DataFrame:
     """One row per message (graph_id, timestamp, value): `msg_id`, `ts`, triples, typed objects, instances per class, and
     lines that are no N-Triples.
 
-    A message is counted where it is read: its distinct lines stay one array in its row, so nothing is exploded or
-    shuffled, and the counts run on streams and tables alike. A body that cannot be decoded has null counts.
+    A message is counted where it is read: its text stays with the worker that inflates it and only the counts leave, so nothing is
+    exploded or shuffled, and the counts run on streams and tables alike. A body that cannot be decoded has null counts.
     """
-    text = decode_body(F.col("value"), codec)
-    kept = F.filter(F.array_distinct(F.transform(F.split("_text", "\n"), trimmed)), says_something)
-    rows = messages.select(F.col("graph_id").alias("msg_id"), F.col("timestamp").alias("ts"), text.alias("_text")).withColumn("_kept", kept)
-    rows = rows.withColumn("_lines", F.filter("_kept", lambda line: line.rlike(LINE)))
-    named = lambda line: F.concat(F.regexp_extract(line, _TYPING, 1), F.regexp_extract(line, _TYPING, 2))
-    typing = F.filter("_lines", lambda line: line.contains(f"<{RDF_TYPE}>"))
-    classes = F.filter(F.transform(typing, named), lambda c: c != "")
-    rows = rows.withColumn("_classes", classes)
-    size = lambda c: F.when(F.col("_text").isNotNull(), F.size(c).cast("bigint"))
-    each = F.transform(
-        F.array_distinct("_classes"),
-        lambda c: F.struct(c.alias("class"), F.size(F.filter("_classes", lambda x: x == c)).cast("bigint").alias("n")))
-    return rows.select(
-        "msg_id", "ts", size("_lines").alias("trip_count"), size("_classes").alias("obj_count"), each.alias("classes"),
-        (size("_kept") - size("_lines")).alias("bad_lines"))
+    counted = _count_bodies(F.col("value")) if codec == "zlib" else _count_texts(decode_body(F.col("value"), codec))
+    rows = messages.select(F.col("graph_id").alias("msg_id"), F.col("timestamp").alias("ts"), counted.alias("_n"))
+    return rows.select("msg_id", "ts", "_n.trip_count", "_n.obj_count", "_n.classes", "_n.bad_lines")
+
+
+_INSTANCES = ArrayType(StructType([StructField("class", StringType()), StructField("n", LongType())]))
+_COUNTS = StructType([StructField(c, _INSTANCES if c == "classes" else LongType()) for c in ("trip_count", "obj_count", "classes", "bad_lines")])
+_CLASS = pa.struct([("class", pa.string()), ("n", pa.int64())])
+
+
+def _count_piece(texts: list[str | None]) -> pa.StructArray:
+    """Counts of a few messages. Lines are judged once however many of the messages have them."""
+    lines = pc.split_pattern(pa.array(texts, pa.string()), "\n")
+    of_line = pc.list_parent_indices(lines).to_numpy()
+    coded = pc.utf8_trim(pc.list_flatten(lines), " \t\r").dictionary_encode()
+    known = coded.dictionary
+    says = pc.and_not(pc.not_equal(known, ""), pc.starts_with(known, "#"))
+    valid = pc.and_(says, pc.match_substring_regex(known, ARROW_LINE)).to_numpy(zero_copy_only=False)
+    says = says.to_numpy(zero_copy_only=False)
+    typing = np.flatnonzero(valid & pc.match_substring(known, f"<{RDF_TYPE}>").to_numpy(zero_copy_only=False))
+    named = pc.extract_regex(known.take(pa.array(typing)), _ARROW_TYPING)
+    names = pc.fill_null(pc.binary_join_element_wise(pc.struct_field(named, "iri"), pc.struct_field(named, "bnode"), ""), "").dictionary_encode()
+    class_of = np.full(len(known), -1)
+    class_of[typing] = names.indices.to_numpy()
+
+    # A message is a set of lines: the first place of each.
+    code = coded.indices.to_numpy()
+    at = np.sort(np.unique(of_line * max(len(known), 1) + code, return_index=True)[1])
+    owner, code = of_line[at], code[at]
+    per_message = lambda on: np.bincount(owner[on], minlength=len(texts))
+    triples, kept = per_message(valid[code]), per_message(says[code])
+    empty = pc.index(names.dictionary, "").as_py()  # lines that name the type but are no typing
+    instance = (class_of[code] >= 0) & (class_of[code] != empty)
+    groups, firsts, n = np.unique(owner[instance] * max(len(names.dictionary), 1) + class_of[code[instance]], return_index=True, return_counts=True)
+    order = np.argsort(firsts)
+    classes = names.dictionary.take(pa.array(groups[order] % max(len(names.dictionary), 1)))
+    sizes = np.bincount(groups // max(len(names.dictionary), 1), minlength=len(texts))
+    none = np.array([t is None for t in texts], dtype=bool)
+    offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32), mask=np.r_[none, False])
+    counts = [pa.array(c, pa.int64(), mask=none) for c in (triples, per_message(instance), kept - triples)]
+    each = pa.StructArray.from_arrays([classes, pa.array(n[order], pa.int64())], fields=list(_CLASS))
+    return pa.StructArray.from_arrays(
+        [counts[0], counts[1], pa.ListArray.from_arrays(offsets, each), counts[2]], names=_COUNTS.names)
+
+
+@F.arrow_udf(_COUNTS)
+def _count_bodies(bodies: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in bodies:
+        for at in range(0, len(batch), PIECE_ROWS):
+            yield _count_piece([None if b is None else inflate_one(b) for b in batch.slice(at, PIECE_ROWS).to_pylist()])
+
+
+@F.arrow_udf(_COUNTS)
+def _count_texts(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in texts:
+        for at in range(0, len(batch), PIECE_ROWS):
+            yield _count_piece(batch.slice(at, PIECE_ROWS).to_pylist())
+
+
+# As with `inflate`: conditions on the counts must not count once more.
+_count_bodies, _count_texts = _count_bodies.asNondeterministic(), _count_texts.asNondeterministic()
 
 
 NEWEST = "name string, shard int, messages bigint, first bigint, second bigint, recent array<struct<micros:bigint,msg_id:string,first:bigint,second:bigint>>"
