@@ -133,3 +133,12 @@ def test_messages_are_counted_by_the_worker_that_inflates_them(spark):
         assert [tuple(c) for c in got["all"].classes] == [("_:c.d", 1), ("C", 1)]
     plan = count_messages(sent).where("trip_count IS NOT NULL")._jdf.queryExecution().optimizedPlan().toString()
     assert "lambda" not in plan and plan.count("ArrowEvalPython") == 1
+
+
+def test_graph_texts_are_made_without_a_loop_over_patterns(spark, sf_dir):
+    from tracklake.operators import emitters
+    from tracklake.operators import triples as tr
+    from tracklake.plans.queries import following_events
+
+    texts = emitters.following_graphs(following_events(spark, sf_dir), emit=tr.emit_texts)
+    assert "transform(" not in texts._jdf.queryExecution().optimizedPlan().toString()
