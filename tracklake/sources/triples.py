@@ -46,6 +46,11 @@ def _unescaped(text: str | None) -> str | None:
         return None
 
 
+def _says(content: pa.Array) -> pa.Array:
+    """Whether a trimmed line is neither blank nor a comment."""
+    return pc.and_not(pc.not_equal(content, ""), pc.starts_with(content, "#"))
+
+
 def _take_apart(lines: pa.Array) -> list[pa.Array]:
     """The columns of `_PARTS`; terms are null in a line that does not fit. Only an escape can be wrong in one that fits."""
     content = pc.utf8_trim(pc.fill_null(lines, "(damaged body)"), " \t\r")
@@ -73,7 +78,10 @@ def _take_apart(lines: pa.Array) -> list[pa.Array]:
 def _line_parts(lines: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in lines:
         for at in range(0, len(batch), _PIECE_LINES):
-            yield pa.StructArray.from_arrays(_take_apart(batch.slice(at, _PIECE_LINES)), names=_PARTS.names)
+            piece = batch.slice(at, _PIECE_LINES)
+            *terms, valid = _take_apart(piece)
+            says = _says(pc.utf8_trim(pc.fill_null(piece, "(damaged body)"), " \t\r"))
+            yield pa.StructArray.from_arrays([*terms, pc.if_else(says, valid, pa.scalar(None, pa.bool_()))], names=_PARTS.names)
 
 
 def distinct_lines(texts: list[str | None]) -> tuple[pa.Array, np.ndarray]:
@@ -83,7 +91,7 @@ def distinct_lines(texts: list[str | None]) -> tuple[pa.Array, np.ndarray]:
     code = lines.dictionary_encode().indices.to_numpy()
     content = pc.utf8_trim(lines, " \t\r")
     damaged = np.array([t is None for t in texts], dtype=bool)[owner]
-    says = pc.and_not(pc.not_equal(content, ""), pc.starts_with(content, "#")).to_numpy(zero_copy_only=False) | damaged
+    says = _says(content).to_numpy(zero_copy_only=False) | damaged
     first = np.zeros(len(lines), dtype=bool)
     first[np.unique(owner * (len(lines) + 1) + code, return_index=True)[1]] = True
     at = np.flatnonzero(first & says)
@@ -111,15 +119,6 @@ _line_parts = _line_parts.asNondeterministic()
 _message_parts_only, _message_parts_and_lines = _message_parts(False), _message_parts(True)
 
 
-def trimmed(line: Column) -> Column:
-    return F.trim(line, F.lit(" \t\r"))
-
-
-def says_something(line: Column) -> Column:
-    """Whether a trimmed line is neither blank nor a comment."""
-    return (line != "") & ~line.startswith("#")
-
-
 def parse_lines(
     lines: DataFrame, line: str = "line", keep: tuple[str, ...] = ("graph_id",)
 ) -> tuple[DataFrame, DataFrame]:
@@ -137,8 +136,8 @@ def good_and_bad(judged: DataFrame, with_lines: DataFrame, keep: tuple[str, ...]
 
 def judged_lines(lines: DataFrame, line: str = "line", keep: tuple[str, ...] = ("graph_id",)) -> DataFrame:
     """Both parts of `parse_lines` as one frame, told apart by `valid`, for what needs both and should read the lines once."""
-    content = F.coalesce(trimmed(F.col(line)), F.lit("(damaged body)"))
-    return _judged(lines.where(says_something(content)).select(*keep, line, _line_parts(F.col(line)).alias("_parts")), *keep, line)
+    cut = lines.select(*keep, line, _line_parts(F.col(line)).alias("_parts"))
+    return _judged(cut, *keep, line).where("valid IS NOT NULL")  # null in lines that say nothing
 
 
 def judged_messages(messages: DataFrame, keep: tuple[str, ...], raw: bool = True) -> DataFrame:
